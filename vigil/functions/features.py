@@ -240,10 +240,10 @@ def failure_group_cols(r: Roles = DEFAULT) -> dict[str, Column]:
     twf, hdf, pwf, osf, rnf = (c(m) for m in r.modes)
     return {
         "total_failure_modes": twf + hdf + pwf + osf + rnf,
-        "mechanical_failures": twf + osf,
-        "thermal_failures": hdf,
-        "electrical_failures": pwf,
-        "random_failures": rnf,
+        "mechanical_failure_risk": twf + osf,
+        "thermal_failure_risk": hdf,
+        "electrical_failure_risk": pwf,
+        "random_failure_risk": rnf,
     }
 
 

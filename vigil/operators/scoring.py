@@ -141,7 +141,7 @@ def business_message(ts: Column, prediction: Column, p: Column, level: Column, a
 def pct1(p: Column) -> Column:
     """Probability as a percentage rounded half-up to 0.1 (via whole basis points,
     so the rounding does not depend on the binary form of p * 100)."""
-    return F.floor((F.round(p * 10000) + 5) / 10) / 10
+    return F.floor((F.rint(p * 10000) + 5) / 10) / 10
 
 
 def alerts(scored: DataFrame, threshold: float = ALERT_THRESHOLD, ts: str = "ts") -> DataFrame:

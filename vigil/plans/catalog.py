@@ -41,3 +41,26 @@ def load_all() -> None:
 def r6(expr: str) -> str:
     """SQL: round a float result to 6 places (the Spark side uses F.round(x, 6))."""
     return f"round({expr}, 6)"
+
+
+def round_doubles(df: DataFrame, nd: int = 6) -> DataFrame:
+    """Rounds every double / float column (oracle comparisons are to 6 places)."""
+    from pyspark.sql import functions as F
+
+    from vigil.functions.numeric import round_half_away
+
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        col = F.col(f"`{f.name}`")
+        out.append(round_half_away(col.cast("double"), nd).alias(f.name) if t in ("double", "float") else col)
+    return df.select(*out)
+
+
+def rnd(col, nd: int = 6):
+    """Output rounding comparable with the oracle's ``round(x, nd)``."""
+    from pyspark.sql import functions as F
+
+    from vigil.functions.numeric import round_half_away
+
+    return round_half_away(F.col(col) if isinstance(col, str) else col, nd)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import features as FX
 from vigil.operators import scoring as R
-from vigil.plans.catalog import query, r6
+from vigil.plans.catalog import query, r6, rnd
 from vigil.sources import fixtures as X
 
 # ---------------------------------------------------------------- shared inputs
@@ -57,9 +57,9 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     s = FX.add(s, {**FX.power_cols(), **FX.wear_cols()})
     z = (F.lit(-4.0) + 0.02 * F.col("wear_torque_interaction") + 0.0001 * F.col("mechanical_power")
          + 1.0 * F.col("wear_high"))
-    s = s.withColumn("p", F.round(1 / (1 + F.exp(-z)), 4)).withColumn("risk_level", R.risk_level(F.col("p")))
+    s = s.withColumn("p", rnd(1 / (1 + F.exp(-z)), 4)).withColumn("risk_level", R.risk_level(F.col("p")))
     out = R.risk_distribution(s, by=["type"])
-    return out.withColumn("percentage", F.round("percentage", 6))
+    return out.withColumn("percentage", rnd("percentage"))
 
 
 FLAGSHIP_SQL = X.with_sql(X.SENSOR_SQL + """,
@@ -86,7 +86,7 @@ query("risk_by_type", FLAGSHIP_SQL)(flagship)
 @query("confidence", _sql("SELECT key, p, round(confidence, 6) AS confidence FROM annot"))
 def q_confidence(spark, sf):
     d = scored_readings(spark, sf)
-    return d.select("key", "p", F.round("confidence", 6).alias("confidence"))
+    return d.select("key", "p", rnd("confidence").alias("confidence"))
 
 
 @query("risk_level", _sql("SELECT key, p, risk_level FROM annot"))
@@ -101,13 +101,13 @@ def q_action(spark, sf):
 
 # ---------------------------------------------------------------- R5-R9
 @query("report_summary", _sql("""SELECT count(*) AS total_equipment,
-  count_if(prediction = 1) AS failure_predictions,
-  round(count_if(prediction = 1)*100.0/count(*), 6) AS failure_rate_percentage,
+  count(*) FILTER (WHERE prediction = 1) AS failure_predictions,
+  round(count(*) FILTER (WHERE prediction = 1)*100.0/count(*), 6) AS failure_rate_percentage,
   round(avg(p), 6) AS average_failure_probability, round(avg(confidence), 6) AS average_confidence FROM annot"""))
 def q_report_summary(spark, sf):
     s = R.report_summary(scored_readings(spark, sf))
     return s.select("total_equipment", "failure_predictions",
-                    *[F.round(c, 6).alias(c) for c in ("failure_rate_percentage", "average_failure_probability",
+                    *[rnd(c).alias(c) for c in ("failure_rate_percentage", "average_failure_probability",
                                                       "average_confidence")])
 
 
@@ -117,7 +117,7 @@ def q_report_summary(spark, sf):
   LEFT JOIN annot a ON a.risk_level = l.risk_level GROUP BY l.risk_level"""))
 def q_risk_distribution(spark, sf):
     d = R.risk_distribution(scored_readings(spark, sf))
-    return d.withColumn("percentage", F.round("percentage", 6))
+    return d.withColumn("percentage", rnd("percentage"))
 
 
 @query("action_counts", _sql("SELECT recommended_action, count(*) AS count FROM annot GROUP BY ALL"))
@@ -126,21 +126,21 @@ def q_action_counts(spark, sf):
 
 
 @query("insights", _sql("""SELECT CAST(row_number() OVER (ORDER BY o) - 1 AS INTEGER) AS position, insight FROM (
-  SELECT 0 AS o, printf('%.1f%% of equipment predicted to fail', count_if(prediction = 1)*100.0/count(*)) AS insight
-    FROM annot HAVING count_if(prediction = 1) > 0
-  UNION ALL SELECT 1, printf('%d equipment require IMMEDIATE attention', count_if(risk_level = 'CRITICAL'))
-    FROM annot HAVING count_if(risk_level = 'CRITICAL') > 0
-  UNION ALL SELECT 2, printf('%d equipment require maintenance within 48 hours', count_if(risk_level = 'HIGH'))
-    FROM annot HAVING count_if(risk_level = 'HIGH') > 0
+  SELECT 0 AS o, printf('%.1f%% of equipment predicted to fail', count(*) FILTER (WHERE prediction = 1)*100.0/count(*)) AS insight
+    FROM annot HAVING count(*) FILTER (WHERE prediction = 1) > 0
+  UNION ALL SELECT 1, printf('%d equipment require IMMEDIATE attention', count(*) FILTER (WHERE risk_level = 'CRITICAL'))
+    FROM annot HAVING count(*) FILTER (WHERE risk_level = 'CRITICAL') > 0
+  UNION ALL SELECT 2, printf('%d equipment require maintenance within 48 hours', count(*) FILTER (WHERE risk_level = 'HIGH'))
+    FROM annot HAVING count(*) FILTER (WHERE risk_level = 'HIGH') > 0
   UNION ALL SELECT 3, 'Model confidence below threshold - consider data quality review'
     FROM annot HAVING avg(confidence) < 0.7) m"""))
 def q_insights(spark, sf):
     return R.insights(scored_readings(spark, sf))
 
 
-@query("cost_estimate", _sql("""SELECT count_if(prediction = 1)*10000 AS potential_failure_costs,
-  (count_if(risk_level = 'CRITICAL') + count_if(risk_level = 'HIGH'))*1000 AS recommended_maintenance_costs,
-  greatest(0, count_if(prediction = 1)*10000 - (count_if(risk_level = 'CRITICAL') + count_if(risk_level = 'HIGH'))*1000)
+@query("cost_estimate", _sql("""SELECT count(*) FILTER (WHERE prediction = 1)*10000 AS potential_failure_costs,
+  (count(*) FILTER (WHERE risk_level = 'CRITICAL') + count(*) FILTER (WHERE risk_level = 'HIGH'))*1000 AS recommended_maintenance_costs,
+  greatest(0, count(*) FILTER (WHERE prediction = 1)*10000 - (count(*) FILTER (WHERE risk_level = 'CRITICAL') + count(*) FILTER (WHERE risk_level = 'HIGH'))*1000)
     AS estimated_savings FROM annot"""))
 def q_cost_estimate(spark, sf):
     return R.cost_estimate(scored_readings(spark, sf))
@@ -163,14 +163,14 @@ def q_high_risk(spark, sf):
 
 # ---------------------------------------------------------------- R11-R16
 @query("prediction_rollup", _sql("""SELECT machine_id AS source, count(*) AS total_equipment,
-  count_if(risk_level = 'HIGH') AS high_risk_count, count_if(risk_level = 'CRITICAL') AS critical_risk_count,
+  count(*) FILTER (WHERE risk_level = 'HIGH') AS high_risk_count, count(*) FILTER (WHERE risk_level = 'CRITICAL') AS critical_risk_count,
   round(avg(p), 6) AS average_failure_probability,
-  count_if(risk_level = 'HIGH') + count_if(risk_level = 'CRITICAL') AS immediate_action_required
+  count(*) FILTER (WHERE risk_level = 'HIGH') + count(*) FILTER (WHERE risk_level = 'CRITICAL') AS immediate_action_required
   FROM annot GROUP BY machine_id"""))
 def q_prediction_rollup(spark, sf):
     d = scored_readings(spark, sf).withColumnRenamed("machine_id", "source")
     out = R.prediction_rollup(d, "source")
-    return out.withColumn("average_failure_probability", F.round("average_failure_probability", 6))
+    return out.withColumn("average_failure_probability", rnd("average_failure_probability"))
 
 
 _FIN_COLS = ["baseline_annual_failures", "baseline_annual_cost", "prevented_failures", "gross_cost_savings",
@@ -189,18 +189,18 @@ b AS (SELECT annual, annual*0.7 AS prevented FROM a)""", """SELECT
 def q_financial_impact(spark, sf):
     s = X.sensor(spark, sf).agg(F.avg("failure").alias("failure_rate"), F.count(F.lit(1)).alias("total_samples"))
     out = R.financial_impact(s)
-    return out.select(*[F.round(c, 6).alias(c) for c in _FIN_COLS])
+    return out.select(*[rnd(c).alias(c) for c in _FIN_COLS])
 
 
 @query("maintenance_plan", _sql("""SELECT count(*) AS total_equipment,
-  count_if(risk_level = 'CRITICAL') AS critical, count_if(risk_level = 'HIGH') AS high,
-  count_if(risk_level = 'MEDIUM') AS medium, count_if(risk_level = 'LOW') AS low,
-  count_if(risk_level IN ('CRITICAL', 'HIGH')) AS technicians_required,
-  count_if(risk_level IN ('CRITICAL', 'HIGH'))*4 AS maintenance_hours,
-  count_if(risk_level IN ('CRITICAL', 'HIGH'))*1000 AS cost_budget,
-  count_if(risk_level = 'CRITICAL')*10000 AS cost_avoidance,
-  count_if(risk_level IN ('CRITICAL', 'HIGH', 'MEDIUM'))*1000 AS monthly_maintenance_budget,
-  250.0 AS maintenance_cost_per_hour FROM annot"""))
+  count(*) FILTER (WHERE risk_level = 'CRITICAL') AS critical, count(*) FILTER (WHERE risk_level = 'HIGH') AS high,
+  count(*) FILTER (WHERE risk_level = 'MEDIUM') AS medium, count(*) FILTER (WHERE risk_level = 'LOW') AS low,
+  count(*) FILTER (WHERE risk_level IN ('CRITICAL', 'HIGH')) AS technicians_required,
+  count(*) FILTER (WHERE risk_level IN ('CRITICAL', 'HIGH'))*4 AS maintenance_hours,
+  count(*) FILTER (WHERE risk_level IN ('CRITICAL', 'HIGH'))*1000 AS cost_budget,
+  count(*) FILTER (WHERE risk_level = 'CRITICAL')*10000 AS cost_avoidance,
+  count(*) FILTER (WHERE risk_level IN ('CRITICAL', 'HIGH', 'MEDIUM'))*1000 AS monthly_maintenance_budget,
+  CAST(250.0 AS DOUBLE) AS maintenance_cost_per_hour FROM annot"""))
 def q_maintenance_plan(spark, sf):
     return R.maintenance_plan(scored_readings(spark, sf))
 
@@ -212,8 +212,8 @@ def q_maintenance_plan(spark, sf):
   FROM annot"""))
 def q_throughput(spark, sf):
     t = R.throughput(scored_readings(spark, sf))
-    return t.select("total_predictions", F.round("uptime_hours", 6).alias("uptime_hours"),
-                    F.round("predictions_per_hour", 6).alias("predictions_per_hour"))
+    return t.select("total_predictions", rnd("uptime_hours").alias("uptime_hours"),
+                    rnd("predictions_per_hour").alias("predictions_per_hour"))
 
 
 @query("health_score", _sql("""SELECT machine_id, count(*) AS readings, round(100*(1 - avg(p)), 6) AS health_score,
@@ -221,4 +221,4 @@ def q_throughput(spark, sf):
   FROM annot GROUP BY machine_id"""))
 def q_health_score(spark, sf):
     h = R.health_score(scored_readings(spark, sf))
-    return h.withColumn("health_score", F.round("health_score", 6))
+    return h.withColumn("health_score", rnd("health_score"))

@@ -15,13 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.functions.numeric import round_half_away
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _r6(x: Column) -> Column:
-    return F.round(x, 6)
+    return round_half_away(x, 6)
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +113,7 @@ def _z_sql(w: tuple) -> str:
 
 
 def _p(z: Column) -> Column:
-    return F.round(1 / (1 + F.exp(-z)), 4)
+    return round_half_away(1 / (1 + F.exp(-z)), 4)
 
 
 def scored(spark: SparkSession, sf_dir: str, scorer: str = "rule_a") -> DataFrame:
