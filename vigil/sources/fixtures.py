@@ -160,3 +160,25 @@ readings AS (
 
 def with_sql(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body}"
+
+
+def sensor_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor view with injected nulls (FIXTURES.md section 3): torque NULL when
+    key % 7 = 0, type NULL when key % 11 = 0, wear NULL when key % 5 < 3."""
+    s = sensor(spark, sf_dir)
+    return s.withColumns({
+        "torque": F.when(F.col("key") % 7 != 0, F.col("torque")),
+        "type": F.when(F.col("key") % 11 != 0, F.col("type")),
+        "wear": F.when(F.col("key") % 5 >= 3, F.col("wear")),
+    })
+
+
+SENSOR_NULLS_SQL = SENSOR_SQL + """,
+sensor_nulls AS (
+  SELECT key, machine_id, ts,
+    CASE WHEN key % 11 <> 0 THEN type END AS type, air_temp, proc_temp, speed,
+    CASE WHEN key % 7 <> 0 THEN torque END AS torque,
+    CASE WHEN key % 5 >= 3 THEN wear END AS wear,
+    failure, twf, hdf, pwf, osf, rnf
+  FROM sensor
+)"""
