@@ -133,16 +133,22 @@ def fit_statistical(df: DataFrame, r: Roles = DEFAULT) -> dict[str, float]:
     return df.agg(*aggs).first().asDict()
 
 
+# Output names follow the source's "<raw column>_<op>" form (cleaned), which also
+# keeps them apart from the wear family's wear_squared / wear_log.
+STAT_BASE = {"air_temp": "Air_temperature_K", "proc_temp": "Process_temperature_K", "speed": "Rotational_speed_rpm",
+             "torque": "Torque_Nm", "wear": "Tool_wear_min"}
+
+
 def statistical_cols(params: dict, r: Roles = DEFAULT) -> dict[str, Column]:
     out = {}
-    for s in r.sensors:
-        x = c(s)
-        out[f"{s}_squared"] = x * x
-        out[f"{s}_cubed"] = x * x * x
-        out[f"{s}_log"] = log1p_guarded(x)
-        out[f"{s}_sqrt"] = sqrt_guarded(x)
+    for role, s in zip(DEFAULT.sensors, r.sensors):
+        x, b = c(s), STAT_BASE[role]
+        out[f"{b}_squared"] = x * x
+        out[f"{b}_cubed"] = x * x * x
+        out[f"{b}_log"] = log1p_guarded(x)
+        out[f"{b}_sqrt"] = sqrt_guarded(x)
         std = params.get(f"{s}_std")
-        out[f"{s}_zscore"] = div(x - F.lit(params.get(f"{s}_mean")), F.lit(std).cast("double") + EPS)
+        out[f"{b}_zscore"] = div(x - F.lit(params.get(f"{s}_mean")), F.lit(std).cast("double") + EPS)
     return out
 
 

@@ -20,3 +20,14 @@ def round_half_away(x: Column, nd: int = 6) -> Column:
     y = x * m
     r = F.rint(y)
     return F.when(F.abs(y - r) == 0.5, y + F.signum(y) * 0.5).otherwise(r) / m
+
+
+def round_sig(x: Column, digits: int = 10) -> Column:
+    """Rounds to ``digits`` significant digits (float sums of large values
+    differ between engines in the last bits only)."""
+    nd = F.lit(digits - 1) - F.floor(F.log10(F.abs(x)))
+    m = F.pow(F.lit(10.0), nd)
+    y = x * m
+    r = F.rint(y)
+    out = F.when(F.abs(y - r) == 0.5, y + F.signum(y) * 0.5).otherwise(r) / m
+    return F.when((x == 0) | x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(out)

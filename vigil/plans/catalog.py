@@ -64,3 +64,9 @@ def rnd(col, nd: int = 6):
     from vigil.functions.numeric import round_half_away
 
     return round_half_away(F.col(col) if isinstance(col, str) else col, nd)
+
+
+def rsig_sql(expr: str, digits: int = 10) -> str:
+    """SQL twin of ``round_sig``."""
+    return (f"CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL OR isnan({expr}) OR isinf({expr}) THEN ({expr}) "
+            f"ELSE round({expr}, CAST({digits - 1} - floor(log10(abs({expr}))) AS INTEGER)) END")

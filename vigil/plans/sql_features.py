@@ -44,13 +44,16 @@ INTERACTION = {
     "speed_torque_ratio": "speed/nullif(torque + 1e-6, 0)",
     "speed_torque_product": "speed*torque/1000",
 }
+STAT_BASE = {"air_temp": "Air_temperature_K", "proc_temp": "Process_temperature_K", "speed": "Rotational_speed_rpm",
+             "torque": "Torque_Nm", "wear": "Tool_wear_min"}
 STATISTICAL = {}
 for _s in SENSORS:
-    STATISTICAL[f"{_s}_squared"] = f"{_s}*{_s}"
-    STATISTICAL[f"{_s}_cubed"] = f"{_s}*{_s}*{_s}"
-    STATISTICAL[f"{_s}_log"] = f"CASE WHEN {_s} > -1 THEN ln(1 + {_s}) END"
-    STATISTICAL[f"{_s}_sqrt"] = f"CASE WHEN {_s} >= 0 THEN sqrt({_s}) END"
-    STATISTICAL[f"{_s}_zscore"] = f"({_s} - st.{_s}_mean)/nullif(st.{_s}_std + 1e-6, 0)"
+    _b = STAT_BASE[_s]
+    STATISTICAL[f"{_b}_squared"] = f"{_s}*{_s}"
+    STATISTICAL[f"{_b}_cubed"] = f"{_s}*{_s}*{_s}"
+    STATISTICAL[f"{_b}_log"] = f"CASE WHEN {_s} > -1 THEN ln(1 + {_s}) END"
+    STATISTICAL[f"{_b}_sqrt"] = f"CASE WHEN {_s} >= 0 THEN sqrt({_s}) END"
+    STATISTICAL[f"{_b}_zscore"] = f"({_s} - st.{_s}_mean)/nullif(st.{_s}_std + 1e-6, 0)"
 
 FAMILIES = {"temperature": TEMPERATURE, "power": POWER, "wear": WEAR, "operational": OPERATIONAL,
             "interaction": INTERACTION, "statistical": STATISTICAL}

@@ -128,7 +128,7 @@ def scored_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sensor(spark, sf_dir)
     arr = F.array(*[F.struct(F.lit(n).alias("model_name"), _p(_z(w)).alias("p")) for n, w in SCORERS.items()])
     out = s.select("key", F.col("failure").alias("y"), F.explode(arr).alias("m"))
-    return out.select("model_name", "key", "y", F.col("m.p").alias("p"),
+    return out.select(F.col("m.model_name").alias("model_name"), "key", "y", F.col("m.p").alias("p"),
                       (F.col("m.p") >= 0.5).cast("int").alias("yhat"))
 
 
