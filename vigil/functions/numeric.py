@@ -31,3 +31,10 @@ def round_sig(x: Column, digits: int = 10) -> Column:
     r = F.rint(y)
     out = F.when(F.abs(y - r) == 0.5, y + F.signum(y) * 0.5).otherwise(r) / m
     return F.when((x == 0) | x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(out)
+
+
+def canonical(x: Column, nd: int = 6, sig: int = 10) -> Column:
+    """Comparable output form of a float: ``sig`` significant digits, then
+    ``nd`` decimals, and -0.0 folded into 0.0.  Two engines that differ only
+    in summation order (last bits) land on the same value."""
+    return round_half_away(round_sig(x, sig), nd) + F.lit(0.0)

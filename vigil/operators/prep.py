@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vigil.functions.ordering import dense_rank0
 from vigil.operators.profile import NUMERIC, c, numeric_columns, quantiles
 
 # ============================================================== M missing values
@@ -204,31 +205,16 @@ def label_codes_small(col: Column, levels: list) -> Column:
     return e
 
 
-def dense_index(values: DataFrame, col: str, order: list[Column], out: str = "code") -> DataFrame:
-    """Exact 0-based rank of each row of ``values`` by ``order`` without a
-    single-partition window: range-partition, rank inside each partition,
-    then add the (small, broadcast) prefix count of the earlier partitions."""
-    n_parts = max(1, values.sparkSession.conf.get("spark.sql.shuffle.partitions") and
-                  int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = values.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
-    sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_cnt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return local.join(F.broadcast(offs.select("_pid", "_off")), "_pid").select(
-        *[x for x in values.columns], (F.col("_off") + F.col("_r")).cast("int").alias(out))
-
-
 def fit_label_index(df: DataFrame, col: str) -> DataFrame:
     """E2 for any cardinality: (value, code) table, code = index in sorted distinct values."""
     d = df.select(c(col).alias(col)).where(c(col).isNotNull()).distinct()
-    return dense_index(d, col, [c(col)])
+    return dense_rank0(d, [col])
 
 
 def fit_first_appearance(df: DataFrame, col: str, order: str) -> DataFrame:
     """(value, code) by first appearance in ``order``."""
     first = df.where(c(col).isNotNull()).groupBy(c(col).alias(col)).agg(F.min(order).alias("_first"))
-    return dense_index(first, col, [F.col("_first"), c(col)]).drop("_first")
+    return dense_rank0(first, ["_first", col]).drop("_first")
 
 
 BROADCAST_ROWS = 1_000_000

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from vigil.functions.ordering import grouped_prefix
 from vigil.operators.profile import c, quantiles
 
 BROADCAST_ROWS = 1_000_000
@@ -54,29 +55,11 @@ def corr_matrix_ml(df: DataFrame, cols: list[str], method: str = "pearson") -> D
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
-def prefix_before(df: DataFrame, order: list[Column], weight: str, out: str = "_before") -> DataFrame:
-    """Adds the sum of ``weight`` over all rows strictly earlier in ``order``.
-
-    Range-partitions the rows, sums inside each partition with a window and
-    adds the (small, broadcast) totals of the earlier partitions, so no window
-    ever spans the whole frame in one task.
-    """
-    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n_parts, *order).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    r = r.withColumn("_in", F.coalesce(F.sum(weight).over(w), F.lit(0)))
-    tot = r.groupBy("_pid").agg(F.sum(weight).alias("_pt"))
-    tot = tot.withColumn("_off", F.coalesce(F.sum("_pt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return r.join(F.broadcast(tot.select("_pid", "_off")), "_pid").withColumn(
-        out, F.col("_off") + F.col("_in")).drop("_pid", "_in", "_off")
-
-
 def average_rank_table(df: DataFrame, col: str) -> DataFrame:
     """(value, average rank) for the distinct non-null values of ``col`` (ties share the mean rank)."""
     vc = df.where(c(col).isNotNull()).groupBy(c(col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
-    vc = prefix_before(vc, [F.col("_v")], "_cnt")
-    return vc.select("_v", (F.col("_before") + (F.col("_cnt") + 1) / 2.0).alias("_rank"))
+    vc = grouped_prefix(vc, [], ["_v"], ["_cnt"])
+    return vc.select("_v", (F.col("_cnt_before") + (F.col("_cnt") + 1) / 2.0).alias("_rank"))
 
 
 def with_average_ranks(df: DataFrame, cols: list[str], suffix: str = "_rank") -> DataFrame:

@@ -47,13 +47,13 @@ def round_doubles(df: DataFrame, nd: int = 6) -> DataFrame:
     """Rounds every double / float column (oracle comparisons are to 6 places)."""
     from pyspark.sql import functions as F
 
-    from vigil.functions.numeric import round_half_away
+    from vigil.functions.numeric import canonical
 
     out = []
     for f in df.schema.fields:
         t = f.dataType.typeName()
         col = F.col(f"`{f.name}`")
-        out.append(round_half_away(col.cast("double"), nd).alias(f.name) if t in ("double", "float") else col)
+        out.append(canonical(col.cast("double"), nd).alias(f.name) if t in ("double", "float") else col)
     return df.select(*out)
 
 
@@ -61,12 +61,80 @@ def rnd(col, nd: int = 6):
     """Output rounding comparable with the oracle's ``round(x, nd)``."""
     from pyspark.sql import functions as F
 
-    from vigil.functions.numeric import round_half_away
+    from vigil.functions.numeric import canonical, round_half_away
 
-    return round_half_away(F.col(col) if isinstance(col, str) else col, nd)
+    x = F.col(col) if isinstance(col, str) else col
+    return canonical(x, nd) if nd == 6 else round_half_away(x, nd)
 
 
 def rsig_sql(expr: str, digits: int = 10) -> str:
     """SQL twin of ``round_sig``."""
     return (f"CASE WHEN ({expr}) = 0 OR ({expr}) IS NULL OR isnan({expr}) OR isinf({expr}) THEN ({expr}) "
             f"ELSE round({expr}, CAST({digits - 1} - floor(log10(abs({expr}))) AS INTEGER)) END")
+
+
+def _close_paren(s: str, i: int) -> int:
+    depth, q = 0, None
+    while i < len(s):
+        ch = s[i]
+        if q:
+            if ch == q:
+                q = None
+        elif ch in "'\"":
+            q = ch
+        elif ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+            if depth == 0:
+                return i
+        i += 1
+    raise ValueError("unbalanced parentheses")
+
+
+def _split_last_arg(body: str):
+    depth, q, cut = 0, None, -1
+    for i, ch in enumerate(body):
+        if q:
+            if ch == q:
+                q = None
+        elif ch in "'\"":
+            q = ch
+        elif ch == "(" or ch == "[":
+            depth += 1
+        elif ch == ")" or ch == "]":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            cut = i
+    return (body[:cut], body[cut + 1:].strip()) if cut >= 0 else (body, None)
+
+
+def canonical_sql(sql: str, sig: int = 10) -> str:
+    """Rewrites every ``round(e, 6)`` into the SQL twin of ``canonical``:
+    ``sig`` significant digits, then 6 decimals, -0.0 folded to 0.0.  The
+    value is bound once through a one-element list lambda."""
+    out, i = [], 0
+    low = sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            break
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        k = _close_paren(sql, j + 5)
+        inner = sql[j + 6:k]
+        expr, nd = _split_last_arg(inner)
+        if nd != "6":
+            out.append(sql[i:j] + "round(" + canonical_sql(inner, sig) + ")")
+            i = k + 1
+            continue
+        e = canonical_sql(expr, sig)
+        out.append(sql[i:j])
+        out.append(f"(list_transform([CAST(({e}) AS DOUBLE)], lambda d: CASE WHEN d = 0 OR d IS NULL OR isnan(d) "
+                   f"OR isinf(d) THEN d ELSE round(round(d, CAST({sig - 1} - floor(log10(abs(d))) AS INTEGER)), 6) "
+                   f"END)[1] + 0.0)")
+        i = k + 1
+    return "".join(out)
