@@ -316,3 +316,12 @@ def kfold(df: DataFrame, target: str | None, key: str, k: int = 5, seed: int = 4
     """D2 (target given: stratified) / D3 (target None): fold = rank mod k."""
     d = class_rank(df, target, key, seed)
     return d.withColumn("fold", (F.col("_rank") % k).cast("int")).drop("_cls", "_h", "_rank", "_n")
+
+
+def split_and_fold(df: DataFrame, target: str, key: str, test: float = 0.2, k: int = 3, seed: int = 42) -> DataFrame:
+    """D1 + D2 from one class ranking: ``split`` (train / test) and, on every
+    row, ``fold`` = rank mod k (folds are used on the training rows)."""
+    d = class_rank(df, target, key, seed)
+    n_test = F.floor(F.col("_n") * test + 0.5)
+    return d.withColumns({"split": F.when(F.col("_rank") < n_test, "test").otherwise("train"),
+                          "fold": (F.col("_rank") % k).cast("int")}).drop("_cls", "_h", "_rank", "_n")
