@@ -27,7 +27,11 @@ def _r6(x: Column) -> Column:
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return sensor_from(table(spark, sf_dir, "lineitem"))
+
+
+def sensor_from(li: DataFrame) -> DataFrame:
+    """The sensor projection of a lineitem frame (batch or stream)."""
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1992-01-01").cast("date")).cast("long")
     key = ((((F.col("l_orderkey") * 1000003 + F.col("l_partkey")) * 1009 + F.col("l_suppkey")) * 11
             + F.col("l_linenumber")) * 4096 + days)
