@@ -139,7 +139,7 @@ def q_feature_store(spark, sf):
     for kind in ("temperature_focus", "wear_focus"):
         fs = FX.feature_set(s, kind, keep=["key"])
         cols = [c for c in fs.columns if c != "key"]
-        IO.save_feature_set(fs, kind, root, metadata=A.feature_metadata(fs, cols), quality=A.feature_quality(fs, cols))
+        IO.save_feature_set(fs, kind, root, metadata=A.describe(fs, cols), quality=A.missing_summary(fs, cols))
     back, meta = IO.load_feature_set(spark, "wear_focus", root, with_metadata=True)
     assert meta is not None
     return round_doubles(back)
