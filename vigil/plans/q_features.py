@@ -156,3 +156,27 @@ def q_custom_features(spark, sf):
     def heat_load(df):
         return df.select("key", ((F.col("proc_temp") - F.col("air_temp")) * F.col("torque")).alias("heat_load"))
     return round_doubles(FX.custom_features(X.sensor(spark, sf), heat_load))
+
+
+_SET_WIDTH = {k: (5 if b else 0) + sum(len(SF.FAMILIES[f]) for f in fams) for k, (b, fams) in FX.FEATURE_SETS.items()}
+
+
+@query("feat_all_sets", X.with_sql(X.SENSOR_SQL, "SELECT feature_set, n_features, (SELECT count(*) FROM sensor) AS rows FROM (VALUES "
+                        + ", ".join(f"('{k}', {v})" for k, v in _SET_WIDTH.items()) + ") t(feature_set, n_features)"))
+def q_feat_all_sets(spark, sf):
+    """all five registered sets built from one fitted parameter set, written to one
+    table partitioned by set, and read back per set (rows and width)."""
+    from vigil.session import work_dir
+
+    s = X.sensor(spark, sf)
+    params = FX.fit_extended(s)
+    root = work_dir(spark, "feature_sets")
+    widths = {}
+    for kind in FX.FEATURE_SETS:
+        fs = FX.feature_set(s, kind, params=params, keep=["key"])
+        widths[kind] = len(fs.columns) - 1
+        fs.write.parquet(f"{root}/feature_set={kind}")
+    back = spark.read.option("basePath", root).parquet(*[f"{root}/feature_set={k}" for k in FX.FEATURE_SETS])
+    counts = back.groupBy("feature_set").agg(F.count(F.lit(1)).alias("rows"))
+    width = F.create_map(*[v for k, n in widths.items() for v in (F.lit(k), F.lit(n))])
+    return counts.select("feature_set", width[F.col("feature_set")].alias("n_features"), "rows")
