@@ -33,8 +33,17 @@ def round_sig(x: Column, digits: int = 10) -> Column:
     return F.when((x == 0) | x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(out)
 
 
-def canonical(x: Column, nd: int = 6, sig: int = 10) -> Column:
-    """Comparable output form of a float: ``sig`` significant digits, then
-    ``nd`` decimals, and -0.0 folded into 0.0.  Two engines that differ only
-    in summation order (last bits) land on the same value."""
-    return round_half_away(round_sig(x, sig), nd) + F.lit(0.0)
+def round_rint(x: Column, nd: int) -> Column:
+    """rint(x * 10^nd) / 10^nd: one reference to ``x`` (no duplicated input
+    expression), half-to-even only on exact binary ties of the product."""
+    m = float(10 ** nd)
+    return F.rint(x * m) / m
+
+
+def canonical(x: Column, nd: int = 6, pre: int = 9) -> Column:
+    """Comparable output form of a float: rounded to ``pre`` decimals, then to
+    ``nd`` decimals, and -0.0 folded into 0.0.  Two engines whose results
+    differ only in the last bits (summation order) land on the same value,
+    also when the exact result sits on a half at the (nd+1)-th decimal.
+    Plain double arithmetic (no log / pow), so it stays cheap per value."""
+    return round_half_away(round_rint(x, pre), nd) + F.lit(0.0)

@@ -12,8 +12,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
 SMALL_TABLE_ROWS = 1_000_000
 
 
@@ -23,9 +26,18 @@ def _key(cols: list[str]) -> Column:
 
 def bucket_cuts(df: DataFrame, order_cols: list[str], n_buckets: int | None = None, sample_rows: int = 20_000,
                 seed: int = 7) -> list:
-    """Sorted, distinct cut values (tuples for several columns) from a bounded sample."""
+    """Sorted, distinct cut values (tuples for several columns).
+
+    One numeric column: ``percentile_approx`` at n-1 evenly spaced ranks (one
+    pass).  Otherwise a bounded sample (a count and a sampled collect)."""
     spark = df.sparkSession
     n_buckets = n_buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n_buckets <= 1:
+        return []
+    if len(order_cols) == 1 and isinstance(df.schema[order_cols[0]].dataType, NUMERIC):
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        cuts = df.agg(F.percentile_approx(F.col(order_cols[0]), probs, 10 * n_buckets)).first()[0]
+        return sorted(set(c for c in (cuts or []) if c is not None))
     n = df.count()
     if n == 0 or n_buckets <= 1:
         return []
@@ -57,7 +69,13 @@ def grouped_prefix(df: DataFrame, by: list[str], order_cols: list[str], cols: li
                    suffix: str = "_before", n_buckets: int | None = None) -> DataFrame:
     """Adds ``<col>_before``: per group, the sum of ``cols`` over rows strictly
     earlier in the order (ties in the order are broken by the remaining
-    ``order_cols``; give a unique order for exact running sums)."""
+    ``order_cols``; give a unique order for exact running sums).
+
+    The input (usually a small aggregate) is cached: it is read by the cut
+    pass, the per-bucket totals and the final pass."""
+    from pyspark import StorageLevel
+
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     cuts = bucket_cuts(df, order_cols, n_buckets)
     d = df.withColumn("_b", bucket_of(order_cols, cuts, descending))
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]

@@ -84,10 +84,14 @@ def class_metrics(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- curves
 def score_counts(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
-    """One row per (group, distinct score): positives and negatives."""
+    """One row per (group, distinct score): positives and negatives (cached: the
+    curve operators read it several times and it is far smaller than the input)."""
+    from pyspark import StorageLevel
+
     by = by or []
     return scored.groupBy(*by, F.col(p).alias("p")).agg(F.count_if(F.col(y) == 1).alias("pos"),
-                                                        F.count_if(F.col(y) != 1).alias("neg"))
+                                                        F.count_if(F.col(y) != 1).alias("neg")).persist(
+        StorageLevel.MEMORY_AND_DISK)
 
 
 def _totals(counts: DataFrame, by: list[str]) -> DataFrame:
@@ -121,15 +125,23 @@ def cumulative_from_top(scored: DataFrame, by: list[str] | None = None, y: str =
     return _attach_totals(pre, _totals(cnt, by), by)
 
 
+def _end_points(c: DataFrame, by: list[str], cols: dict) -> DataFrame:
+    """One extra curve point per group (the groups come from the small per-score table)."""
+    if by:
+        base = c.select(*by).distinct()
+    else:
+        base = c.sparkSession.range(1).select()
+    return base.select(*by, F.lit(None).cast("double").alias("threshold"),
+                       *[F.lit(v).alias(k) for k, v in cols.items()])
+
+
 def roc_curve(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
     """V4: (threshold, fpr, tpr) per distinct threshold, plus the origin (threshold NULL)."""
     by = by or []
     c = cumulative_from_top(scored, by, y, p)
     pts = c.select(*by, F.col("p").alias("threshold"), _div(F.col("fp"), F.col("n_neg"), None).alias("fpr"),
                    _div(F.col("tp"), F.col("n_pos"), None).alias("tpr"))
-    origin = (c.select(*by).distinct() if by else c.limit(1).select()).select(
-        *by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return pts.unionByName(origin)
+    return pts.unionByName(_end_points(c, by, {"fpr": 0.0, "tpr": 0.0}))
 
 
 def pr_curve(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
@@ -138,9 +150,7 @@ def pr_curve(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: st
     c = cumulative_from_top(scored, by, y, p)
     pts = c.select(*by, F.col("p").alias("threshold"), _div(F.col("tp"), F.col("tp") + F.col("fp"), None).alias("precision"),
                    _div(F.col("tp"), F.col("n_pos"), None).alias("recall"))
-    end = (c.select(*by).distinct() if by else c.limit(1).select()).select(
-        *by, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return pts.unionByName(end)
+    return pts.unionByName(_end_points(c, by, {"precision": 1.0, "recall": 0.0}))
 
 
 def average_precision(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from vigil.functions.numeric import round_half_away
+from vigil.functions.numeric import round_rint
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -107,8 +107,8 @@ def group_stats(df: DataFrame, by: str, cols: list[str], nd: int | None = 3) ->
     aggs = []
     for x in cols:
         m, s = F.avg(c(x)), F.stddev_samp(c(x))
-        aggs += [(round_half_away(m, nd) if nd is not None else m).alias(f"{x}_mean"),
-                 (round_half_away(s, nd) if nd is not None else s).alias(f"{x}_std")]
+        aggs += [(round_rint(m, nd) if nd is not None else m).alias(f"{x}_mean"),
+                 (round_rint(s, nd) if nd is not None else s).alias(f"{x}_std")]
     return df.groupBy(c(by).alias(by)).agg(*aggs)
 
 

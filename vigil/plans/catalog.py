@@ -44,27 +44,40 @@ def r6(expr: str) -> str:
 
 
 def round_doubles(df: DataFrame, nd: int = 6) -> DataFrame:
-    """Rounds every double / float column (oracle comparisons are to 6 places)."""
+    """Rounds every double / float column to the comparable output form
+    (``canonical``): 9 decimals, then ``nd`` decimals half away from zero.
+
+    Two projections: the first scales the pre-rounded value once per column,
+    the second rounds that plain column, so a column's (possibly long)
+    defining expression is not repeated by the rounding."""
     from pyspark.sql import functions as F
 
-    from vigil.functions.numeric import canonical
+    from vigil.functions.numeric import round_rint
 
+    dbl = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    if not dbl:
+        return df
+    m = float(10 ** nd)
+    c = lambda n: F.col(f"`{n}`")
+    scaled = df.select(*[(round_rint(c(n).cast("double"), 9) * m).alias(n) if n in dbl else c(n) for n in df.columns])
     out = []
-    for f in df.schema.fields:
-        t = f.dataType.typeName()
-        col = F.col(f"`{f.name}`")
-        out.append(canonical(col.cast("double"), nd).alias(f.name) if t in ("double", "float") else col)
-    return df.select(*out)
+    for n in df.columns:
+        if n in dbl:
+            y, r = c(n), F.rint(c(n))
+            out.append((F.when(F.abs(y - r) == 0.5, y + F.signum(y) * 0.5).otherwise(r) / m + F.lit(0.0)).alias(n))
+        else:
+            out.append(c(n))
+    return scaled.select(*out)
 
 
 def rnd(col, nd: int = 6):
     """Output rounding comparable with the oracle's ``round(x, nd)``."""
     from pyspark.sql import functions as F
 
-    from vigil.functions.numeric import canonical, round_half_away
+    from vigil.functions.numeric import canonical, round_rint
 
     x = F.col(col) if isinstance(col, str) else col
-    return canonical(x, nd) if nd == 6 else round_half_away(x, nd)
+    return canonical(x, nd) if nd == 6 else round_rint(x, nd)
 
 
 def rsig_sql(expr: str, digits: int = 10) -> str:
@@ -111,8 +124,7 @@ def _split_last_arg(body: str):
 
 def canonical_sql(sql: str, sig: int = 10) -> str:
     """Rewrites every ``round(e, 6)`` into the SQL twin of ``canonical``:
-    ``sig`` significant digits, then 6 decimals, -0.0 folded to 0.0.  The
-    value is bound once through a one-element list lambda."""
+    9 decimals, then 6 decimals, -0.0 folded to 0.0."""
     out, i = [], 0
     low = sql.lower()
     while True:
@@ -133,8 +145,6 @@ def canonical_sql(sql: str, sig: int = 10) -> str:
             continue
         e = canonical_sql(expr, sig)
         out.append(sql[i:j])
-        out.append(f"(list_transform([CAST(({e}) AS DOUBLE)], lambda d: CASE WHEN d = 0 OR d IS NULL OR isnan(d) "
-                   f"OR isinf(d) THEN d ELSE round(round(d, CAST({sig - 1} - floor(log10(abs(d))) AS INTEGER)), 6) "
-                   f"END)[1] + 0.0)")
+        out.append(f"(round(round(CAST(({e}) AS DOUBLE), 9), 6) + 0.0)")
         i = k + 1
     return "".join(out)

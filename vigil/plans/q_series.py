@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import round_half_away
+from vigil.functions.numeric import round_rint
 from vigil.operators import scoring as R
 from vigil.operators import sequence as SQ
 from vigil.plans.catalog import query, round_doubles
@@ -19,7 +19,7 @@ ALERT_VALUE = 100.0
 
 def reading_risk(value) -> F.Column:
     """Risk of a reading: logistic in (value - 100) / 25, 4 decimals (p >= .5 <=> value >= 100)."""
-    return round_half_away(1 / (1 + F.exp(-(value - ALERT_VALUE) / 25)), 4)
+    return round_rint(1 / (1 + F.exp(-(value - ALERT_VALUE) / 25)), 4)
 
 
 _RISK_SQL = "round(1/(1 + exp(-(value - 100.0)/25)), 4)"

@@ -16,6 +16,10 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Wide projections (50+ feature columns) generate one huge method; above 8000
+    # bytes of bytecode the JVM does not JIT it.  Falling back to split
+    # per-expression code for such stages is several times faster.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.numeric import round_half_away
+from vigil.functions.numeric import round_rint
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _r6(x: Column) -> Column:
-    return round_half_away(x, 6)
+    return round_rint(x, 6)
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +117,7 @@ def _z_sql(w: tuple) -> str:
 
 
 def _p(z: Column) -> Column:
-    return round_half_away(1 / (1 + F.exp(-z)), 4)
+    return round_rint(1 / (1 + F.exp(-z)), 4)
 
 
 def scored(spark: SparkSession, sf_dir: str, scorer: str = "rule_a") -> DataFrame:
