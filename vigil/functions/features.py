@@ -87,15 +87,13 @@ def wear_cols(r: Roles = DEFAULT) -> dict[str, Column]:
 
 # ---------------------------------------------------------------- F4 operational
 def fit_operational(df: DataFrame, r: Roles = DEFAULT) -> dict[str, float]:
-    """Maxima and exact linear quartiles of speed / torque / wear, one pass."""
-    row = df.agg(
-        F.max(c(r.speed)).alias("max_speed"),
-        F.max(c(r.torque)).alias("max_torque"),
-        F.max(c(r.wear)).alias("max_wear"),
-        F.percentile(c(r.speed), [0.25, 0.75]).alias("q_speed"),
-        F.percentile(c(r.torque), [0.25, 0.75]).alias("q_torque"),
-    ).first()
-    qs, qt = row["q_speed"] or [None, None], row["q_torque"] or [None, None]
+    """Maxima (one aggregate) and exact linear quartiles of speed and torque."""
+    from vigil.functions.ordering import fit_quantiles
+
+    row = df.agg(F.max(c(r.speed)).alias("max_speed"), F.max(c(r.torque)).alias("max_torque"),
+                 F.max(c(r.wear)).alias("max_wear")).first()
+    q = fit_quantiles(df, [r.speed, r.torque], [0.25, 0.75])
+    qs, qt = q[r.speed], q[r.torque]
     return {"max_speed": row["max_speed"], "max_torque": row["max_torque"], "max_wear": row["max_wear"],
             "speed_q1": qs[0], "speed_q3": qs[1], "torque_q1": qt[0], "torque_q3": qt[1]}
 

@@ -97,3 +97,65 @@ def dense_rank0(df: DataFrame, order_cols: list[str], out: str = "code") -> Data
     d = df.withColumn("_one", F.lit(1))
     r = grouped_prefix(d, [], order_cols, ["_one"])
     return r.withColumn(out, F.col("_one_before").cast("int")).drop("_one", "_one_before")
+
+
+def exact_quantiles_distributed(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles (the pandas / DuckDB rule) without
+    holding all distinct values in one task.
+
+    Distinct values are counted (partial aggregation), their running counts
+    come from the bucketed prefix sums, and only the (at most two) distinct
+    values covering ranks floor(q (n-1)) and ceil(q (n-1)) are kept.  Result:
+    ``by..., prob, value`` (one row per group and probability)."""
+    by = by or []
+    from pyspark import StorageLevel
+
+    d = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_cnt")).persist(StorageLevel.MEMORY_AND_DISK)
+    pre = grouped_prefix(d, by, ["_v"], ["_cnt"])
+    tot = d.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
+    j = pre.join(F.broadcast(tot), by) if by else pre.withColumn("_n", F.lit(tot.first()["_n"]))
+    targets = F.array(*[F.struct(F.lit(float(q)).alias("prob"), (F.lit(float(q)) * (F.col("_n") - 1)).alias("pos"))
+                        for q in probs])
+    t = j.select(*by, "_v", "_cnt", "_cnt_before", F.explode(targets).alias("_t"))
+    lo, hi = F.floor(F.col("_t.pos")), F.ceil(F.col("_t.pos"))
+    covers = lambda r: (F.col("_cnt_before") <= r) & (r < F.col("_cnt_before") + F.col("_cnt"))
+    t = t.where(covers(lo) | covers(hi))
+    g = t.groupBy(*by, F.col("_t.prob").alias("prob")).agg(
+        F.max(F.when(covers(lo), F.col("_v"))).alias("_lo"), F.max(F.when(covers(hi), F.col("_v"))).alias("_hi"),
+        F.first(F.col("_t.pos") - lo).alias("_frac"))
+    return g.select(*by, "prob", (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias("value"))
+
+
+EXACT_SINGLE_PASS_DISTINCT = 200_000
+
+
+def fit_quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact") -> dict[str, list]:
+    """Quantile parameters per column.
+
+    exact: columns whose approximate distinct count is at most
+    ``EXACT_SINGLE_PASS_DISTINCT`` use one ``percentile`` aggregate (its merge
+    buffer holds one counter per distinct value, so it is bounded); larger
+    columns use ``exact_quantiles_distributed``.  approx: ``percentile_approx``.
+    """
+    if not cols:
+        return {}
+    if method == "approx":
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10000).alias(c) for c in cols]).first()
+        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
+    if method not in ("exact", "distributed"):
+        raise ValueError(f"unknown quantile method {method!r}")
+    if method == "distributed":
+        small, big = [], list(cols)
+    else:
+        nd = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in cols]).first()
+        small = [c for c in cols if (nd[c] or 0) <= EXACT_SINGLE_PASS_DISTINCT]
+        big = [c for c in cols if c not in small]
+    out = {}
+    if small:
+        row = df.agg(*[F.percentile(F.col(c).cast("double"), probs).alias(c) for c in small]).first()
+        out.update({c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in small})
+    for c in big:
+        vals = {r["prob"]: r["value"] for r in exact_quantiles_distributed(df, c, probs).collect()}
+        out[c] = [vals.get(float(q)) for q in probs]
+    return out

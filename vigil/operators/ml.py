@@ -264,7 +264,9 @@ def fit_reconstruction(df: DataFrame, cols: list[str], k: int = 2, contamination
                             PCA(k=k, inputCol="scaled", outputCol="latent")])
     model = pipe.fit(df)
     err = reconstruction_error(model.transform(df))
-    thr = err.agg(F.percentile("recon_error", 1 - contamination)).first()[0]
+    from vigil.functions.ordering import fit_quantiles
+
+    thr = fit_quantiles(err, ["recon_error"], [1 - contamination])["recon_error"][0]
     return model, thr
 
 

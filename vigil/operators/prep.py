@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vigil.functions.ordering import dense_rank0
+from vigil.functions.ordering import dense_rank0, fit_quantiles
 from vigil.operators.profile import NUMERIC, c, numeric_columns, quantiles
 
 # ============================================================== M missing values
@@ -39,17 +39,22 @@ def fit_impute(df: DataFrame, strategy: str = "auto", cols: list[str] | None = N
         if strategy == "mean" and num:
             aggs.append(F.avg(c(x)).alias(f"v{i}"))
         elif strategy in ("median", "auto") and num:
-            aggs.append(quantiles(c(x).cast("double"), [0.5], method)[0].alias(f"v{i}"))
+            pass  # medians come from fit_quantiles below
         elif strategy == "mode" or (strategy == "auto" and not num):
             aggs.append(F.mode(c(x), True).alias(f"v{i}"))
-    row = df.agg(*aggs).first()
+    row = df.agg(*aggs).first().asDict()
     n = row["_n"]
+    med_cols = [x for x in cols if strategy in ("median", "auto") and isinstance(types[x], NUMERIC)]
+    med = fit_quantiles(df, med_cols, [0.5], method) if med_cols else {}
+    for i, x in enumerate(cols):
+        if x in med:
+            row[f"v{i}"] = med[x][0]
     fill, drop = {}, []
     for i, x in enumerate(cols):
         if strategy == "auto" and n and row[f"z{i}"] / n > drop_threshold:
             drop.append(x)
             continue
-        if f"v{i}" in row.asDict() and row[f"z{i}"] > 0 and row[f"v{i}"] is not None:
+        if row.get(f"v{i}") is not None and row[f"z{i}"] > 0:
             fill[x] = row[f"v{i}"]
     return {"fill": fill, "drop": drop}
 
@@ -111,22 +116,19 @@ def fit_bounds(df: DataFrame, cols: list[str], method: str = "iqr", factor: floa
                qmethod: str = "exact") -> dict[str, tuple[float, float]]:
     """Lower / upper bound per column: iqr (Q1 - kIQR, Q3 + kIQR), zscore
     (mean -+ k std), percentile (k-th and (100-k)-th percentiles)."""
-    aggs = []
-    for i, x in enumerate(cols):
-        v = c(x).cast("double")
-        if method == "iqr":
-            aggs.append(quantiles(v, [0.25, 0.75], qmethod).alias(f"q{i}"))
-        elif method == "zscore":
-            sd = F.stddev_samp(v) if ddof == 1 else F.stddev_pop(v)
-            aggs.append(F.array(F.avg(v), sd).alias(f"q{i}"))
-        elif method == "percentile":
-            aggs.append(quantiles(v, [factor / 100, 1 - factor / 100], qmethod).alias(f"q{i}"))
-        else:
-            raise ValueError(f"unknown outlier method {method!r}")
-    row = df.agg(*aggs).first()
+    if method == "iqr":
+        q = fit_quantiles(df, cols, [0.25, 0.75], qmethod)
+    elif method == "percentile":
+        q = fit_quantiles(df, cols, [factor / 100, 1 - factor / 100], qmethod)
+    elif method == "zscore":
+        sd = (lambda v: F.stddev_samp(v)) if ddof == 1 else (lambda v: F.stddev_pop(v))
+        row = df.agg(*[F.array(F.avg(c(x).cast("double")), sd(c(x).cast("double"))).alias(x) for x in cols]).first()
+        q = {x: row[x] for x in cols}
+    else:
+        raise ValueError(f"unknown outlier method {method!r}")
     out = {}
     for i, x in enumerate(cols):
-        a, b = row[f"q{i}"] or (None, None)
+        a, b = q[x] or (None, None)
         if a is None or b is None:
             out[x] = (None, None)
         elif method == "iqr":
@@ -233,20 +235,24 @@ def fit_scaler(df: DataFrame, cols: list[str], kind: str = "standard", quantile_
                method: str = "exact") -> dict[str, tuple[float, float]]:
     """(center, scale) per column: standard (mean, population std), minmax
     (min, max - min), robust (median, Q_hi - Q_lo).  A zero scale becomes 1."""
-    aggs = []
-    for i, x in enumerate(cols):
-        v = c(x).cast("double")
-        if kind == "standard":
-            aggs += [F.avg(v).alias(f"a{i}"), F.stddev_pop(v).alias(f"b{i}")]
-        elif kind == "minmax":
-            aggs += [F.min(v).alias(f"a{i}"), (F.max(v) - F.min(v)).alias(f"b{i}")]
-        elif kind == "robust":
-            lo, hi = quantile_range[0] / 100, quantile_range[1] / 100
-            q = quantiles(v, [0.5, lo, hi], method)
-            aggs += [q[0].alias(f"a{i}"), (q[2] - q[1]).alias(f"b{i}")]
-        else:
-            raise ValueError(f"unknown scaler {kind!r}")
-    row = df.agg(*aggs).first()
+    if kind == "robust":
+        lo, hi = quantile_range[0] / 100, quantile_range[1] / 100
+        q = fit_quantiles(df, cols, [0.5, lo, hi], method)
+        row = {}
+        for i, x in enumerate(cols):
+            m, a, b = q[x]
+            row[f"a{i}"], row[f"b{i}"] = m, (b - a) if a is not None and b is not None else None
+    else:
+        aggs = []
+        for i, x in enumerate(cols):
+            v = c(x).cast("double")
+            if kind == "standard":
+                aggs += [F.avg(v).alias(f"a{i}"), F.stddev_pop(v).alias(f"b{i}")]
+            elif kind == "minmax":
+                aggs += [F.min(v).alias(f"a{i}"), (F.max(v) - F.min(v)).alias(f"b{i}")]
+            else:
+                raise ValueError(f"unknown scaler {kind!r}")
+        row = df.agg(*aggs).first()
     return {x: (row[f"a{i}"], row[f"b{i}"] if row[f"b{i}"] not in (None, 0, 0.0) else 1.0)
             for i, x in enumerate(cols)}
 

@@ -58,15 +58,23 @@ def total_rows(df: DataFrame) -> int:
 
 
 # ---------------------------------------------------------------- A1 describe
-def describe(df: DataFrame, cols: list[str] | None = None, method: str = "exact") -> DataFrame:
-    """count, mean, sample std, min, quartiles (linear), max per numeric column."""
+def describe(df: DataFrame, cols: list[str] | None = None, method: str = "auto") -> DataFrame:
+    """count, mean, sample std, min, quartiles (linear), max per numeric column.
+
+    ``exact`` / ``approx``: everything in one aggregate.  ``auto``: moments in
+    one aggregate, quartiles from ``fit_quantiles`` (bounded single pass or the
+    distributed exact selection for high-cardinality columns)."""
+    from vigil.functions.ordering import fit_quantiles
+
     cols = cols or numeric_columns(df)
+    qs = fit_quantiles(df, cols, [0.25, 0.5, 0.75]) if method == "auto" else None
     aggs = []
     for i, x in enumerate(cols):
         v = c(x).cast("double")
+        q = (F.array(*[F.lit(t).cast("double") for t in qs[x]]) if qs is not None
+             else quantiles(v, [0.25, 0.5, 0.75], method))
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
-                 F.min(v).alias(f"lo{i}"), quantiles(v, [0.25, 0.5, 0.75], method).alias(f"q{i}"),
-                 F.max(v).alias(f"hi{i}")]
+                 F.min(v).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(v).alias(f"hi{i}")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(x).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
                      F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
@@ -303,14 +311,23 @@ def binned_target(df: DataFrame, col: str, target: str, bins: int = 10) -> DataF
                     F.coalesce(F.col("1"), F.lit(0)).cast("long").alias("n1"))
 
 
-def boxplot_stats(df: DataFrame, col: str, by: str, k: float = 1.5, method: str = "exact") -> DataFrame:
+def boxplot_stats(df: DataFrame, col: str, by: str, k: float = 1.5, method: str = "auto") -> DataFrame:
     """Per group quartiles, whisker ends (extreme points inside the fences), outlier count.
 
-    Pass 1 is a grouped percentile (one row per group); pass 2 joins that
-    small table back (broadcast) and uses conditional min / max.
+    Pass 1: exact grouped quartiles (``auto``: distributed selection, no group's
+    values held in one task; or ``exact`` / ``approx`` grouped aggregates).
+    Pass 2 joins the small per-group table back (broadcast) and uses
+    conditional min / max.
     """
-    q = df.groupBy(c(by).alias(by)).agg(quantiles(c(col), [0.25, 0.5, 0.75], method).alias("q"))
-    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    if method == "auto":
+        from vigil.functions.ordering import exact_quantiles_distributed
+
+        long = exact_quantiles_distributed(df.select(c(by).alias(by), c(col).alias("_x")), "_x", [0.25, 0.5, 0.75], [by])
+        q = long.groupBy(by).pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("value"))
+        q = q.select(by, F.col("`0.25`").alias("q1"), F.col("`0.5`").alias("median"), F.col("`0.75`").alias("q3"))
+    else:
+        q = df.groupBy(c(by).alias(by)).agg(quantiles(c(col), [0.25, 0.5, 0.75], method).alias("q"))
+        q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumns({"lo_fence": F.col("q1") - k * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + k * (F.col("q3") - F.col("q1"))})
     j = df.select(c(by).alias(by), c(col).alias("_x")).join(F.broadcast(q), by)

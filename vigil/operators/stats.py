@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from vigil.functions.ordering import grouped_prefix
+from vigil.functions.ordering import fit_quantiles, grouped_prefix
 from vigil.operators.profile import c, quantiles
 
 BROADCAST_ROWS = 1_000_000
@@ -307,10 +307,9 @@ def qq_points(df: DataFrame, col: str, m: int = 20, method: str = "exact") -> Da
     """M sample quantiles at (i - 0.5) / m against the normal quantiles."""
     probs = [(i - 0.5) / m for i in range(1, m + 1)]
     theo = [normal_quantile(p) for p in probs]
-    q = df.agg(quantiles(c(col).cast("double"), probs, method).alias("q"))
-    rows = [F.struct(F.lit(i + 1).alias("i"), F.lit(p).alias("prob"), F.lit(t).alias("theoretical"),
-                     F.col("q")[i].alias("sample")) for i, (p, t) in enumerate(zip(probs, theo))]
-    return q.select(F.inline(F.array(*rows)))
+    q = fit_quantiles(df, [col], probs, method)[col]
+    rows = [(i + 1, p, t, float(v) if v is not None else None) for i, (p, t, v) in enumerate(zip(probs, theo, q))]
+    return df.sparkSession.createDataFrame(rows, "i int, prob double, theoretical double, sample double")
 
 
 # ---------------------------------------------------------------- C11 paired t
@@ -369,7 +368,7 @@ def select_chi2(df: DataFrame, cols: list[str], target: str) -> DataFrame:
 def select_mutual_info(df: DataFrame, cols: list[str], target: str, bins: int = 10, method: str = "exact") -> DataFrame:
     """Plug-in mutual information (nats) of quantile-binned features with the target."""
     probs = [i / bins for i in range(1, bins)]
-    cuts = df.agg(*[quantiles(c(x).cast("double"), probs, method).alias(x) for x in cols]).first().asDict()
+    cuts = fit_quantiles(df, cols, probs, method)
     out = None
     for x in cols:
         arr = F.array(*[F.lit(v) for v in cuts[x]])
