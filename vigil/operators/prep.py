@@ -71,36 +71,25 @@ def impute_drop(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.na.drop("any", subset=cols)
 
 
-def ffill(df: DataFrame, cols: list[str], series: str, order: list[str]) -> DataFrame:
-    """M5: last non-null value in row order within each series; leading nulls stay."""
-    w = Window.partitionBy(series).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({x: F.last(c(x), ignorenulls=True).over(w) for x in cols})
+def ffill(df: DataFrame, cols: list[str], series: str, order: list[str], n_chunks: int | None = None) -> DataFrame:
+    """M5: last non-null value in row order within each series; leading nulls stay.
 
+    Skew-safe: a series is cut into order-preserving chunks and the last known
+    value crosses chunk borders through a small per-chunk table
+    (``vigil.functions.series``), so a hot machine is not one task."""
+    from vigil.functions import series as SR
 
-def interpolate(df: DataFrame, cols: list[str], series: str, order: list[str]) -> DataFrame:
+    return SR.ffill(df, cols, series, order, n_chunks)
+
+
+def interpolate(df: DataFrame, cols: list[str], series: str, order: list[str], n_chunks: int | None = None) -> DataFrame:
     """M6: linear interpolation by row position within each series.
 
-    Leading nulls stay null; trailing nulls take the last known value.
-    """
-    base = Window.partitionBy(series).orderBy(*order)
-    out = df.withColumn("_pos", F.row_number().over(base))
-    back = base.rowsBetween(Window.unboundedPreceding, 0)
-    fwd = base.rowsBetween(0, Window.unboundedFollowing)
-    exprs = {}
-    for x in cols:
-        known = F.when(c(x).isNotNull(), F.struct(F.col("_pos").alias("p"), c(x).alias("v")))
-        exprs[f"_prev_{x}"] = F.last(known, ignorenulls=True).over(back)
-        exprs[f"_next_{x}"] = F.first(known, ignorenulls=True).over(fwd)
-    out = out.withColumns(exprs)
-    fills = {}
-    for x in cols:
-        pv, nx = F.col(f"_prev_{x}"), F.col(f"_next_{x}")
-        lerp = pv["v"] + (nx["v"] - pv["v"]) * (F.col("_pos") - pv["p"]) / (nx["p"] - pv["p"])
-        fills[x] = (F.when(c(x).isNotNull(), c(x))
-                    .when(pv.isNotNull() & nx.isNotNull(), lerp)
-                    .when(pv.isNotNull(), pv["v"]))
-    out = out.withColumns(fills)
-    return out.drop("_pos", *[f"_prev_{x}" for x in cols], *[f"_next_{x}" for x in cols])
+    Leading nulls stay null; trailing nulls take the last known value.  Same
+    chunked evaluation as ``ffill`` (positions from per-chunk counts)."""
+    from vigil.functions import series as SR
+
+    return SR.interpolate(df, cols, series, order, n_chunks)
 
 
 def fill_zero(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Sequence windows over ordered readings (W1, W2) and their summary features.
 
-Windows are partitioned by the series key (machine), so a series is the unit
-of work; rows are ordered by (ts, key) for a total order.
+Rows are ordered by (ts, key) within a series (machine); a series is split
+into chunks so one hot machine does not become one task.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ from pyspark.sql.window import Window
 def sequences(df: DataFrame, series: str, order: list[str], value: str, length: int = 10,
               label: Column | None = None) -> DataFrame:
     """The ``length`` previous values (current row excluded) of each row
-    that has a full window; W2: the row's own label pairs with that window."""
-    w = Window.partitionBy(series).orderBy(*order).rowsBetween(-length, -1)
-    out = df.withColumn("seq", F.collect_list(F.col(value)).over(w)).where(F.size("seq") == length)
+    that has a full window; W2: the row's own label pairs with that window.
+    Skew-safe: windows run inside order-preserving chunks of each series and
+    the last ``length`` values of earlier chunks are carried over."""
+    from vigil.functions.series import previous_values
+
+    out = previous_values(df, series, order, value, length).where(F.size("seq") == length)
     if label is not None:
         out = out.withColumn("label", label)
     return out
