@@ -30,6 +30,7 @@ from vigil.sources import fixtures as X
 BASE = ["air_temp", "proc_temp", "speed", "torque", "wear", "type_L", "type_M"]
 ENG = BASE + ["temp_difference", "mechanical_power", "wear_torque_interaction", "stress_index", "speed_torque_ratio"]
 FOLDS = 3
+LOOP_FOLDS = 2  # folds inside driver loops over sizes / sets / candidates
 
 
 def model_frame(spark, sf: str, extended: bool = False) -> DataFrame:
@@ -107,14 +108,14 @@ def q_model_mlp(spark, sf):
 
 @query("model_svm")
 def q_model_svm(spark, sf):
-    """RBF SVM via random Fourier features (30, gamma='scale') + LinearSVC; probability by a
+    """RBF SVM via random Fourier features (20, gamma='scale') + LinearSVC; probability by a
     logistic fit on the margin (Platt); test metrics."""
     from pyspark.ml.classification import LogisticRegression
 
     d = model_frame(spark, sf)
     tr, te = d.where("split = 'train'"), d.where("split = 'test'")
-    rff = M.rff_stage(tr, BASE, 30)
-    model = M.pipeline("svm", BASE, rff=rff, n_rows=tr.count(), max_iter=30).fit(tr)
+    rff = M.rff_stage(tr, BASE, 20)
+    model = M.pipeline("svm", BASE, rff=rff, n_rows=tr.count(), max_iter=20).fit(tr)
     margin = lambda df: VectorAssembler(inputCols=["margin"], outputCol="m").transform(
         model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1]))
     platt = LogisticRegression(featuresCol="m", labelCol="label", predictionCol="platt_pred",
@@ -318,15 +319,15 @@ def q_cross_validate(spark, sf):
 
 @query("learning_curve")
 def q_learning_curve(spark, sf):
-    """Nested hash samples of the training rows (25 / 50 / 100 %) x folds: train and
+    """Nested hash samples of the training rows (50 / 100 %) x 2 folds: train and
     validation accuracy, gap and over-fitting verdict (> .1 high, > .05 moderate)."""
     d = model_frame(spark, sf)
     tr = d.where("split = 'train'").withColumn("_u", PR.split_hash(F.col("key"), 7) / 4294967296.0)
     rows = []
-    for frac in (0.25, 0.5, 1.0):
+    for frac in (0.5, 1.0):
         sub = tr.where(F.col("_u") < frac)
         t_s, v_s = [], []
-        for f in range(FOLDS):
+        for f in range(LOOP_FOLDS):
             model, m = ML.fit_evaluate(M.pipeline("decision_tree", BASE, max_depth=6), sub.where(F.col("fold") != f),
                                        sub.where(F.col("fold") == f))
             t_s.append(ML.metrics_row(ML.scored_from(model.transform(sub.where(F.col("fold") != f))))["accuracy"])
@@ -343,15 +344,15 @@ def q_learning_curve(spark, sf):
 
 @query("validation_curve")
 def q_validation_curve(spark, sf):
-    """Tree depth 2 / 4 / 8 x folds: mean train and validation accuracy."""
+    """Tree depth 2 / 6 x 2 folds: mean train and validation accuracy."""
     import numpy as np
 
     d = model_frame(spark, sf)
     tr = d.where("split = 'train'")
     rows = []
-    for depth in (2, 4, 8):
+    for depth in (2, 6):
         t_s, v_s = [], []
-        for f in range(FOLDS):
+        for f in range(LOOP_FOLDS):
             model, m = ML.fit_evaluate(M.pipeline("decision_tree", BASE, max_depth=depth), tr.where(F.col("fold") != f),
                                        tr.where(F.col("fold") == f))
             t_s.append(ML.metrics_row(ML.scored_from(model.transform(tr.where(F.col("fold") != f))))["accuracy"])
@@ -455,10 +456,10 @@ def q_select_rfecv(spark, sf):
     tr = e.where("split = 'train'")
     rk = dict(ML.rfe(tr, ENG, 1, trees=10, step=3))
     rows = []
-    for size in sorted({1, 4, 7, 10, len(ENG)}):
+    for size in sorted({1, 4, 7, len(ENG)}):
         feats = [f for f in ENG if rk[f] <= size]
-        cv = ML.cross_validate(lambda f=feats: M.pipeline("random_forest", f, n_estimators=10, max_depth=6), tr, FOLDS,
-                               metric="f1")
+        cv = ML.cross_validate(lambda f=feats: M.pipeline("random_forest", f, n_estimators=10, max_depth=6), tr,
+                               LOOP_FOLDS, metric="f1")
         rows.append({"size": float(len(feats)), "f1": cv["mean"], "features": ",".join(feats)})
     best = max(rows, key=lambda r: (r["f1"], -r["size"]))
     for r in rows:
@@ -567,7 +568,8 @@ def q_evaluate_feature_sets(spark, sf):
     for name, cols in sets.items():
         if not cols:
             continue
-        cv = ML.cross_validate(lambda c=cols: M.pipeline("logistic", c, n_rows=1000, max_iter=50), tr, FOLDS, metric="f1")
+        cv = ML.cross_validate(lambda c=cols: M.pipeline("logistic", c, n_rows=1000, max_iter=50), tr, LOOP_FOLDS,
+                               metric="f1")
         rows.append({"feature_set": name, "f1": cv["mean"], "f1_std": cv["std"], "size": float(len(cols))})
     e.unpersist()
     return _metrics_df(spark, rows, ["feature_set", "size", "f1", "f1_std"])
