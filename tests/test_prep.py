@@ -77,3 +77,31 @@ def test_clip_keeps_nulls(spark):
     df = spark.createDataFrame([(None,), (-5.0,), (50.0,)], "x double")
     out = [r["x"] for r in PR.clip(df, {"x": (0.0, 10.0)}).collect()]
     assert out == [None, 0.0, 10.0]
+
+
+def test_series_ops_with_a_hot_machine_match_pandas(spark):
+    """One machine holds most rows; chunked evaluation (many chunks) must equal
+    the plain per-machine computation."""
+    from vigil.functions import series as SR
+
+    rng = np.random.default_rng(4)
+    n = 600
+    machine = np.where(rng.random(n) < 0.8, 1, rng.integers(2, 5, n))
+    v = np.where(rng.random(n) < 0.4, np.nan, rng.normal(size=n).round(3))
+    pdf = pd.DataFrame({"key": np.arange(n), "machine_id": machine, "t": rng.permutation(n), "v": v})
+    df = spark.createDataFrame(pdf).withColumn("v", F.nanvl("v", F.lit(None).cast("double")))
+    ref = pdf.sort_values(["machine_id", "t", "key"]).copy()
+    ref["ff"] = ref.groupby("machine_id")["v"].ffill()
+    ref["ip"] = ref.groupby("machine_id")["v"].transform(lambda s: s.reset_index(drop=True).interpolate().set_axis(s.index))
+    ref["prev"] = ref.groupby("machine_id")["v"].transform(lambda s: s.shift(1))
+    ff = SR.ffill(df, ["v"], "machine_id", ["t", "key"], n_chunks=23).toPandas().set_index("key")["v"]
+    ip = SR.interpolate(df, ["v"], "machine_id", ["t", "key"], n_chunks=23).toPandas().set_index("key")["v"]
+    seq = SR.previous_values(df.fillna(0.0), "machine_id", ["t", "key"], "v", 3, n_chunks=23).toPandas().set_index("key")["seq"]
+    for k, row in ref.set_index("key").iterrows():
+        assert (pd.isna(ff[k]) and pd.isna(row["ff"])) or abs(ff[k] - row["ff"]) < 1e-12
+        assert (pd.isna(ip[k]) and pd.isna(row["ip"])) or abs(ip[k] - row["ip"]) < 1e-9
+    zero = pdf.fillna(0.0).sort_values(["machine_id", "t", "key"])
+    for m, g in zero.groupby("machine_id"):
+        vals = g["v"].tolist()
+        for i, k in enumerate(g["key"]):
+            assert list(seq[k]) == vals[max(0, i - 3):i]
