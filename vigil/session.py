@@ -26,11 +26,15 @@ _DEFAULTS = {
 def get_session(master: str | None = None, app: str = "vigil", shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session.  ``master`` is only set for local runs."""
+    from pyspark import SparkConf
+
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+    preset = SparkConf()  # spark-defaults / submit options of the cluster
     for k, v in _DEFAULTS.items():
-        b = b.config(k, v)
+        if not preset.contains(k):
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
