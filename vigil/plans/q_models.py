@@ -418,7 +418,25 @@ def q_prepare_training(spark, sf):
                   F.count_if(F.col("split") == "test").alias("test_rows"))
 
 
-@query("preprocess_flow")
+_H = "(((key % 998244353)*2654435761 + 42) % 4294967296)"
+_NUM4 = ["air_temp", "proc_temp", "speed", "torque"]
+_T1_SQL = X.with_sql(X.SENSOR_NULLS_SQL + """,
+imp AS (SELECT key,
+  coalesce(type, (SELECT type FROM sensor_nulls WHERE type IS NOT NULL GROUP BY type ORDER BY count(*) DESC, type LIMIT 1)) AS type,
+  air_temp, proc_temp, speed, coalesce(torque, (SELECT quantile_cont(torque, 0.5) FROM sensor_nulls)) AS torque, failure
+  FROM sensor_nulls),
+sc AS (SELECT key, failure, CAST(type = 'L' AS INTEGER) AS type_L, CAST(type = 'M' AS INTEGER) AS type_M, """ + ", ".join(
+    f"({c} - (SELECT avg({c}) FROM imp))/coalesce(nullif((SELECT stddev_pop({c}) FROM imp), 0), 1.0) AS {c}" for c in _NUM4) + """
+  FROM imp),
+rk AS (SELECT *, row_number() OVER (PARTITION BY failure ORDER BY """ + _H + """, key) - 1 AS r,
+  count(*) OVER (PARTITION BY failure) AS n FROM sc)""", """SELECT key, failure, type_L, type_M, """ + ", ".join(
+    f"round({c}, 6) AS {c}" for c in _NUM4) + """,
+  CASE WHEN r < floor(n*0.2 + 0.5) THEN 'test'
+       WHEN r < floor(n*0.2 + 0.5) + floor((n - floor(n*0.2 + 0.5))*""" + repr(0.1 / (1 - 0.2)) + """ + 0.5) THEN 'val'
+       ELSE 'train' END AS split FROM rk""")
+
+
+@query("preprocess_flow", _T1_SQL)
 def q_preprocess_flow(spark, sf):
     """Load -> quality report -> impute (auto) -> outlier report -> encode -> standard
     scale (not the target) -> stratified split; the prepared rows with their split."""
