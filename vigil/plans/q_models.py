@@ -163,7 +163,17 @@ def _emb(spark, sf):
     return X.table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
 
 
-@query("knn_classify")
+_KNN_CTE = """e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+d AS (SELECT a.vec_id AS qid, b.vec_id AS nid, b.label AS nlabel,
+        round(sqrt(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))), 9) AS dist
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+nb AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY dist, nid) <= 5)"""
+
+
+@query("knn_classify", f"""WITH {_KNN_CTE},
+votes AS (SELECT qid, nlabel, count(*) AS n FROM nb GROUP BY ALL)
+SELECT v.qid, CAST(arg_max(nlabel, (n, -nlabel)) AS INTEGER) AS prediction, any_value(e.label) AS label
+FROM votes v JOIN e ON e.vec_id = v.qid GROUP BY v.qid""")
 def q_knn_classify(spark, sf):
     """Leave-one-out 5-NN label vote over the embeddings (exact Euclidean, ties by id)."""
     e = _emb(spark, sf)
@@ -171,7 +181,9 @@ def q_knn_classify(spark, sf):
     return pred.join(e.select(F.col("vec_id").alias("qid"), "label"), "qid")
 
 
-@query("knn_regress")
+@query("knn_regress", f"""WITH {_KNN_CTE}
+SELECT qid, round(sum(CASE WHEN dist = 0 THEN 1e12 ELSE 1/dist END*nlabel)/sum(CASE WHEN dist = 0 THEN 1e12 ELSE 1/dist END), 6)
+  AS prediction FROM nb GROUP BY qid""")
 def q_knn_regress(spark, sf):
     """Leave-one-out 5-NN mean of the neighbours' values (label as a number), distance-weighted."""
     e = _emb(spark, sf)
