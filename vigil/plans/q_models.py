@@ -572,7 +572,32 @@ def q_select_aggressive(spark, sf):
     return spark.createDataFrame([(i + 1, f) for i, f in enumerate(chosen)], "position int, feature string")
 
 
-@query("select_conservative")
+_ENG_SQL = {
+    "temp_difference": "proc_temp - air_temp",
+    "mechanical_power": "torque*(speed*2*pi()/60)",
+    "wear_torque_interaction": "wear*torque/100",
+    "stress_index": "(speed/nullif(op.max_speed, 0) + torque/nullif(op.max_torque, 0) + wear/nullif(op.max_wear, 0))/3",
+    "speed_torque_ratio": "speed/nullif(torque + 1e-6, 0)",
+}
+_L14_SQL = X.with_sql(X.SENSOR_SQL + """,
+op AS (SELECT max(speed) AS max_speed, max(torque) AS max_torque, max(wear) AS max_wear FROM sensor),
+tr0 AS (SELECT s.*, CAST(type = 'L' AS INTEGER) AS type_L, CAST(type = 'M' AS INTEGER) AS type_M, """ + ", ".join(
+    f"{v} AS {k}" for k, v in _ENG_SQL.items()) + """,
+  row_number() OVER (PARTITION BY failure ORDER BY """ + _H + """, key) - 1 AS r, count(*) OVER (PARTITION BY failure) AS n
+  FROM sensor s, op),
+tr AS (SELECT * FROM tr0 WHERE r >= floor(n*0.2 + 0.5)),
+m AS (""" + "\nUNION ALL\n".join(
+    f"SELECT '{x}' AS feature, failure AS cls, count({x}) AS n, avg({x}) AS mean, var_samp({x}) AS var, "
+    f"(SELECT var_samp({x}) FROM tr) AS v_all FROM tr GROUP BY failure" for x in ENG) + """),
+f AS (SELECT feature, ((sum(n*mean*mean) - sum(n*mean)*sum(n*mean)/sum(n))/(count(*) - 1))
+        / (sum((n - 1)*coalesce(var, 0))/(sum(n) - count(*))) AS f_stat FROM m WHERE v_all > 0.001 GROUP BY feature)""",
+    """SELECT feature, round(f_stat, 6) AS f_stat, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (ORDER BY f_stat DESC NULLS LAST, feature) AS rank FROM f)
+  WHERE rank <= greatest(5, least(CAST(floor(sqrt((SELECT count(*) FROM tr))) AS BIGINT), (SELECT count(*) FROM tr) // 10, """
+    + str(len(ENG)) + """ // 2))""")
+
+
+@query("select_conservative", _L14_SQL)
 def q_select_conservative(spark, sf):
     """Variance 0.001 -> ANOVA F top (size)."""
     from pyspark.sql.window import Window
