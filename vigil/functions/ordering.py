@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
+from vigil.functions.cache import keep
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -73,9 +74,7 @@ def grouped_prefix(df: DataFrame, by: list[str], order_cols: list[str], cols: li
 
     The input (usually a small aggregate) is cached: it is read by the cut
     pass, the per-bucket totals and the final pass."""
-    from pyspark import StorageLevel
-
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = keep(df)
     cuts = bucket_cuts(df, order_cols, n_buckets)
     d = df.withColumn("_b", bucket_of(order_cols, cuts, descending))
     order = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
@@ -108,10 +107,8 @@ def exact_quantiles_distributed(df: DataFrame, col: str, probs: list[float], by:
     values covering ranks floor(q (n-1)) and ceil(q (n-1)) are kept.  Result:
     ``by..., prob, value`` (one row per group and probability)."""
     by = by or []
-    from pyspark import StorageLevel
-
-    d = df.where(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_cnt")).persist(StorageLevel.MEMORY_AND_DISK)
+    d = keep(df.where(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_cnt")))
     pre = grouped_prefix(d, by, ["_v"], ["_cnt"])
     tot = d.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
     j = pre.join(F.broadcast(tot), by) if by else pre.withColumn("_n", F.lit(tot.first()["_n"]))

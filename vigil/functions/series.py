@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vigil.functions.ordering import bucket_cuts, bucket_of
+from vigil.functions.cache import keep
 
 
 def with_chunks(df: DataFrame, order: list[str], n_chunks: int | None = None) -> DataFrame:
@@ -26,11 +27,10 @@ def with_chunks(df: DataFrame, order: list[str], n_chunks: int | None = None) ->
     column only (timestamps as epoch micros, one ``percentile_approx`` pass);
     rows that tie on it share a chunk, so the full order is respected.  The
     input is cached: the chunk windows and the carry tables both read it."""
-    from pyspark import StorageLevel
     from pyspark.sql import types as T
 
     lead = order[0]
-    d = df.persist(StorageLevel.MEMORY_AND_DISK)
+    d = keep(df)
     if isinstance(d.schema[lead].dataType, (T.TimestampType, T.TimestampNTZType)):
         d = d.withColumn("_lead", F.unix_micros(F.col(lead).cast("timestamp")))
     else:

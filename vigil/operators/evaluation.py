@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from vigil.functions.ordering import grouped_prefix
 from vigil.operators.profile import quantiles
+from vigil.functions.cache import keep
 
 # Cost constants of the three business models and metric bands.
 COST_A = {"failure": 10000, "maintenance": 1000, "false_positive": 500, "false_negative": 8000}
@@ -86,12 +87,9 @@ def class_metrics(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
 def score_counts(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
     """One row per (group, distinct score): positives and negatives (cached: the
     curve operators read it several times and it is far smaller than the input)."""
-    from pyspark import StorageLevel
-
     by = by or []
     return scored.groupBy(*by, F.col(p).alias("p")).agg(F.count_if(F.col(y) == 1).alias("pos"),
-                                                        F.count_if(F.col(y) != 1).alias("neg")).persist(
-        StorageLevel.MEMORY_AND_DISK)
+                                                        F.count_if(F.col(y) != 1).alias("neg")).transform(keep)
 
 
 def _totals(counts: DataFrame, by: list[str]) -> DataFrame:

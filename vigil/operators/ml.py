@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from vigil.operators import evaluation as V
 from vigil.plans import models as M
+from vigil.functions.cache import keep
 
 
 def scored_from(pred: DataFrame, key: str = "key", label: str = "label") -> DataFrame:
@@ -283,4 +284,4 @@ def anomaly_scores(model: PipelineModel, thr: float, df: DataFrame) -> DataFrame
 
 
 def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return keep(df)

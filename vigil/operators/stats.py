@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 from vigil.functions.ordering import fit_quantiles, grouped_prefix
 from vigil.operators.profile import c, quantiles
+from vigil.functions.cache import keep
 
 BROADCAST_ROWS = 1_000_000
 
@@ -75,9 +76,7 @@ def with_average_ranks(df: DataFrame, cols: list[str], suffix: str = "_rank") ->
 def corr_spearman(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson on average ranks (rows with a null in a pair are skipped by ``corr``).
     The projected input is cached: it feeds one rank table per column and the final pass."""
-    from pyspark import StorageLevel
-
-    r = with_average_ranks(df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK), cols)
+    r = with_average_ranks(keep(df.select(*cols)), cols)
     out = corr_long(r, [f"{x}_rank" for x in cols])
     return out.select(F.regexp_replace("a", "_rank$", "").alias("a"), F.regexp_replace("b", "_rank$", "").alias("b"), "r")
 
