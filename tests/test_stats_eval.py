@@ -108,3 +108,19 @@ def test_readiness_gates_and_recommendations(spark):
     recs = V.recommendations(V.readiness(m)).collect()
     assert [x["recommendation"] for x in recs if x["model_name"] == "a"] == [V.RECOMMENDATIONS["ok"]]
     assert len([x for x in recs if x["model_name"] == "b"]) == 3  # accuracy, precision, roi
+
+
+def test_distributed_exact_quantiles_match_numpy(spark):
+    from vigil.functions.ordering import exact_quantiles_distributed, fit_quantiles
+
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=3000), rng.integers(0, 4, 2000).astype(float)])
+    pdf = pd.DataFrame({"x": x, "g": rng.integers(0, 3, len(x))})
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    for method in ("distributed", "exact"):
+        got = fit_quantiles(df, ["x"], probs, method)["x"]
+        assert np.allclose(got, np.quantile(x, probs), rtol=0, atol=1e-12)
+    g = exact_quantiles_distributed(df, "x", [0.25, 0.5], by=["g"]).toPandas()
+    for _, r in g.iterrows():
+        assert abs(r["value"] - pdf[pdf.g == r["g"]].x.quantile(r["prob"])) < 1e-12

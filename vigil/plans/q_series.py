@@ -127,11 +127,12 @@ def q_stream_risk_windows(spark, sf):
     """ST3: tumbling, sliding and session windows of reading risk per machine (watermark 10 min,
     append mode: windows are emitted once the watermark passes their end)."""
     schema = X.table(spark, sf, "events").schema
-    outs = []
+    named = {}
     for kind in ("tumbling", "sliding", "session"):
         src = readings_from(STR.file_stream(spark, sf, "events.parque[t]", schema))
         src = src.withColumn("p", reading_risk(F.col("value")))
-        outs.append(STR.run_available(STR.risk_windows(src, kind), f"stream_windows_{kind}"))
+        named[f"stream_windows_{kind}"] = STR.risk_windows(src, kind)
+    outs = list(STR.run_available_many(named).values())
     out = outs[0].unionByName(outs[1]).unionByName(outs[2])
     return _fmt(out)
 

@@ -43,6 +43,20 @@ def run_available(sdf: DataFrame, name: str, mode: str = "append", keep: str | N
     return spark.read.schema(sdf.schema).parquet(f"{base}/out")
 
 
+def run_available_many(named: dict[str, DataFrame], mode: str = "append") -> dict[str, DataFrame]:
+    """Starts several availableNow queries together (they share the cluster) and
+    waits for all; returns each sink as a batch frame."""
+    started = {}
+    for name, sdf in named.items():
+        base = work_dir(sdf.sparkSession, name)
+        q = (sdf.writeStream.outputMode(mode).format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+        started[name] = (q, base, sdf)
+    for q, _, _ in started.values():
+        q.awaitTermination()
+    return {n: sdf.sparkSession.read.schema(sdf.schema).parquet(f"{base}/out") for n, (q, base, sdf) in started.items()}
+
+
 # ---------------------------------------------------------------- ST1
 def stream_score(source: DataFrame, score_plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """ST1: the stateless batch scoring plan applied to the stream."""
