@@ -53,10 +53,6 @@ def unpivot_structs(wide: DataFrame, rows: list[Column]) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def total_rows(df: DataFrame) -> int:
-    return df.count()
-
-
 # ---------------------------------------------------------------- A1 describe
 def describe(df: DataFrame, cols: list[str] | None = None, method: str = "auto") -> DataFrame:
     """count, mean, sample std, min, quartiles (linear), max per numeric column.

@@ -114,16 +114,9 @@ def q_feature_quality(spark, sf):
     return round_doubles(A.feature_quality(d, _FQ))
 
 
-def _g1(x):
-    n = f"CAST(count({x}) AS DOUBLE)"
-    return f"CASE WHEN count({x}) >= 3 THEN sqrt({n}*({n} - 1))/({n} - 2)*skewness_pop_{x} END"
-
-
 def _meta_sql():
     parts = []
     for x in SENS:
-        n = f"CAST(count({x}) AS DOUBLE)"
-        m2 = f"(avg({x}*{x}) - avg({x})*avg({x}))"
         parts.append(f"""SELECT '{x}' AS feature, count(*) FILTER (WHERE {x} IS NULL) AS nulls,
   count(DISTINCT {x}) AS "distinct", round(min({x}), 6) AS min, round(max({x}), 6) AS max, round(avg({x}), 6) AS mean,
   round(stddev_samp({x}), 6) AS std, round(var_samp({x}), 6) AS var, round(skewness({x}), 6) AS skew,
