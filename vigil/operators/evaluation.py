@@ -254,7 +254,8 @@ def cost_matrix_model(cells: DataFrame, by: list[str] | None = None, m: dict = C
 # ---------------------------------------------------------------- V25 many models
 def evaluate_many(scored: DataFrame, model: str = "model_name") -> DataFrame:
     """One metrics row per model (accuracy, weighted precision / recall / F1,
-    AUC, Brier, cost-model value and ROI), every metric grouped by the model."""
+    AUC, Brier, cost-model value and ROI); each metric is one grouped aggregate
+    with the model as a key, joined on the model (small, one row per model)."""
     by = [model]
     cells = binary_cells(scored, by)
     m = class_metrics(cells, by).select(model, "accuracy", "precision", "recall", "f1")

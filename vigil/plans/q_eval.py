@@ -228,7 +228,7 @@ def metrics_many(spark, sf):
   round(recall, 6) AS recall, round(f1, 6) AS f1, round(auc, 6) AS auc, round(brier, 6) AS brier,
   business_value, round(roi, 6) AS roi FROM metrics""", _MANY_CTE))
 def q_evaluate_many(spark, sf):
-    """All scorers evaluated in one pass with the model as a group key."""
+    """All scorers evaluated together: every metric is grouped by the model name (no loop over models)."""
     return round_doubles(metrics_many(spark, sf))
 
 

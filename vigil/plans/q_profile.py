@@ -30,7 +30,7 @@ def _union(parts):
   round(min({x}), 6) AS min, round(quantile_cont({x}, 0.25), 6) AS q25, round(quantile_cont({x}, 0.5), 6) AS q50,
   round(quantile_cont({x}, 0.75), 6) AS q75, round(max({x}), 6) AS max FROM sensor""" for x in SENS])))
 def q_describe(spark, sf):
-    """A1: numeric summary of the five sensors in one aggregate."""
+    """A1: numeric summary of the five sensors: moments in one aggregate, exact quartiles from fit_quantiles."""
     return round_doubles(A.describe(X.sensor(spark, sf), SENS))
 
 
