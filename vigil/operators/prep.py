@@ -268,29 +268,25 @@ def split_hash(key: Column, seed: int = 42) -> Column:
     return (F.pmod(key, F.lit(HASH_MOD)) * F.lit(HASH_MUL) + F.lit(seed)) % F.lit(HASH_SPACE)
 
 
-def class_rank(df: DataFrame, cls: str | None, key: str, seed: int = 42, rows_per_bucket: int = 100_000,
-               with_sizes: bool = True) -> DataFrame:
+def class_rank(df: DataFrame, cls: str | None, key: str, seed: int = 42, bucket_bits: int = 16) -> DataFrame:
     """Adds ``_h`` and the exact 0-based rank ``_rank`` of each row inside its
     class by (h, key), plus the class size ``_n``.
 
-    Level 1: rows are spread over hash buckets (their number grows with the
-    data); a small (class, bucket) count table gives each bucket's offset.
-    Level 2: rows are ranked inside their (class, bucket) only.
+    Level 1: rows fall into 2^bucket_bits hash buckets (the top bits of h); a
+    (class, bucket) count table gives each bucket's offset inside its class.
+    Level 2: rows are ranked inside their (class, bucket) only, so a window
+    group holds about n / 2^bucket_bits rows.  No sizing pass over the input:
+    the count table is joined plainly and AQE broadcasts it when it is small.
     """
     cls_col = c(cls) if cls else F.lit(0)
     d = df.withColumn("_cls", cls_col).withColumn("_h", split_hash(c(key), seed))
-    n = df.count()
-    buckets = min(1 << 22, max(1024, 1 << math.ceil(math.log2(max(1, n // rows_per_bucket) + 1))))
-    shift = 32 - int(math.log2(buckets))
-    d = d.withColumn("_b", F.shiftright(F.col("_h"), shift))
+    d = d.withColumn("_b", F.shiftright(F.col("_h"), 32 - bucket_bits))
     cnt = d.groupBy("_cls", "_b").agg(F.count(F.lit(1)).alias("_bc"))
     w = Window.partitionBy("_cls").orderBy("_b")
     cnt = cnt.select("_cls", "_b", F.coalesce(F.sum("_bc").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                               F.lit(0)).alias("_off"),
                      F.sum("_bc").over(Window.partitionBy("_cls")).alias("_n"))
-    cnt_rows = buckets * max(1, (df.select(cls_col).distinct().count() if cls else 1))
-    right = F.broadcast(cnt) if cnt_rows <= BROADCAST_ROWS else cnt
-    d = d.join(right, ["_cls", "_b"])
+    d = d.join(cnt, ["_cls", "_b"])
     inner = Window.partitionBy("_cls", "_b").orderBy("_h", c(key))
     d = d.withColumn("_rank", F.col("_off") + F.row_number().over(inner) - 1)
     return d.drop("_b", "_off")
