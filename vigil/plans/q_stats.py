@@ -375,15 +375,26 @@ def q_compare_feature_sets(spark, sf):
                                       F.lit(ra).cast("long").alias("rows_a"), F.lit(rb).cast("long").alias("rows_b")))
 
 
-@query("prepare_for_model")
+def _l20_sql():
+    drops = _union([f"""SELECT CASE WHEN (SELECT var_samp({a}) FROM eng) >= (SELECT var_samp({b}) FROM eng) THEN '{b}' ELSE '{a}' END
+  AS feature FROM eng HAVING abs(corr({a}, {b})) > 0.9""" for a, b in _pairs(_ENG_COLS)])
+    parts = [f"""SELECT key, '{x}' AS feature, round(({x} - (SELECT quantile_cont({x}, 0.5) FROM eng))
+  / coalesce(nullif((SELECT quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) FROM eng), 0), 1.0), 6) AS value
+  FROM eng WHERE '{x}' NOT IN (SELECT feature FROM dr)""" for x in _ENG_COLS]
+    return S(_union(parts), _ENG_CTE + ",\ndr AS (" + drops + ")")
+
+
+@query("prepare_for_model", _l20_sql())
 def q_prepare_for_model(spark, sf):
-    """L20 ('linear'): drop the C4 removals at 0.9, then robust-scale what is left."""
+    """L20 ('linear'): drop the C4 removals at 0.9, then robust-scale what is left
+    (long form: key, feature, value)."""
     e = eng_frame(spark, sf)
     pairs = ST.corr_pairs(e, _ENG_COLS, 0.9)
     drop = {r["drop"] for r in pairs.select("drop").collect()}
     keep = [x for x in _ENG_COLS if x not in drop]
     scaled = PR.apply_scaler(e.select("key", *keep), PR.fit_scaler(e, keep, "robust"))
-    return round_doubles(scaled)
+    st = f"stack({len(keep)}, " + ", ".join(f"'{x}', `{x}`" for x in keep) + ") as (feature, value)"
+    return round_doubles(scaled.selectExpr("key", st))
 
 
 # ---------------------------------------------------------------- G9, G10
