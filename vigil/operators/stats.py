@@ -64,11 +64,12 @@ def average_rank_table(df: DataFrame, col: str) -> DataFrame:
 
 
 def with_average_ranks(df: DataFrame, cols: list[str], suffix: str = "_rank") -> DataFrame:
+    """Joins each column's (value, average rank) table back.  The tables have one
+    row per distinct value; the join is left to AQE, which broadcasts a table
+    only when its measured size is under the broadcast threshold."""
     out = df
     for x in cols:
         t = average_rank_table(df, x)
-        n = t.count()
-        t = F.broadcast(t) if n <= BROADCAST_ROWS else t
         out = out.join(t, c(x) == F.col("_v"), "left").withColumnRenamed("_rank", f"{x}{suffix}").drop("_v")
     return out
 
