@@ -37,7 +37,7 @@ RULES = {
 COUNTERS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 INNER = ["n_lines", "n_shouts", "n_stutter"]
 #: a rule casts a bad vote on at most this share of the good documents
-MOST_FALSE = 0.01
+MOST_FALSE = 0.001
 
 
 def counters(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -94,13 +94,14 @@ def votes(rules: dict = RULES) -> dict[str, Column]:
     return out
 
 
-def fit(patterns: DataFrame, rules: dict = RULES, rounds: int = 30) -> tuple[float, dict]:
+def fit(patterns: DataFrame, rules: dict = RULES, rounds: int = 12) -> tuple[float, dict]:
     """EM on the pattern table (at most ``3 ** len(rules)`` rows).  Starts from
     "bad if any rule says bad"; each round is one aggregate over the patterns.
     Returns the share of good documents and {rule: {vote: (P(vote | good, cast), P(vote | bad, cast))}}."""
     names = [f"_vg_v_{r}" for r in rules]
-    spark = patterns.sparkSession
-    table = spark.createDataFrame(patterns.collect(), patterns.schema)  # bounded: the distinct vote patterns
+    path = work_dir(patterns.sparkSession, "votes")
+    patterns.coalesce(1).write.parquet(path)
+    table = patterns.sparkSession.read.parquet(path)
     any_bad = reduce(lambda a, b: a | b, [F.col(v) == -1 for v in names])
     post: Column = F.when(any_bad, F.lit(0.05)).otherwise(F.lit(0.95))
     prior, conf = 0.5, {}
@@ -116,7 +117,7 @@ def fit(patterns: DataFrame, rules: dict = RULES, rounds: int = 30) -> tuple[flo
         if not conf:
             break
         post = posterior(prior, conf)
-        if abs(before - prior) < 1e-6:
+        if abs(before - prior) < 1e-4:
             break
     return prior, conf
 
