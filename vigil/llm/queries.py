@@ -28,3 +28,11 @@ def op8_quality_rules(spark, sf_dir):
     out = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "p_good")
+
+
+@query
+def op1_suffix_array_dedup(spark, sf_dir):
+    """Removes every byte under a 400-byte string that also starts elsewhere."""
+    from vigil.llm import suffixes
+
+    return suffixes.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
