@@ -36,3 +36,21 @@ def op1_suffix_array_dedup(spark, sf_dir):
     from vigil.llm import suffixes
 
     return suffixes.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_url_filters(spark, sf_dir):
+    """Rule or naive Bayes verdict of every page's url."""
+    from vigil.llm import urls
+
+    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "log_odds")
+
+
+@query
+def op7_token_file(spark, sf_dir):
+    """Writes every document's token ids as patched blocks and reads them back."""
+    import public_tokenizers
+
+    from vigil.llm import tokenfile
+
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
