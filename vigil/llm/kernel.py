@@ -63,12 +63,13 @@ def ragged(counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` and the words per document."""
+def words(buf: np.ndarray, offsets: np.ndarray, inside: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs of bytes that ``inside`` marks; by
+    default ``[^\\x20\\x09-\\x0D]+``) and the words per document."""
     if not len(buf):
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets) - 1, np.int64)
-    inside = _WORD[buf]
+    inside = inside[buf]
     before = np.empty_like(inside)
     before[0] = False
     before[1:] = inside[:-1]

@@ -54,3 +54,17 @@ def op7_token_file(spark, sf_dir):
     from vigil.llm import tokenfile
 
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    """Learns from four fifths of the documents, predicts all."""
+    import public_tokenizers
+
+    from vigil.llm import language
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(1))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold == 0).alias("held_out"))
+    model = language.fit(docs.filter("not held_out"), path, "text", "lang")
+    return language.predict(docs.select("doc_id", "held_out", "text"), model, path)
