@@ -68,3 +68,13 @@ def op10_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (fold == 0).alias("held_out"))
     model = language.fit(docs.filter("not held_out"), path, "text", "lang")
     return language.predict(docs.select("doc_id", "held_out", "text"), model, path)
+
+
+@query
+def op9_lm_scoring(spark, sf_dir):
+    """Deleted-interpolation score of every document, learned from six sevenths."""
+    from vigil.llm import lm
+
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    return lm.score(docs, ~F.col("held_out"))
