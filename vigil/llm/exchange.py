@@ -24,14 +24,18 @@ PART_BYTES = 8 << 20
 BUCKET_BYTES = 32 << 20
 
 
-def deal(docs: DataFrame, text_col: str, part_bytes: int = PART_BYTES) -> tuple[DataFrame, int]:
-    """``docs`` with a part number, and the total bytes of the texts."""
-    t = F.col(f"`{text_col}`")
-    total = docs.agg(F.sum(F.octet_length(t).cast("long"))).first()[0] or 0
-    parts = max(1, -(-total // part_bytes))
-    ids = [F.col(f"`{f.name}`") for f in docs.schema.fields
-           if f.name != text_col and f.dataType.typeName() in ("long", "integer", "string")]
-    return docs.withColumn(PART, F.pmod(F.xxhash64(t, *ids), F.lit(parts))), total
+def part_of(docs: DataFrame, cols: list[str], parts: int):
+    """Part number from a hash of the given columns; repeated rows share a part."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols]), F.lit(parts))
+
+
+def deal(docs: DataFrame, text_col: str, part_bytes: int = PART_BYTES, keys: list[str] | None = None) -> tuple[DataFrame, int]:
+    """``docs`` with a part number (by the text and ``keys``, default all other
+    numbers and strings), and the total bytes of the texts."""
+    total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("long"))).first()[0] or 0
+    if keys is None:
+        keys = [f.name for f in docs.schema.fields if f.name != text_col and f.dataType.typeName() in ("long", "integer", "string")]
+    return docs.withColumn(PART, part_of(docs, [text_col, *keys], max(1, -(-total // part_bytes)))), total
 
 
 def bits_for(n_bytes: float, bucket_bytes: int = BUCKET_BYTES) -> int:

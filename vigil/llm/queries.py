@@ -78,3 +78,11 @@ def op9_lm_scoring(spark, sf_dir):
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
     return lm.score(docs, ~F.col("held_out"))
+
+
+@query
+def op4_ngram_jaccard_join(spark, sf_dir):
+    """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    from vigil.llm import jaccard
+
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
