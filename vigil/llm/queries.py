@@ -86,3 +86,12 @@ def op4_ngram_jaccard_join(spark, sf_dir):
     from vigil.llm import jaccard
 
     return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item, with the item and the overlaps."""
+    from vigil.llm import decontaminate
+
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find(docs.select("doc_id", "text"), items)
