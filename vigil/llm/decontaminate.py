@@ -146,6 +146,8 @@ class Index:
 
 def _hits(index: Index, words: np.ndarray, per: np.ndarray, threshold: float, overlap: float) -> list[tuple]:
     """(document, item, score, shingle, question and answer overlap), best passage of each pair."""
+    if not (index.ids and len(words)):
+        return []
     best: dict[tuple[int, int], tuple] = {}
     sizes = {min(TERM, len(w)) for w in index.words}
     step = index.longest
