@@ -95,3 +95,22 @@ def op6_benchmark_decontamination(spark, sf_dir):
 
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.find(docs.select("doc_id", "text"), items)
+
+
+@query
+def op2_substring_dedup(spark, sf_dir):
+    """Sentences under non-first repeats of two-sentence runs, and what remains."""
+    from vigil.llm import spans
+
+    return spans.strip(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op3_merge_dropout(spark, sf_dir):
+    """Pieces of every document under seeded merge-dropout, decoded again."""
+    import public_tokenizers
+
+    from vigil.llm import segments
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return segments.segment(docs, public_tokenizers.path("piece_bpe_32k.model"))
