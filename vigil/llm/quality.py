@@ -24,15 +24,15 @@ from vigil.session import work_dir
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-#: rule -> (measure, good if at most, bad if above); between the two bounds the rule abstains.
+#: rule -> (counter, per counter, good if at most, bad if above); between the two bounds the rule abstains.
 RULES = {
-    "symbols": ("n_symbols / n_words", 0.03, 0.15),
-    "long_words": ("word_chars / n_words", 10.0, 16.0),
-    "short_words": ("n_words / word_chars", 0.36, 0.55),
-    "dup_lines": ("n_dup_lines / n_lines", 0.05, 0.5),
-    "repeats": ("n_repeat_words / n_words", 0.1, 0.4),
-    "stutter": ("n_stutter / n_words", 0.08, 0.3),
-    "shouting": ("n_shouts / n_words", 0.02, 0.2),
+    "symbols": ("n_symbols", "n_words", 0.03, 0.15),
+    "long_words": ("word_chars", "n_words", 10.0, 16.0),
+    "short_words": ("n_words", "word_chars", 0.36, 0.55),
+    "dup_lines": ("n_dup_lines", "n_lines", 0.05, 0.5),
+    "repeats": ("n_repeat_words", "n_words", 0.1, 0.4),
+    "stutter": ("n_stutter", "n_words", 0.08, 0.3),
+    "shouting": ("n_shouts", "n_words", 0.02, 0.2),
 }
 COUNTERS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 INNER = ["n_lines", "n_shouts", "n_stutter"]
@@ -88,8 +88,8 @@ def base_failed() -> Column:
 
 def votes(rules: dict = RULES) -> dict[str, Column]:
     out = {}
-    for name, (measure, good, bad) in rules.items():
-        x = F.expr(measure)  # null without words: abstains
+    for name, (counter, per, good, bad) in rules.items():
+        x = F.try_divide(counter, per)  # null without words: abstains
         out[f"_vg_v_{name}"] = F.when(x <= good, 1).when(x > bad, -1).otherwise(0)
     return out
 
