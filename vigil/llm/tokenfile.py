@@ -20,6 +20,7 @@ of a hash of their text.  An empty table gives no shards.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -144,15 +145,33 @@ class Encoder:
     line break between visible characters.  Chunks are then independent of each
     other, and those met before come from a bounded cache."""
 
-    def __init__(self, path: str, cached: int = 400_000):
+    def __init__(self, path: str, cached: int = 3_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
         self._forget()
 
     def _forget(self):
-        self.slot: dict[int, int] = {}
-        self.ids: list[np.ndarray] = []
+        """Empties the cache: ascending chunk hashes, where their ids begin in ``flat``, and how many they are."""
+        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 20, np.uint32), 0
+
+    def _learn(self, keys: np.ndarray, texts: list[str]):
+        """Encodes new chunks, given with their ascending hashes."""
+        size, ids = [], []
+        for lo in range(0, len(texts), 50_000):
+            got = self.tokenizer.encode_batch_fast(texts[lo:lo + 50_000], add_special_tokens=False)
+            size += map(len, got)
+            ids.append(np.fromiter(chain.from_iterable(e.ids for e in got), np.uint32))
+        size, ids = np.array(size, np.int64), np.concatenate(ids)
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat[:self.used], np.zeros(max(len(self.flat), len(ids)), np.uint32)))
+        self.flat[self.used:self.used + len(ids)] = ids
+        at = self.used + np.cumsum(size) - size
+        self.used += len(ids)
+        order = np.argsort(np.concatenate((self.keys, keys)), kind="stable")
+        self.keys = np.concatenate((self.keys, keys))[order]
+        self.at, self.size = np.concatenate((self.at, at))[order], np.concatenate((self.size, size))[order]
 
     def cut(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Ascending chunk starts; every document with bytes starts one."""
@@ -175,22 +194,17 @@ class Encoder:
         starts = self.cut(buf, off)
         ends = np.append(starts[1:], len(buf))
         keys, first, inverse = np.unique(K.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slot) > self.cached:
+        if len(self.keys) > self.cached:
             self._forget()
-        new = [k for k in range(len(keys)) if int(keys[k]) not in self.slot]
-        for lo in range(0, len(new), 20_000):
-            some = new[lo:lo + 20_000]
-            text = [buf[starts[first[k]]:ends[first[k]]].tobytes().decode() for k in some]
-            for k, e in zip(some, self.tokenizer.encode_batch_fast(text, add_special_tokens=False)):
-                self.slot[int(keys[k])] = len(self.ids)
-                self.ids.append(np.array(e.ids, np.uint32))
-        mine = [self.ids[self.slot[k]] for k in keys.tolist()]
-        size = np.array([len(x) for x in mine], np.int64)
-        flat = np.concatenate(mine) if mine else np.zeros(0, np.uint32)
-        at = np.cumsum(size) - size
-        count = size[inverse]
+        new = np.flatnonzero(~K.member(self.keys, keys))
+        if len(new):
+            raw = buf.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._learn(keys[new], [raw[i:j].decode() for i, j in spans])
+        mine = np.searchsorted(self.keys, keys)
+        at, count = self.at[mine][inverse], self.size[mine][inverse]
         per = np.diff(np.concatenate(([0], np.cumsum(count)))[np.searchsorted(starts, off)])
-        body = flat[np.repeat(at[inverse], count) + K.ragged(count)]
+        body = self.flat[np.repeat(at, count) + K.ragged(count)]
         lengths = per + 1
         out = np.full(len(body) + len(per), end, np.uint32)
         keep = np.ones(len(out), bool)
