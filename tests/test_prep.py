@@ -105,3 +105,48 @@ def test_series_ops_with_a_hot_machine_match_pandas(spark):
         vals = g["v"].tolist()
         for i, k in enumerate(g["key"]):
             assert list(seq[k]) == vals[max(0, i - 3):i]
+
+
+def test_null_targets_keep_their_rows(spark):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(1000)], "key long, y int")
+    out = PR.split_stratified(df, "y", "key", 0.2, 0.0)
+    assert out.count() == 1000 and out.filter("y is null and split = 'test'").count() == 20
+    assert PR.kfold(df, "y", "key", 5).count() == 1000
+
+
+def test_null_series_are_a_series(spark):
+    rows = [(None if i % 5 == 0 else 1, i, float(i) if i % 3 == 0 else None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "m int, t long, v double")
+    pdf = pd.DataFrame(rows, columns=["m", "t", "v"]).assign(m=lambda d: d["m"].fillna(-1))
+    for chunks in (1, 7, 40):
+        got = {r["t"]: r["v"] for r in PR.ffill(df, ["v"], "m", ["t"], chunks).collect()}
+        want = pdf.assign(v=pdf.groupby("m")["v"].ffill())
+        assert len(got) == 1000 and all((got[t] is None) if np.isnan(v) else got[t] == v for t, v in zip(want["t"], want["v"]))
+        got = {r["t"]: r["v"] for r in PR.interpolate(df, ["v"], "m", ["t"], chunks).collect()}
+        want = pdf.groupby("m")["v"].transform(lambda s: s.interpolate())
+        assert len(got) == 1000 and all((got[t] is None) if np.isnan(v) else abs(got[t] - v) < 1e-9 for t, v in zip(pdf["t"], want))
+
+
+def test_ties_on_the_leading_column_are_cut_by_the_next(spark):
+    from vigil.functions import series as SR
+
+    df = spark.createDataFrame([(1, 5 if i < 900 else i, i, float(i) if i % 2 else None) for i in range(1000)], "m int, d long, t long, v double")
+    chunks = SR.with_chunks(df, ["d", "t"], 20)
+    sizes = [r["count"] for r in chunks.groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 150
+    got = {r["t"]: r["v"] for r in SR.ffill(df, ["v"], "m", ["d", "t"], 20).collect()}
+    assert got[0] is None and all(got[t] == (t if t % 2 else t - 1) for t in range(1, 1000))
+
+
+def test_modes_by_grouped_counts(spark):
+    df = spark.createDataFrame([(1, "b", None), (1, "a", None), (2, "b", None), (None, "a", None)], "x int, s string, z string")
+    assert PR.column_modes(df, ["x", "s", "z"]) == [1, "a", None]
+
+
+def test_reading_lines_keep_every_field(spark):
+    from vigil.sources import files as IO
+
+    line = ",".join(str(i) for i in range(20))
+    r = IO.parse_readings(spark.createDataFrame([(line,), ("1,2,3,4,5",), ("1,x",)], "value string")).collect()
+    assert r[0]["features"] == [float(i) for i in range(20)] and r[0]["_corrupt"] is None
+    assert r[1]["wear"] == 5.0 and r[1]["features"] is None and r[2]["_corrupt"] == "1,x"

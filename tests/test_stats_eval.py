@@ -124,3 +124,14 @@ def test_distributed_exact_quantiles_match_numpy(spark):
     g = exact_quantiles_distributed(df, "x", [0.25, 0.5], by=["g"]).toPandas()
     for _, r in g.iterrows():
         assert abs(r["value"] - pdf[pdf.g == r["g"]].x.quantile(r["prob"])) < 1e-12
+
+
+def test_kendall_many_distinct_values_in_blocks(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(rng.exponential(3, 1500), 3)
+    y = np.round(x + rng.normal(0, 2, 1500), 2)
+    x[:300], y[200:500] = 1.5, -0.25  # heavy ties
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)] + [(None, 1.0)], "x double, y double")
+    want = _brute_tau_b(x, y)
+    for cells in (200_000, 300, 40):
+        assert abs(ST.kendall_tau_b(df, "x", "y", cells) - want) < 1e-12

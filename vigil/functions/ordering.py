@@ -10,6 +10,9 @@ group, taken from a small (groups x buckets) table.
 
 from __future__ import annotations
 
+import functools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +21,6 @@ from vigil.functions.cache import keep
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
-SMALL_TABLE_ROWS = 1_000_000
-
 
 def _key(cols: list[str]) -> Column:
     return F.col(cols[0]) if len(cols) == 1 else F.struct(*[F.col(c) for c in cols])
@@ -43,7 +44,7 @@ def bucket_cuts(df: DataFrame, order_cols: list[str], n_buckets: int | None = No
     if n == 0 or n_buckets <= 1:
         return []
     frac = min(1.0, sample_rows / n)
-    rows = df.select(*order_cols).na.drop().sample(False, frac, seed).limit(sample_rows).collect()
+    rows = df.select(*order_cols).na.drop().sample(False, frac, seed).collect()  # about sample_rows
     vals = sorted(tuple(r) if len(order_cols) > 1 else r[0] for r in rows)
     if not vals:
         return []
@@ -62,10 +63,25 @@ def bucket_of(order_cols: list[str], cuts: list, descending: bool = False) -> Co
         arr = F.array(*[F.struct(*[F.lit(v).alias(f"c{i}") for i, v in enumerate(c)]) for c in cuts])
         key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order_cols)])
     k = F.col(order_cols[0]) if len(order_cols) == 1 else key
-    b = F.size(F.filter(arr, lambda q: q < k))
+    if len(cuts) <= 16:
+        b = F.size(F.filter(arr, lambda q: q < k))
+    else:  # two steps of about sqrt(n) comparisons: the block by its last cut, then inside the block
+        step = math.isqrt(len(cuts) - 1) + 1
+        lasts = F.array(*[F.element_at(arr, min(i + step, len(cuts))) for i in range(0, len(cuts), step)])
+        block = F.size(F.filter(lasts, lambda q: q < k))
+        b = block * step + F.size(F.filter(F.slice(arr, block * step + 1, F.lit(step)), lambda q: q < k))
+        b = F.when(block < math.ceil(len(cuts) / step), b).otherwise(len(cuts))
+    b = F.coalesce(b, F.lit(0))  # a null key is in the first bucket
     return (F.lit(len(cuts)) - b) if descending else b
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` in which nulls match, with the left side's columns."""
+    r = right.withColumnsRenamed({x: f"_rk_{x}" for x in cols})
+    on = functools.reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(f"_rk_{x}")) for x in cols])
+    return left.join(r, on, how).drop(*[f"_rk_{x}" for x in cols])
+
+
 def grouped_prefix(df: DataFrame, by: list[str], order_cols: list[str], cols: list[str], descending: bool = False,
                    suffix: str = "_before", n_buckets: int | None = None) -> DataFrame:
     """Adds ``<col>_before``: per group, the sum of ``cols`` over rows strictly
@@ -84,18 +100,17 @@ def grouped_prefix(df: DataFrame, by: list[str], order_cols: list[str], cols: li
         *[F.sum(x).alias(f"_bt_{x}") for x in cols])
     w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*by, "_b", *[F.coalesce(F.sum(f"_bt_{x}").over(w_off), F.lit(0)).alias(f"_off_{x}") for x in cols])
-    n_groups = 1 if not by else None
-    small = n_groups is not None and (len(cuts) + 1) <= SMALL_TABLE_ROWS
-    j = d.join(F.broadcast(tot) if small else tot, [*by, "_b"])
+    # without groups the offsets are one row per bucket, a number fixed by the shuffle partitions
+    j = null_safe_join(d, tot if by else F.broadcast(tot), [*by, "_b"])
     return j.withColumns({f"{x}{suffix}": F.col(f"_off_{x}") + F.col(f"_in_{x}") for x in cols}).drop(
         "_b", *[f"_in_{x}" for x in cols], *[f"_off_{x}" for x in cols])
 
 
 def dense_rank0(df: DataFrame, order_cols: list[str], out: str = "code") -> DataFrame:
-    """0-based position of each row by ``order_cols`` (rows should be unique in that order)."""
+    """0-based position (bigint) of each row by ``order_cols`` (rows should be unique in that order)."""
     d = df.withColumn("_one", F.lit(1))
     r = grouped_prefix(d, [], order_cols, ["_one"])
-    return r.withColumn(out, F.col("_one_before").cast("int")).drop("_one", "_one_before")
+    return r.withColumn(out, F.col("_one_before").cast("long")).drop("_one", "_one_before")
 
 
 def exact_quantiles_distributed(df: DataFrame, col: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
@@ -111,7 +126,7 @@ def exact_quantiles_distributed(df: DataFrame, col: str, probs: list[float], by:
         F.count(F.lit(1)).alias("_cnt")))
     pre = grouped_prefix(d, by, ["_v"], ["_cnt"])
     tot = d.groupBy(*by).agg(F.sum("_cnt").alias("_n"))
-    j = pre.join(F.broadcast(tot), by) if by else pre.withColumn("_n", F.lit(tot.first()["_n"]))
+    j = null_safe_join(pre, tot, by) if by else pre.withColumn("_n", F.lit(tot.first()["_n"]))
     targets = F.array(*[F.struct(F.lit(float(q)).alias("prob"), (F.lit(float(q)) * (F.col("_n") - 1)).alias("pos"))
                         for q in probs])
     t = j.select(*by, "_v", "_cnt", "_cnt_before", F.explode(targets).alias("_t"))

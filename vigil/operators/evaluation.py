@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vigil.functions.ordering import grouped_prefix
+from vigil.functions.ordering import exact_quantiles_distributed, grouped_prefix, null_safe_join
 from vigil.operators.profile import quantiles
 from vigil.functions.cache import keep
 
@@ -83,6 +83,42 @@ def class_metrics(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
                         p1.alias("precision_1"), r1.alias("recall_1"), f1_1.alias("f1_1"), s1.alias("support_1"))
 
 
+# ---------------------------------------------------------------- any number of classes
+def confusion_long(scored: DataFrame, by: list[str] | None = None, y: str = "y", yhat: str = "yhat") -> DataFrame:
+    """V1 for any classes: (y, yhat, count) of the pairs that occur, one aggregate; nulls are a class."""
+    return scored.groupBy(*(by or []), F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def class_report(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """V2 for any classes, from ``confusion_long``: per class precision, recall,
+    F1 and support (0/0 -> 0); every class of either side has a row."""
+    by = by or []
+    side = lambda c, hit, truth, said: cells.select(*by, F.col(c).alias("class"), hit.alias("tp"), truth.alias("t"), said.alias("s"))
+    n, zero = F.col("count"), F.lit(0).cast("long")
+    equal = F.when(F.col("y").eqNullSafe(F.col("yhat")), n).otherwise(zero)
+    both = side("y", equal, n, zero).unionByName(side("yhat", zero, zero, n))
+    g = both.groupBy(*by, "class").agg(F.sum("tp").alias("tp"), F.sum("t").alias("support"), F.sum("s").alias("said"))
+    p, r = _div(F.col("tp"), F.col("said")), _div(F.col("tp"), F.col("support"))
+    return g.select(*by, "class", p.alias("precision"), r.alias("recall"), _div(2 * p * r, p + r).alias("f1"), "support", "tp")
+
+
+def class_summary(report: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Accuracy, macro and support-weighted precision, recall and F1 of a ``class_report``."""
+    n = F.sum("support")
+    aggs = [_div(F.sum("tp"), n).alias("accuracy")]
+    for m in ("precision", "recall", "f1"):
+        aggs += [F.avg(m).alias(f"macro_{m}"), _div(F.sum(F.col(m) * F.col("support")), n).alias(f"weighted_{m}")]
+    return report.groupBy(*(by or [])).agg(*aggs)
+
+
+def roc_auc_ovr(scored: DataFrame, scores: dict, y: str = "y") -> DataFrame:
+    """V3 for any classes: one-vs-rest AUC per class; ``scores`` maps a class to
+    its score column.  One unpivot, then the grouped binary AUC."""
+    rows = F.array(*[F.struct(F.lit(k).alias("class"), F.when(F.col(y) == F.lit(k), 1).otherwise(0).alias("y"), F.col(c).alias("p"))
+                     for k, c in scores.items()])
+    return roc_auc(scored.select(F.inline(rows)), ["class"])
+
+
 # ---------------------------------------------------------------- curves
 def score_counts(scored: DataFrame, by: list[str] | None = None, y: str = "y", p: str = "p") -> DataFrame:
     """One row per (group, distinct score): positives and negatives (cached: the
@@ -99,7 +135,7 @@ def _totals(counts: DataFrame, by: list[str]) -> DataFrame:
 
 def _attach_totals(df: DataFrame, tot: DataFrame, by: list[str]) -> DataFrame:
     if by:
-        return df.join(F.broadcast(tot), by)
+        return null_safe_join(df, tot, by)
     row = tot.first()
     return df.withColumns({"n_pos": F.lit(row["n_pos"]).cast("long"), "n_neg": F.lit(row["n_neg"]).cast("long")})
 
@@ -200,14 +236,20 @@ def regression_metrics(df: DataFrame, y: str = "y", yhat: str = "yhat", by: list
     by = by or []
     r = F.col(y) - F.col(yhat)
     ae = F.abs(r)
-    # r2 needs the mean of y: same grouped pass, SST = sum y^2 - (sum y)^2 / n
+    probs = [0.5, 0.75, 0.9, 0.95]
     aggs = [F.avg(r * r).alias("mse"), F.avg(ae).alias("mae"), F.sum(r * r).alias("_sse"),
-            F.sum(F.col(y) * F.col(y)).alias("_syy"), F.sum(F.col(y)).alias("_sy"), F.count(F.lit(1)).alias("_n"),
+            (F.var_pop(F.col(y)) * F.count(F.when(r.isNotNull(), F.col(y)))).alias("_sst"),
             (F.avg(F.abs(F.try_divide(r, F.col(y)))) * 100).alias("mape"), F.stddev_pop(r).alias("residual_std"),
-            quantiles(ae, [0.5, 0.75, 0.9, 0.95], method).alias("_q"), F.max(ae).alias("max_error")]
+            F.max(ae).alias("max_error")]
+    if method == "approx":
+        aggs.append(quantiles(ae, probs, method).alias("_q"))
     g = (df.groupBy(*by) if by else df.groupBy()).agg(*aggs)
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("_n")
-    return g.select(*by, "mse", F.sqrt("mse").alias("rmse"), "mae", (1 - F.try_divide(F.col("_sse"), sst)).alias("r2"),
+    if method != "approx":  # exact, by counted values: no task holds all errors
+        long = exact_quantiles_distributed(df.select(*by, ae.alias("_ae")), "_ae", probs, by)
+        q = (long.groupBy(*by) if by else long.groupBy()).agg(
+            F.array(*[F.max(F.when(F.col("prob") == x, F.col("value"))) for x in probs]).alias("_q"))
+        g = null_safe_join(g, q, by, "left") if by else g.withColumn("_q", F.lit(q.first()["_q"]))
+    return g.select(*by, "mse", F.sqrt("mse").alias("rmse"), "mae", (1 - F.try_divide(F.col("_sse"), F.col("_sst"))).alias("r2"),
                     "mape", "residual_std", F.col("_q")[0].alias("median_ae"), F.col("_q")[1].alias("p75_ae"),
                     F.col("_q")[2].alias("p90_ae"), F.col("_q")[3].alias("p95_ae"), "max_error")
 

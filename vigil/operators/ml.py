@@ -39,9 +39,9 @@ def scored_from(pred: DataFrame, key: str = "key", label: str = "label") -> Data
 
 
 def metrics_row(scored: DataFrame, auc: bool = True) -> dict:
-    """Accuracy, weighted P / R / F1 (one aggregate) and AUC (one more) of a scored table."""
+    """Accuracy, weighted P / R / F1, F1 of the positive class (one aggregate) and AUC (one more) of a scored table."""
     cells = V.binary_cells(scored)
-    m = V.class_metrics(cells).select("accuracy", "precision", "recall", "f1").first().asDict()
+    m = V.class_metrics(cells).select("accuracy", "precision", "recall", "f1", "f1_1").first().asDict()
     if auc:
         m["auc"] = V.roc_auc(scored).first()["auc"]
     return m
@@ -59,12 +59,19 @@ def fit_evaluate(pipe: Pipeline, train: DataFrame, test: DataFrame, key: str = "
     return model, m
 
 
+def fold_sizes(df: DataFrame) -> dict[int, int]:
+    """Rows per fold."""
+    return {r["fold"]: r["count"] for r in df.groupBy("fold").count().collect()}
+
+
 def cross_validate(make_pipe, df: DataFrame, k: int, key: str = "key", label: str = "label",
                    metric: str = "accuracy") -> dict:
-    """Per-fold score of the model fitted on the other folds; mean, population std, min, max."""
-    scores = []
+    """Per-fold score of the model fitted on the other folds; mean, population std, min, max.
+    ``make_pipe(n)`` gets the training rows of the fold (penalties depend on them)."""
+    size = fold_sizes(df)
+    total, scores = sum(size.values()), []
     for f in range(k):
-        _, m = fit_evaluate(make_pipe(), df.where(F.col("fold") != f), df.where(F.col("fold") == f), key, label,
+        _, m = fit_evaluate(make_pipe(total - size.get(f, 0)), df.where(F.col("fold") != f), df.where(F.col("fold") == f), key, label,
                             auc=metric == "auc")
         scores.append(m[metric])
     a = np.array(scores, dtype=float)
@@ -75,9 +82,13 @@ def grid_search(pipe: Pipeline, grid: list, df: DataFrame, label: str = "label",
                 parallelism: int = 2):
     """T4: every parameter combination scored over the fold column (weighted F1)."""
     ev = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, foldCol="fold", parallelism=parallelism,
-                        collectSubModels=False)
-    return cv.fit(df)
+    return cross_validator(pipe, grid, ev, df, parallelism).fit(df)
+
+
+def cross_validator(pipe, grid, evaluator, df: DataFrame, parallelism: int = 2) -> CrossValidator:
+    """A ``CrossValidator`` over the folds that ``df`` has."""
+    return CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=evaluator, numFolds=len(fold_sizes(df)), foldCol="fold",
+                          parallelism=parallelism, collectSubModels=False)
 
 
 def sample_grid(grid: list, n_iter: int, seed: int = 42) -> list:
@@ -100,36 +111,64 @@ def importances(model: PipelineModel, cols: list[str]) -> list[tuple[str, float]
     return sorted(zip(cols, [float(v) for v in vals]), key=lambda t: (-t[1], t[0]))
 
 
-def rfe(df: DataFrame, cols: list[str], n_select: int, label: str = "label", trees: int = 20, step: int = 1,
-        seed: int = 42) -> list[tuple[str, int]]:
+def _forest(cols, label, trees, depth, seed):
+    return M.pipeline("random_forest", cols, label, n_estimators=trees, max_depth=depth, seed=seed)
+
+
+def _weakest(imp: list[tuple[str, float]], n: int) -> list[str]:
+    return [f for f, _ in sorted(imp, key=lambda t: (t[1], t[0]))[:n]]
+
+
+def rfe(df: DataFrame, cols: list[str], n_select: int, label: str = "label", trees: int = 100, step: int = 1,
+        seed: int = 42, depth: int = 6) -> list[tuple[str, int]]:
     """Refit a random forest, drop the weakest feature(s), repeat down to n; ranking 1 = kept."""
-    remaining, ranking, r = list(cols), {}, len(cols) - n_select + 1
+    remaining, dropped = list(cols), []
     while len(remaining) > n_select:
-        pipe = M.pipeline("random_forest", remaining, label, n_estimators=trees, max_depth=6, seed=seed)
-        imp = importances(pipe.fit(df), remaining)
-        drop = [f for f, _ in sorted(imp, key=lambda t: (t[1], t[0]))[:min(step, len(remaining) - n_select)]]
-        for f in drop:
-            ranking[f] = r
-            remaining.remove(f)
-        r -= 1
-    for f in remaining:
-        ranking[f] = 1
+        imp = importances(_forest(remaining, label, trees, depth, seed).fit(df), remaining)
+        dropped.append(_weakest(imp, min(step, len(remaining) - n_select)))
+        remaining = [f for f in remaining if f not in dropped[-1]]
+    ranking = dict.fromkeys(remaining, 1) | {f: r for r, out in enumerate(reversed(dropped), 2) for f in out}
     return sorted(ranking.items(), key=lambda t: (t[1], t[0]))
 
 
-def sequential_forward(df: DataFrame, cols: list[str], n_select: int, k: int, label: str = "label") -> list[tuple[str, float]]:
-    """Greedy forward selection by mean fold F1 of a logistic model."""
-    chosen, path = [], []
-    while len(chosen) < n_select:
-        best = None
-        for cand in [c for c in cols if c not in chosen]:
-            feats = chosen + [cand]
-            s = cross_validate(lambda f=feats: M.pipeline("logistic", f, label, n_rows=1000, max_iter=50), df, k,
-                               label=label, metric="f1")["mean"]
-            if best is None or s > best[1] or (s == best[1] and cand < best[0]):
-                best = (cand, s)
-        chosen.append(best[0])
-        path.append(best)
+def rfecv(df: DataFrame, cols: list[str], k: int = 5, step: int = 1, min_features: int = 1, label: str = "label", key: str = "key",
+          trees: int = 100, seed: int = 42, depth: int = 6, metric: str = "f1_1") -> tuple[list[str], list[dict]]:
+    """Elimination inside each fold, every size scored on the held-out fold;
+    the size with the best mean (the smallest on ties) is refitted on all rows.
+    Returns (selected features, one row per size)."""
+    scores: dict[int, list[float]] = {}
+    for f in range(k):
+        train, held, remaining = df.where(F.col("fold") != f), df.where(F.col("fold") == f), list(cols)
+        while True:
+            model, m = fit_evaluate(_forest(remaining, label, trees, depth, seed), train, held, key, label, auc=False)
+            scores.setdefault(len(remaining), []).append(m[metric])
+            if len(remaining) <= min_features:
+                break
+            out = _weakest(importances(model, remaining), min(step, len(remaining) - min_features))
+            remaining = [c for c in remaining if c not in out]
+    rows = [{"size": n, "f1": float(np.mean(v)), "f1_std": float(np.std(v))} for n, v in sorted(scores.items())]
+    best = max(rows, key=lambda r: (r["f1"], -r["size"]))["size"]
+    return [f for f, r in rfe(df, cols, best, label, trees, step, seed, depth) if r == 1], rows
+
+
+def sequential(df: DataFrame, cols: list[str], n_select: int, k: int = 5, direction: str = "forward", label: str = "label",
+               metric: str = "f1_1", max_iter: int = 100) -> list[tuple[str, float]]:
+    """Greedy selection by mean fold F1 of a logistic model; forward: the
+    features in the order they were added; backward: the features in the order
+    they were removed, down to ``n_select``.  Ties go to the first name."""
+    if direction not in ("forward", "backward"):
+        raise ValueError(f"unknown direction {direction!r}")
+    forward, chosen, path = direction == "forward", [], []
+    while len(chosen) < (n_select if forward else len(cols) - n_select):
+        rest = [c for c in cols if c not in chosen]
+        scored = []
+        for cand in rest:
+            feats = [*chosen, cand] if forward else [c for c in rest if c != cand]
+            s = cross_validate(lambda n, f=feats: M.pipeline("logistic", f, label, n_rows=n, max_iter=max_iter), df, k, label=label, metric=metric)
+            scored.append((-s["mean"], cand))
+        s, cand = min(scored)
+        chosen.append(cand)
+        path.append((cand, -s))
     return path
 
 
@@ -173,44 +212,51 @@ def bootstrap_ci(cells: DataFrame, n_boot: int = 1000, seed: int = 42, alpha: fl
 
 
 # ---------------------------------------------------------------- J6 / G11 nearest neighbours
-KNN_BROADCAST_ROWS = 200_000
+KNN_BROADCAST_BYTES = 64 << 20  # training vectors up to this size go to every task
+KNN_CELLS = 1 << 22  # query x training x dimension values in one distance buffer (32 MB)
 
 
 def knn(queries: DataFrame, train: DataFrame, qid: str, tid: str, vec: str, label: str, k: int = 5,
         exclude_self: bool = False, weights: str = "uniform", p: float = 2.0, task: str = "classify",
-        blocks: int = 16) -> DataFrame:
+        block_rows: int = 50_000) -> DataFrame:
     """Exact k nearest neighbours by Minkowski distance (ties by training id).
 
-    Training side within ``KNN_BROADCAST_ROWS`` (checked count): broadcast as a
-    matrix; query batches compute distances block-wise in numpy and keep only
-    the k best per query.  Larger training sides: training rows are hashed into
-    ``blocks``; each query is sent to every block (an equi-join on the block
-    id), each task keeps its k best, and a final grouped merge keeps k.
+    Training vectors within ``KNN_BROADCAST_BYTES`` (rows x dimension, checked):
+    broadcast as a matrix; query batches compute distances block-wise in numpy
+    and keep only the k best per query.  Larger training sides: training rows
+    and queries are hashed into blocks of about ``block_rows``; each query is
+    sent to every block (an equi-join on the block id), each task keeps its k
+    best, and a final grouped merge keeps k.  Distance buffers are bounded by
+    ``KNN_CELLS`` whatever the dimension.
     """
     spark = queries.sparkSession
-    n_train = train.count()
-    schema = f"qid long, nid long, dist double, nlabel double"
+    n_train, dim = train.agg(F.count(F.lit(1)), F.max(F.size(vec))).first()
+    dim = max(int(dim or 1), 1)
+    schema = "qid long, nid long, dist double, nlabel double"
 
     def topk(qids, qv, tids, tv, tl):
         out = []
-        step = max(1, int(2e7 // max(len(tids), 1)))
-        for s in range(0, len(qids), step):
-            qb = qv[s:s + step]
-            if p == 2.0:
-                d = np.sqrt(np.maximum(((qb[:, None, :] - tv[None, :, :]) ** 2).sum(-1), 0.0))
-            else:
-                d = (np.abs(qb[:, None, :] - tv[None, :, :]) ** p).sum(-1) ** (1.0 / p)
-            d = np.round(d, 9)
-            for i, q in enumerate(qids[s:s + step]):
-                di = d[i]
-                mask = tids != q if exclude_self else np.ones(len(tids), bool)
-                idx = np.nonzero(mask)[0]
-                order = np.lexsort((tids[idx], di[idx]))[:k]
-                for j in idx[order]:
-                    out.append((int(q), int(tids[j]), float(di[j]), float(tl[j])))
+        wide = max(k + 1, KNN_CELLS // dim)  # training rows at a time
+        for s in range(0, len(qids), max(1, KNN_CELLS // (dim * min(wide, max(len(tids), 1))))):
+            e = s + max(1, KNN_CELLS // (dim * min(wide, max(len(tids), 1))))
+            qb, qi = qv[s:e], qids[s:e]
+            best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0))] * len(qb)
+            for t in range(0, len(tids), wide):
+                diff = np.abs(qb[:, None, :] - tv[None, t:t + wide, :])
+                d = np.round(np.sqrt((diff ** 2).sum(-1)) if p == 2.0 else (diff ** p).sum(-1) ** (1.0 / p), 9)
+                if exclude_self:
+                    d[qi[:, None] == tids[None, t:t + wide]] = np.inf
+                for i, di in enumerate(d):
+                    n = min(k, len(di))
+                    near = np.flatnonzero(di <= np.partition(di, n - 1)[n - 1])  # ties included
+                    near = near[np.isfinite(di[near])]
+                    dist, ids, lab = (np.concatenate(x) for x in zip(best[i], (di[near], tids[t + near], tl[t + near])))
+                    order = np.lexsort((ids, dist))[:k]
+                    best[i] = dist[order], ids[order], lab[order]
+            out += [(int(q), int(j), float(x), float(lb)) for q, b in zip(qi, best) for x, j, lb in zip(*b)]
         return out
 
-    if n_train <= KNN_BROADCAST_ROWS:
+    if n_train * dim * 8 <= KNN_BROADCAST_BYTES:
         tr = train.select(tid, vec, label).toPandas()
         bc = spark.sparkContext.broadcast((tr[tid].to_numpy(np.int64), np.stack(tr[vec].to_numpy()).astype(np.float64),
                                            tr[label].to_numpy(np.float64)))
@@ -226,7 +272,8 @@ def knn(queries: DataFrame, train: DataFrame, qid: str, tid: str, vec: str, labe
 
         nb = queries.select(qid, vec).mapInPandas(run, schema)
     else:
-        qblocks = max(1, int(math.ceil(queries.count() / 50_000)))
+        qblocks = max(1, math.ceil(queries.count() / block_rows))
+        blocks = max(1, math.ceil(n_train / block_rows))
         tb = train.select(F.col(tid).alias("_tid"), F.col(vec).alias("_tv"), F.col(label).cast("double").alias("_tl"),
                           F.pmod(F.xxhash64(tid), F.lit(blocks)).alias("tblk"),
                           F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))).alias("qblk"))

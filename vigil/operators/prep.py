@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vigil.functions.ordering import dense_rank0, fit_quantiles
+from vigil.functions.ordering import dense_rank0, fit_quantiles, null_safe_join
 from vigil.operators.profile import NUMERIC, c, numeric_columns, quantiles
 
 # ============================================================== M missing values
@@ -40,9 +40,9 @@ def fit_impute(df: DataFrame, strategy: str = "auto", cols: list[str] | None = N
             aggs.append(F.avg(c(x)).alias(f"v{i}"))
         elif strategy in ("median", "auto") and num:
             pass  # medians come from fit_quantiles below
-        elif strategy == "mode" or (strategy == "auto" and not num):
-            aggs.append(F.mode(c(x), True).alias(f"v{i}"))
     row = df.agg(*aggs).first().asDict()
+    modes = [(i, x) for i, x in enumerate(cols) if strategy == "mode" or (strategy == "auto" and not isinstance(types[x], NUMERIC))]
+    row.update({f"v{i}": v for (i, _), v in zip(modes, column_modes(df, [x for _, x in modes]))})
     n = row["_n"]
     med_cols = [x for x in cols if strategy in ("median", "auto") and isinstance(types[x], NUMERIC)]
     med = fit_quantiles(df, med_cols, [0.5], method) if med_cols else {}
@@ -59,6 +59,23 @@ def fit_impute(df: DataFrame, strategy: str = "auto", cols: list[str] | None = N
     return {"fill": fill, "drop": drop}
 
 
+def column_modes(df: DataFrame, cols: list[str]) -> list:
+    """Most frequent non-null value per column, the smallest on ties.  Values are
+    counted by distributed grouping, one column of the unpivoted pair (type,
+    value) each; no task holds all distinct values of a column."""
+    out = []
+    for kind in dict.fromkeys(df.schema[x].dataType.simpleString() for x in cols):
+        mine = [x for x in cols if df.schema[x].dataType.simpleString() == kind]
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), c(x).alias("v")) for i, x in enumerate(mine)])).alias("e")).select("e.*")
+        counts = long.where(F.col("v").isNotNull()).groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+        top = counts.groupBy("i").agg(F.max("n").alias("n"))
+        first = counts.join(F.broadcast(top), ["i", "n"]).groupBy("i").agg(F.min("v").alias("v"))  # one row per column
+        found = {r["i"]: r["v"] for r in first.collect()}
+        out += [(x, found.get(i)) for i, x in enumerate(mine)]
+    by = dict(out)
+    return [by[x] for x in cols]
+
+
 def apply_impute(df: DataFrame, params: dict) -> DataFrame:
     out = df.drop(*params["drop"])
     types = {f.name: f.dataType for f in out.schema.fields}
@@ -208,15 +225,10 @@ def fit_first_appearance(df: DataFrame, col: str, order: str) -> DataFrame:
     return dense_rank0(first, ["_first", col]).drop("_first")
 
 
-BROADCAST_ROWS = 1_000_000
-
-
-def apply_codes(df: DataFrame, codes: DataFrame, col: str, out: str | None = None, size: int | None = None) -> DataFrame:
-    """Join the code table; broadcast only when its row count is checked small."""
+def apply_codes(df: DataFrame, codes: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """Join the code table; AQE broadcasts it if its measured size is small."""
     out = out or f"{col}_code"
-    size = codes.count() if size is None else size
     right = codes.select(c(col).alias("_v"), F.col("code").alias(out))
-    right = F.broadcast(right) if size <= BROADCAST_ROWS else right
     return df.join(right, c(col) == F.col("_v"), "left").drop("_v")
 
 
@@ -286,7 +298,7 @@ def class_rank(df: DataFrame, cls: str | None, key: str, seed: int = 42, bucket_
     cnt = cnt.select("_cls", "_b", F.coalesce(F.sum("_bc").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                               F.lit(0)).alias("_off"),
                      F.sum("_bc").over(Window.partitionBy("_cls")).alias("_n"))
-    d = d.join(cnt, ["_cls", "_b"])
+    d = null_safe_join(d, cnt, ["_cls", "_b"])  # rows without a class (or key) are a class (bucket) of their own
     inner = Window.partitionBy("_cls", "_b").orderBy("_h", c(key))
     d = d.withColumn("_rank", F.col("_off") + F.row_number().over(inner) - 1)
     return d.drop("_b", "_off")

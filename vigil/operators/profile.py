@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from vigil.functions.numeric import round_rint
+from vigil.functions.ordering import null_safe_join
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -312,7 +313,7 @@ def boxplot_stats(df: DataFrame, col: str, by: str, k: float = 1.5, method: str
 
     Pass 1: exact grouped quartiles (``auto``: distributed selection, no group's
     values held in one task; or ``exact`` / ``approx`` grouped aggregates).
-    Pass 2 joins the small per-group table back (broadcast) and uses
+    Pass 2 joins the per-group table back (nulls are a group) and uses
     conditional min / max.
     """
     if method == "auto":
@@ -326,7 +327,7 @@ def boxplot_stats(df: DataFrame, col: str, by: str, k: float = 1.5, method: str
         q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumns({"lo_fence": F.col("q1") - k * (F.col("q3") - F.col("q1")),
                        "hi_fence": F.col("q3") + k * (F.col("q3") - F.col("q1"))})
-    j = df.select(c(by).alias(by), c(col).alias("_x")).join(F.broadcast(q), by)
+    j = null_safe_join(df.select(c(by).alias(by), c(col).alias("_x")), q, [by])
     inside = (F.col("_x") >= F.col("lo_fence")) & (F.col("_x") <= F.col("hi_fence"))
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_x"))).alias("whisker_lo"), F.max(F.when(inside, F.col("_x"))).alias("whisker_hi"),

@@ -18,12 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from vigil.functions.ordering import fit_quantiles, grouped_prefix
+from vigil.functions.ordering import bucket_of, fit_quantiles, grouped_prefix
 from vigil.operators.profile import c, quantiles
 from vigil.functions.cache import keep
 
-BROADCAST_ROWS = 1_000_000
-
 
 def _pairs(cols):
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
@@ -44,18 +42,6 @@ def corr_long(df: DataFrame, cols: list[str], full: bool = False) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def corr_matrix_ml(df: DataFrame, cols: list[str], method: str = "pearson") -> DataFrame:
-    """Many columns: one ``Correlation.corr`` pass over an assembled vector
-    (needs null-free rows); the k x k result comes back as a long frame."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    v = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*cols))
-    m = Correlation.corr(v, "_v", method).first()[0].toArray()
-    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
-
-
 def average_rank_table(df: DataFrame, col: str) -> DataFrame:
     """(value, average rank) for the distinct non-null values of ``col`` (ties share the mean rank)."""
     vc = df.where(c(col).isNotNull()).groupBy(c(col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -83,50 +69,71 @@ def corr_spearman(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C3 Kendall
-def kendall_tau_b(df: DataFrame, x: str, y: str, max_bins: int = 512) -> float:
-    """Tau-b from the (bounded) contingency table of the two columns.
-
-    Columns with at most ``max_bins`` distinct values are used as they are
-    (exact); otherwise values are put into ``max_bins`` equal-width bins
-    (approximate).  Never a row self-join: the table has <= max_bins^2 cells.
-    """
+def kendall_tau_b(df: DataFrame, x: str, y: str, block_cells: int = 200_000) -> float:
+    """Exact tau-b by a distributed merge count.
+
+    The distinct (x, y) cells are cut into about ``cells / block_cells`` ranges
+    of x and of y.  A discordant pair lies in different ranges of both (counted
+    on the table of range counts), in one range of y (counted inside that
+    range) or in one range of x (counted inside it).  Ties come from grouped
+    counts.  A value that fills a range by itself has a range of its own."""
     d = df.select(c(x).cast("double").alias("x"), c(y).cast("double").alias("y")).na.drop()
-    st = d.agg(F.count_distinct("x").alias("kx"), F.count_distinct("y").alias("ky"), F.min("x"), F.max("x"),
-               F.min("y"), F.max("y")).first()
-
-    def code(col, k, lo, hi):
-        if k <= max_bins:
-            return F.col(col)
-        w = (hi - lo) / max_bins
-        return F.least(F.floor((F.col(col) - lo) / w), F.lit(max_bins - 1)).cast("double")
-
-    g = d.groupBy(code("x", st["kx"], st[2], st[3]).alias("bx"), code("y", st["ky"], st[4], st[5]).alias("by")).count()
-    cells = g.toPandas()
-    return _tau_b_from_cells(cells["bx"].to_numpy(), cells["by"].to_numpy(), cells["count"].to_numpy())
-
-
-def _tau_b_from_cells(bx, by, n) -> float:
-    xs, xi = np.unique(bx, return_inverse=True)
-    ys, yi = np.unique(by, return_inverse=True)
-    grid = np.zeros((len(xs), len(ys)))
-    np.add.at(grid, (xi, yi), n)
-    # cum[i, j] = sum of grid[:i, :j] (strictly lower x and lower y)
-    cum = np.zeros((len(xs) + 1, len(ys) + 1))
-    cum[1:, 1:] = grid.cumsum(0).cumsum(1)
-    row_before = np.zeros((len(xs) + 1, len(ys)))
-    row_before[1:, :] = grid.cumsum(0)
-    total_lower_x = row_before[:-1, :].sum(1)  # rows with lower x, any y (per x index)
-    # concordant: the other row has lower x and lower y; discordant: lower x, higher y
-    conc = float((grid * cum[:-1, :-1]).sum())
-    disc = float((grid * (total_lower_x[:, None] - cum[:-1, 1:])).sum())
-    tot = n.sum()
-    n0 = tot * (tot - 1) / 2
-    tx = grid.sum(1)
-    ty = grid.sum(0)
-    n1 = (tx * (tx - 1) / 2).sum()
-    n2 = (ty * (ty - 1) / 2).sum()
-    den = math.sqrt((n0 - n1) * (n0 - n2))
-    return float((conc - disc) / den) if den > 0 else float("nan")
+    cells = keep(d.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
+    pairs = lambda col: F.sum((col * (col - 1) / 2).cast("decimal(38,0)"))
+    both = cells.agg(F.sum("n").alias("n"), pairs(F.col("n")).alias("t"), F.count(F.lit(1)).alias("k")).first()
+    if not both["n"]:
+        return float("nan")
+    n0 = both["n"] * (both["n"] - 1) // 2
+    n1, n2 = (int(cells.groupBy(v).agg(F.sum("n").alias("n")).agg(pairs(F.col("n"))).first()[0]) for v in ("x", "y"))
+    blocks = max(1, -(-both["k"] // block_cells))
+    ranged = cells
+    for v, b in (("x", "bx"), ("y", "by")):
+        raw = sorted(cells.agg(F.percentile_approx(v, [i / blocks for i in range(1, blocks)], 10 * blocks)).first()[0]) if blocks > 1 else []
+        cuts = sorted({e for q in raw for e in ((q, math.nextafter(q, -math.inf)) if raw.count(q) > 1 else (q,))})
+        ranged = ranged.withColumn(b, bucket_of([v], cuts))
+
+    table = ranged.groupBy("bx", "by").agg(F.sum("n").cast("decimal(38,0)").alias("n"))
+    below = Window.partitionBy("by").orderBy("bx").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("bx").orderBy(F.col("by").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    size = {b: ranged.agg(F.max(b)).first()[0] for b in ("bx", "by")}
+    every = df.sparkSession.range(size["bx"] + 1).select(F.col("id").alias("bx"), F.explode(F.sequence(F.lit(0), F.lit(size["by"]))).alias("by"))
+    grid = every.join(table, ["bx", "by"], "left").na.fill(0, ["n"])  # ranges x ranges: their number is cells over block_cells
+    earlier = grid.withColumn("e", F.coalesce(F.sum("n").over(below), F.lit(0).cast("decimal(38,0)")))
+    apart = earlier.withColumn("h", F.coalesce(F.sum("e").over(above), F.lit(0).cast("decimal(38,0)")))
+    disc = int(apart.agg(F.sum((F.col("n") * F.col("h")).cast("decimal(38,0)"))).first()[0] or 0)
+
+    def inside(group: str, first: str):
+        many = ranged.groupBy(group).agg((F.min(first) < F.max(first)).alias("m")).filter("m").select(group)  # else no pair counts
+
+        def count(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"d": [str(_discordant(pdf[first].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy()))]})
+
+        got = ranged.select("x", "y", "bx", "by", "n").join(many, group).groupBy(group).applyInPandas(count, "d string")
+        return int(got.agg(F.sum(F.col("d").cast("decimal(38,0)"))).first()[0] or 0)
+
+    disc += inside("by", "bx") + inside("bx", "x")
+    den = math.sqrt(n0 - n1) * math.sqrt(n0 - n2)
+    return float((n0 - n1 - n2 + int(both["t"]) - 2 * disc) / den) if den > 0 else float("nan")
+
+
+def _discordant(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> int:
+    """Weighted pairs with ``first`` lower and ``second`` higher, bit by bit over
+    the ranks of ``second``: inside a group of equal leading bits, a row with a
+    0 next is discordant with the rows of lower ``first`` that have a 1."""
+    order = np.argsort(first, kind="stable")
+    first, second, n = first[order], np.unique(second, return_inverse=True)[1][order], n[order].astype(object if n.sum() > 2 ** 31 else np.int64)
+    total = 0
+    for bit in range(int(second.max()).bit_length() - 1, -1, -1):
+        group = second >> (bit + 1)
+        at = np.argsort(group, kind="stable")  # keeps the order by first
+        g, f, one, w = group[at], first[at], (second[at] >> bit) & 1, n[at]
+        run = np.concatenate(([0], np.cumsum(w * one)))
+        new = np.concatenate(([True], g[1:] != g[:-1]))
+        tie = new | np.concatenate(([True], f[1:] != f[:-1]))
+        start = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
+        head = np.maximum.accumulate(np.where(tie, np.arange(len(g)), 0))
+        total += int((w * (one == 0) * (run[head] - run[start])).sum())
+    return total
 
 
 # ---------------------------------------------------------------- C4-C7
@@ -325,6 +332,15 @@ def paired_ttest(fold_scores: DataFrame, model: str = "model_name", fold: str =
     return g.withColumn("t_stat", t).withColumn("dof", F.col("n") - 1)
 
 
+def paired_verdict(pairs: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """C11: two-sided p-value, significance and the better model of each pair of ``paired_ttest``
+    (equal means: none; no spread: p is 0 where the means differ)."""
+    p = F.when(F.col("sd_diff") > 0, t_pvalue(F.coalesce("t_stat", F.lit(0.0)), F.col("dof").cast("double")))
+    p = p.otherwise(F.when(F.col("mean_diff") == 0, 1.0).otherwise(0.0))
+    better = F.when(F.col("mean_diff") > 0, F.col("model_a")).when(F.col("mean_diff") < 0, F.col("model_b"))
+    return pairs.withColumns({"p_value": p, "better_model": better}).withColumn("significant", F.col("p_value") < alpha)
+
+
 # ---------------------------------------------------------------- L selection
 def select_correlation(long: DataFrame, cols: list[str], threshold: float = 0.9) -> DataFrame:
     """L1: column j is dropped when any earlier column i (dropped or not) has |r| > t; NaN never drops."""

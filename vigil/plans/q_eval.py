@@ -69,6 +69,57 @@ def q_class_metrics(spark, sf):
     return round_doubles(V.class_metrics(V.binary_cells(X.scored(spark, sf))))
 
 
+# three classes: the machine type as truth, a rule on torque and wear as the prediction
+_TYPES_SQL = """types AS (SELECT type AS y, CASE WHEN torque > 45 THEN 'L' WHEN wear > 120 THEN 'M' ELSE 'H' END AS yhat,
+  torque AS p_l, wear AS p_m, -torque AS p_h FROM sensor)"""
+_REPORT_SQL = _TYPES_SQL + """,
+rep AS (SELECT c AS class, coalesce(CAST(tp AS DOUBLE)/nullif(said, 0), 0.0) AS pr, coalesce(CAST(tp AS DOUBLE)/nullif(support, 0), 0.0) AS rc, support, tp
+  FROM (SELECT c, (SELECT count(*) FROM types WHERE y = c AND yhat = c) AS tp, (SELECT count(*) FROM types WHERE y = c) AS support,
+        (SELECT count(*) FROM types WHERE yhat = c) AS said FROM (VALUES ('H'), ('L'), ('M')) v(c)))"""
+_F1_SQL = "coalesce(2*pr*rc/nullif(pr + rc, 0), 0.0)"
+
+
+def _types(spark, sf):
+    s = X.sensor(spark, sf)
+    said = F.when(F.col("torque") > 45, "L").when(F.col("wear") > 120, "M").otherwise("H")
+    return s.select(F.col("type").alias("y"), said.alias("yhat"), F.col("torque").alias("p_l"), F.col("wear").alias("p_m"),
+                    (-F.col("torque")).alias("p_h"))
+
+
+@query("confusion_matrix_multi", X.with_sql(X.SENSOR_SQL + ",\n" + _TYPES_SQL, "SELECT y, yhat, count(*) AS count FROM types GROUP BY ALL"))
+def q_confusion_matrix_multi(spark, sf):
+    """V1 for any classes: counts per (y, yhat) of three machine types."""
+    return V.confusion_long(_types(spark, sf))
+
+
+@query("class_metrics_multi", X.with_sql(X.SENSOR_SQL + ",\n" + _REPORT_SQL, f"""SELECT class, round(pr, 6) AS precision, round(rc, 6) AS recall,
+  round({_F1_SQL}, 6) AS f1, support, tp FROM rep"""))
+def q_class_metrics_multi(spark, sf):
+    """V2 for any classes: precision, recall, F1 and support per machine type."""
+    return round_doubles(V.class_report(V.confusion_long(_types(spark, sf))))
+
+
+@query("class_summary_multi", X.with_sql(X.SENSOR_SQL + ",\n" + _REPORT_SQL, f"""SELECT round(sum(tp)/sum(support), 6) AS accuracy,
+  round(avg(pr), 6) AS macro_precision, round(sum(pr*support)/sum(support), 6) AS weighted_precision,
+  round(avg(rc), 6) AS macro_recall, round(sum(rc*support)/sum(support), 6) AS weighted_recall,
+  round(avg({_F1_SQL}), 6) AS macro_f1, round(sum({_F1_SQL}*support)/sum(support), 6) AS weighted_f1 FROM rep"""))
+def q_class_summary_multi(spark, sf):
+    """V2 for any classes: accuracy, macro and support-weighted averages."""
+    return round_doubles(V.class_summary(V.class_report(V.confusion_long(_types(spark, sf)))))
+
+
+def _ovr_sql(c, p):
+    return f"""SELECT '{c}' AS class, round(sum(pos*(nb + neg/2.0))/(sum(pos)*sum(neg)), 6) AS auc FROM (
+  SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM (
+  SELECT {p} AS p, count(*) FILTER (WHERE y = '{c}') AS pos, count(*) FILTER (WHERE y <> '{c}') AS neg FROM types GROUP BY {p}))"""
+
+
+@query("roc_auc_multi", X.with_sql(X.SENSOR_SQL + ",\n" + _TYPES_SQL, "\nUNION ALL\n".join(_ovr_sql(c, f"p_{c.lower()}") for c in "HLM")))
+def q_roc_auc_multi(spark, sf):
+    """V3 for any classes: one-vs-rest AUC of each machine type."""
+    return round_doubles(V.roc_auc_ovr(_types(spark, sf), {c: f"p_{c.lower()}" for c in "HLM"}))
+
+
 # ---------------------------------------------------------------- V3-V9
 @query("roc_auc", SC("""SELECT round(sum(pos*(nb + neg/2.0))/(sum(pos)*sum(neg)), 6) AS auc FROM (
   SELECT p, pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM cnt)""",

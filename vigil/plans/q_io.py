@@ -110,10 +110,11 @@ def reading_lines(spark, sf):
   SELECT key, CASE WHEN key % 17 = 0 THEN 4 ELSE 5 END AS n, air_temp, proc_temp, speed, wear,
          CASE WHEN key % 19 = 0 THEN NULL ELSE torque END AS tq FROM sensor)"""))
 def q_parse_readings(spark, sf):
-    """Reading lines parsed in bulk: 5 fields -> named sensors, other lengths -> feature_i,
+    """Reading lines parsed in bulk: 5 fields -> named sensors, other lengths -> features[i],
     non-numeric fields -> NULL with the line kept in _corrupt."""
     p = IO.parse_readings(reading_lines(spark, sf))
-    return p.select("key", "air_temp", "proc_temp", "speed", "torque", "wear", "feature_0", "feature_3", "n_fields",
+    return p.select("key", "air_temp", "proc_temp", "speed", "torque", "wear", F.get("features", F.lit(0)).alias("feature_0"),
+                    F.get("features", F.lit(3)).alias("feature_3"), "n_fields",
                     F.col("_corrupt").isNotNull().alias("corrupt"))
 
 

@@ -29,8 +29,8 @@ from vigil.sources import fixtures as X
 
 BASE = ["air_temp", "proc_temp", "speed", "torque", "wear", "type_L", "type_M"]
 ENG = BASE + ["temp_difference", "mechanical_power", "wear_torque_interaction", "stress_index", "speed_torque_ratio"]
-FOLDS = 3
-LOOP_FOLDS = 2  # folds inside driver loops over sizes / sets / candidates
+FOLDS = 5
+TREES = 100
 
 
 def model_frame(spark, sf: str, extended: bool = False) -> DataFrame:
@@ -245,7 +245,7 @@ def q_train_model(spark, sf):
         m = ML.metrics_row(ML.scored_from(best.transform(part)))
         m.update(split=split, model_name="random_forest")
         rows.append(m)
-    cv = ML.cross_validate(lambda: M.pipeline("random_forest", BASE, n_estimators=10,
+    cv = ML.cross_validate(lambda n: M.pipeline("random_forest", BASE, n_estimators=10,
                                               max_depth=best.stages[-1].getOrDefault("maxDepth")), tr, FOLDS)
     for r in rows:
         r.update(cv_mean=cv["mean"], cv_std=cv["std"])
@@ -260,6 +260,7 @@ def q_train_many(spark, sf):
     negative standardised input) is recorded and skipped, the others continue."""
     d = model_frame(spark, sf)
     tr, te = d.where("split = 'train'"), d.where("split = 'test'")
+    n = tr.count()
     rows = []
     suite = dict(M.BASELINE_SUITE)
     for name, (family, kw) in suite.items():
@@ -305,10 +306,12 @@ def q_grid_search(spark, sf):
 
 @query("random_search")
 def q_random_search(spark, sf):
-    """T5: 2 seeded samples of the grid, scored as in T4."""
+    """T5: 50 seeded draws (at most all) of a grid of numTrees x maxDepth, scored as in T4."""
     d = model_frame(spark, sf)
     pipe = M.pipeline("random_forest", BASE)
-    grid = ML.sample_grid(_rf_grid(pipe), 2, seed=42)
+    rf = pipe.getStages()[-1]
+    grid = ParamGridBuilder().addGrid(rf.numTrees, [5, 10]).addGrid(rf.maxDepth, [2, 3, 4, 5, 6]).build()
+    grid = ML.sample_grid(grid, 50, seed=42)
     cvm = ML.grid_search(pipe, grid, d.where("split = 'train'"))
     rows = [{"param": ", ".join(f"{p.name}={v}" for p, v in pm.items()), "f1": m} for pm, m in zip(grid, cvm.avgMetrics)]
     out = _metrics_df(spark, rows, ["param", "f1"])
@@ -318,9 +321,9 @@ def q_random_search(spark, sf):
 
 @query("cross_validate")
 def q_cross_validate(spark, sf):
-    """3-fold accuracy of logistic regression: scores, mean, population std, min, max."""
+    """5-fold accuracy of logistic regression: scores, mean, population std, min, max."""
     d = model_frame(spark, sf)
-    cv = ML.cross_validate(lambda: M.pipeline("logistic", BASE, n_rows=1000, max_iter=50), d.where("split = 'train'"), FOLDS)
+    cv = ML.cross_validate(lambda n: M.pipeline("logistic", BASE, n_rows=n), d.where("split = 'train'"), FOLDS)
     rows = [{"model_name": "logistic_regression", "fold": float(i), "accuracy": s} for i, s in enumerate(cv["scores"])]
     out = spark.createDataFrame([(r["model_name"], int(r["fold"]), r["accuracy"], cv["mean"], cv["std"], cv["min"], cv["max"])
                                  for r in rows], "model_name string, fold int, accuracy double, mean double, std double, "
@@ -329,26 +332,32 @@ def q_cross_validate(spark, sf):
     return round_doubles(out)
 
 
+def _train_and_held(make_pipe, df, label):
+    """Mean and population std of the train and held-out accuracies over the folds."""
+    import numpy as np
+
+    size = ML.fold_sizes(df)
+    t_s, v_s = [], []
+    for f in range(FOLDS):
+        train = df.where(F.col("fold") != f)
+        model, m = ML.fit_evaluate(make_pipe(sum(size.values()) - size.get(f, 0)), train, df.where(F.col("fold") == f), auc=False)
+        t_s.append(ML.metrics_row(ML.scored_from(model.transform(train)), auc=False)["accuracy"])
+        v_s.append(m["accuracy"])
+    return {**label, "train_mean": float(np.mean(t_s)), "train_std": float(np.std(t_s)), "val_mean": float(np.mean(v_s)),
+            "val_std": float(np.std(v_s))}
+
+
 @query("learning_curve")
 def q_learning_curve(spark, sf):
-    """Nested hash samples of the training rows (50 / 100 %) x 2 folds: train and
+    """Ten nested hash samples of the training rows (10 to 100 %) x 5 folds: train and
     validation accuracy, gap and over-fitting verdict (> .1 high, > .05 moderate)."""
     d = model_frame(spark, sf)
     tr = d.where("split = 'train'").withColumn("_u", PR.split_hash(F.col("key"), 7) / 4294967296.0)
     rows = []
-    for frac in (0.5, 1.0):
-        sub = tr.where(F.col("_u") < frac)
-        t_s, v_s = [], []
-        for f in range(LOOP_FOLDS):
-            model, m = ML.fit_evaluate(M.pipeline("decision_tree", BASE, max_depth=6), sub.where(F.col("fold") != f),
-                                       sub.where(F.col("fold") == f))
-            t_s.append(ML.metrics_row(ML.scored_from(model.transform(sub.where(F.col("fold") != f))))["accuracy"])
-            v_s.append(m["accuracy"])
-        import numpy as np
-        gap = float(np.mean(t_s) - np.mean(v_s))
-        rows.append({"size": frac, "train_mean": float(np.mean(t_s)), "train_std": float(np.std(t_s)),
-                     "val_mean": float(np.mean(v_s)), "val_std": float(np.std(v_s)), "gap": gap,
-                     "verdict": "high" if gap > 0.1 else "moderate" if gap > 0.05 else "good"})
+    for tenth in range(1, 11):
+        r = _train_and_held(lambda n: M.pipeline("decision_tree", BASE, max_depth=6), tr.where(F.col("_u") < tenth / 10), {"size": tenth / 10})
+        gap = r["train_mean"] - r["val_mean"]
+        rows.append({**r, "gap": gap, "verdict": "high" if gap > 0.1 else "moderate" if gap > 0.05 else "good"})
     out = _metrics_df(spark, rows, ["size", "train_mean", "train_std", "val_mean", "val_std", "gap", "verdict"])
     d.unpersist()
     return out
@@ -356,21 +365,11 @@ def q_learning_curve(spark, sf):
 
 @query("validation_curve")
 def q_validation_curve(spark, sf):
-    """Tree depth 2 / 6 x 2 folds: mean train and validation accuracy."""
-    import numpy as np
-
+    """Tree depth 2, 4, 6, 8, 10 x 5 folds: mean train and validation accuracy."""
     d = model_frame(spark, sf)
     tr = d.where("split = 'train'")
-    rows = []
-    for depth in (2, 6):
-        t_s, v_s = [], []
-        for f in range(LOOP_FOLDS):
-            model, m = ML.fit_evaluate(M.pipeline("decision_tree", BASE, max_depth=depth), tr.where(F.col("fold") != f),
-                                       tr.where(F.col("fold") == f))
-            t_s.append(ML.metrics_row(ML.scored_from(model.transform(tr.where(F.col("fold") != f))))["accuracy"])
-            v_s.append(m["accuracy"])
-        rows.append({"param": f"maxDepth={depth}", "train_mean": float(np.mean(t_s)), "val_mean": float(np.mean(v_s)),
-                     "val_std": float(np.std(v_s))})
+    rows = [_train_and_held(lambda n, k=depth: M.pipeline("decision_tree", BASE, max_depth=k), tr, {"param": f"maxDepth={depth}"})
+            for depth in (2, 4, 6, 8, 10)]
     out = _metrics_df(spark, rows, ["param", "train_mean", "val_mean", "val_std"])
     d.unpersist()
     return out
@@ -402,11 +401,12 @@ def q_run_experiment(spark, sf):
 
 @query("model_suite")
 def q_model_suite(spark, sf):
-    """The baseline suite from the registry, fitted on one cached frame; test metrics."""
+    """The baseline and the optimised suite from the registry, fitted on one cached frame; test metrics."""
     d = model_frame(spark, sf)
+    n = d.where("split = 'train'").count()
     rows = []
-    for name, (family, kw) in M.BASELINE_SUITE.items():
-        kw = dict(kw, **({"n_rows": 1000} if family == "logistic" else {}))
+    for name, (family, kw) in {**M.BASELINE_SUITE, **M.OPTIMIZED_SUITE}.items():
+        kw = dict(kw, **({"n_rows": n} if family == "logistic" else {}))
         _, m = ML.fit_evaluate(M.pipeline(family, BASE, **kw), d.where("split = 'train'"), d.where("split = 'test'"))
         m["model_name"] = name
         rows.append(m)
@@ -472,37 +472,29 @@ def _eng(spark, sf):
 def q_select_rfe(spark, sf):
     """Recursive elimination with a random forest down to 5 features; rankings."""
     e = _eng(spark, sf)
-    rk = ML.rfe(e.where("split = 'train'"), ENG, 5, trees=10)
+    rk = ML.rfe(e.where("split = 'train'"), ENG, 5, trees=TREES)
     e.unpersist()
     return spark.createDataFrame([(f, int(r)) for f, r in rk], "feature string, ranking int")
 
 
 @query("select_rfecv")
 def q_select_rfecv(spark, sf):
-    """Elimination path scored by mean fold F1 at each size; the best size wins (n ignored)."""
-    import numpy as np
-
+    """Elimination one feature at a time inside each of 5 folds, every size scored by
+    the positive class's F1 on the held-out fold; the best size refitted on the training rows."""
     e = _eng(spark, sf)
-    tr = e.where("split = 'train'")
-    rk = dict(ML.rfe(tr, ENG, 1, trees=10, step=3))
-    rows = []
-    for size in sorted({1, 4, 7, len(ENG)}):
-        feats = [f for f in ENG if rk[f] <= size]
-        cv = ML.cross_validate(lambda f=feats: M.pipeline("random_forest", f, n_estimators=10, max_depth=6), tr,
-                               LOOP_FOLDS, metric="f1")
-        rows.append({"size": float(len(feats)), "f1": cv["mean"], "features": ",".join(feats)})
-    best = max(rows, key=lambda r: (r["f1"], -r["size"]))
+    chosen, rows = ML.rfecv(e.where("split = 'train'"), ENG, FOLDS, trees=TREES)
     for r in rows:
-        r["verdict"] = "best" if r is best else ""
+        best = r["size"] == len(chosen)
+        r.update(size=float(r["size"]), verdict="best" if best else "", features=",".join(sorted(chosen)) if best else "")
     e.unpersist()
-    return _metrics_df(spark, rows, ["size", "f1", "features", "verdict"])
+    return _metrics_df(spark, rows, ["size", "f1", "f1_std", "features", "verdict"])
 
 
 @query("select_importance")
 def q_select_importance(spark, sf):
     """Random-forest importances, top 5."""
     e = _eng(spark, sf)
-    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=20, max_depth=8).fit(e.where("split = 'train'")), ENG)
+    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=TREES, max_depth=8).fit(e.where("split = 'train'")), ENG)
     e.unpersist()
     return round_doubles(spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(imp[:5])],
                                                "feature string, importance double, rank int"))
@@ -512,51 +504,62 @@ def q_select_importance(spark, sf):
 def q_select_lasso(spark, sf):
     """L1-penalised regression on standardised features, penalty chosen by fold CV; non-zero coefficients."""
     from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.tuning import CrossValidator
 
     e = _eng(spark, sf)
     tr = e.where("split = 'train'")
     pipe = M.pipeline("lasso", ENG, alpha=0.01)
     lr = pipe.getStages()[-1]
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.05]).build(),
-                        evaluator=RegressionEvaluator(labelCol="label"), foldCol="fold").fit(tr)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.05]).build()
+    cv = ML.cross_validator(pipe, grid, RegressionEvaluator(labelCol="label"), tr).fit(tr)
     coef = cv.bestModel.stages[-1].coefficients.toArray()
     e.unpersist()
     return round_doubles(spark.createDataFrame([(f, float(v), bool(v != 0)) for f, v in zip(ENG, coef)],
                                                "feature string, coefficient double, selected boolean"))
 
 
-@query("select_sequential")
-def q_select_sequential(spark, sf):
-    """Greedy forward selection (logistic, 2-fold F1) of 2 of the five sensors."""
+def _sequential(spark, sf, direction):
     d = model_frame(spark, sf)
-    path = ML.sequential_forward(d.where("split = 'train'"), ["air_temp", "proc_temp", "speed", "torque", "wear"], 2, 2)
+    path = ML.sequential(d.where("split = 'train'"), ["air_temp", "proc_temp", "speed", "torque", "wear"], 3, FOLDS, direction)
     d.unpersist()
     return round_doubles(spark.createDataFrame([(i + 1, f, s) for i, (f, s) in enumerate(path)],
                                                "step int, feature string, f1 double"))
 
 
+@query("select_sequential")
+def q_select_sequential(spark, sf):
+    """Greedy forward selection (logistic, 5-fold F1 of the positive class) of 3 of the five sensors."""
+    return _sequential(spark, sf, "forward")
+
+
+@query("select_sequential_backward")
+def q_select_sequential_backward(spark, sf):
+    """Greedy backward elimination down to 3 of the five sensors, scored as forward."""
+    return _sequential(spark, sf, "backward")
+
+
 def _corr_keep(e, cols, t):
     long = ST.corr_long(e, cols)
     return [r["feature"] for r in ST.select_correlation(long, cols, t).where("kept").orderBy("position").collect()]
 
 
 def _importance_top(e, cols, k):
-    imp = ML.importances(M.pipeline("random_forest", cols, n_estimators=10, max_depth=6).fit(e), cols)
+    imp = ML.importances(M.pipeline("random_forest", cols, n_estimators=TREES, max_depth=6).fit(e), cols)
     return [f for f, _ in imp[:k]]
 
 
+def hybrid(tr, cols, size):
+    """Correlation 0.9 -> variance 0.01 -> importance (2 x size) -> RFECV over 5 folds."""
+    c1 = _corr_keep(tr, cols, 0.9)
+    c2 = [r["feature"] for r in ST.select_variance(tr, c1, 0.01).where("kept").collect()]
+    return ML.rfecv(tr, _importance_top(tr, c2, 2 * size), FOLDS, trees=TREES)[0]
+
+
 @query("select_hybrid")
 def q_select_hybrid(spark, sf):
-    """Correlation 0.9 -> variance 0.01 -> importance (2 x size) -> CV-scored elimination."""
+    """Correlation 0.9 -> variance 0.01 -> importance (2 x size) -> cross-validated elimination."""
     e = _eng(spark, sf)
     tr = e.where("split = 'train'")
-    size = ST.target_size(tr.count(), len(ENG))
-    c1 = _corr_keep(tr, ENG, 0.9)
-    c2 = [r["feature"] for r in ST.select_variance(tr, c1, 0.01).where("kept").collect()]
-    c3 = _importance_top(tr, c2, 2 * size)
-    rk = dict(ML.rfe(tr, c3, max(1, size), trees=10))
-    chosen = [f for f in c3 if rk[f] == 1]
+    chosen = hybrid(tr, ENG, ST.target_size(tr.count(), len(ENG)))
     e.unpersist()
     return spark.createDataFrame([(i + 1, f) for i, f in enumerate(chosen)], "position int, feature string")
 
@@ -612,28 +615,41 @@ def q_select_conservative(spark, sf):
     return out
 
 
+def evaluate_sets(tr, sets):
+    """5-fold F1 of the positive class (mean, population std) of a random forest per non-empty feature set."""
+    rows = []
+    for name, cols in sets.items():
+        if cols:
+            cv = ML.cross_validate(lambda n, c=cols: M.pipeline("random_forest", c, n_estimators=TREES, max_depth=6), tr, FOLDS, metric="f1_1")
+            rows.append({"feature_set": name, "method": name, "f1": cv["mean"], "f1_std": cv["std"], "size": float(len(cols)),
+                         "features": ",".join(cols)})
+    return rows
+
+
 @query("evaluate_feature_sets")
 def q_evaluate_feature_sets(spark, sf):
-    """Fold F1 (mean, population std) of a logistic model per feature set."""
+    """Fold F1 of a random forest per feature set; empty sets are skipped."""
     e = _eng(spark, sf)
-    tr = e.where("split = 'train'")
     sets = {"baseline": BASE, "temperature_focus": BASE + ["temp_difference", "mechanical_power"],
-            "wear_focus": BASE + ["wear_torque_interaction", "stress_index"], "empty": []}
-    rows = []
-    for name, cols in sets.items():
-        if not cols:
-            continue
-        cv = ML.cross_validate(lambda c=cols: M.pipeline("logistic", c, n_rows=1000, max_iter=50), tr, LOOP_FOLDS,
-                               metric="f1")
-        rows.append({"feature_set": name, "f1": cv["mean"], "f1_std": cv["std"], "size": float(len(cols))})
+            "wear_focus": BASE + ["wear_torque_interaction", "stress_index"],
+            "operational_focus": BASE + ["stress_index", "speed_torque_ratio"], "all": ENG, "empty": []}
+    rows = evaluate_sets(e.where("split = 'train'"), sets)
     e.unpersist()
     return _metrics_df(spark, rows, ["feature_set", "size", "f1", "f1_std"])
 
 
+def lasso_features(tr, cols):
+    from pyspark.ml.evaluation import RegressionEvaluator
+
+    pipe = M.pipeline("lasso", cols, alpha=0.01)
+    grid = ParamGridBuilder().addGrid(pipe.getStages()[-1].regParam, [0.001, 0.01, 0.05]).build()
+    cv = ML.cross_validator(pipe, grid, RegressionEvaluator(labelCol="label"), tr).fit(tr)
+    return [f for f, v in zip(cols, cv.bestModel.stages[-1].coefficients.toArray()) if v != 0]
+
+
 @query("compare_selections")
 def q_compare_selections(spark, sf):
-    """The selection methods' sets (all, correlation, variance, univariate, importance,
-    elimination, lasso-free aggressive) evaluated with the same 2-fold logistic score."""
+    """The nine selection methods' feature sets, evaluated as in L16, saved and read back."""
     e = _eng(spark, sf)
     tr = e.where("split = 'train'")
     size = ST.target_size(tr.count(), len(ENG))
@@ -644,15 +660,15 @@ def q_compare_selections(spark, sf):
         "variance": [r["feature"] for r in ST.select_variance(tr, ENG, 0.01).where("kept").collect()],
         "univariate": [r["feature"] for r in uni.collect()],
         "importance": _importance_top(tr, ENG, size),
-        "rfe": [f for f, r in ML.rfe(tr, ENG, size, trees=10, step=3) if r == 1],
+        "rfe": ML.rfecv(tr, ENG, FOLDS, trees=TREES)[0],
+        "lasso": lasso_features(tr, ENG),
+        "hybrid": hybrid(tr, ENG, size),
         "aggressive": _importance_top(tr, _corr_keep(tr, ENG, 0.7), size),
     }
-    rows = []
-    for name, cols in sets.items():
-        cv = ML.cross_validate(lambda c=cols: M.pipeline("logistic", c, n_rows=1000, max_iter=50), tr, 2, metric="f1")
-        rows.append({"method": name, "size": float(len(cols)), "f1": cv["mean"], "features": ",".join(cols)})
+    path = work_dir(spark, "selections")
+    _metrics_df(spark, evaluate_sets(tr, sets), ["method", "size", "f1", "f1_std", "features"]).coalesce(1).write.parquet(path)
     e.unpersist()
-    return _metrics_df(spark, rows, ["method", "size", "f1", "features"])
+    return spark.read.parquet(path)
 
 
 # ---------------------------------------------------------------- V14, V21, S12, R1
@@ -666,7 +682,7 @@ def q_bootstrap_ci(spark, sf):
 def q_importance(spark, sf):
     """Random-forest importances of the engineered features, sorted, top 10."""
     e = _eng(spark, sf)
-    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=20, max_depth=8).fit(e.where("split = 'train'")), ENG)
+    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=TREES, max_depth=8).fit(e.where("split = 'train'")), ENG)
     e.unpersist()
     return round_doubles(spark.createDataFrame([(f, v) for f, v in imp[:10]], "feature string, importance double"))
 

@@ -171,7 +171,7 @@ def q_encode_auto(spark, sf):
             out = PR.onehot(out, col, PR.fit_levels(part, col, 10), drop_first=True)
         else:
             codes = PR.fit_label_index(part, col)
-            out = PR.apply_codes(out, codes, col)
+            out = PR.apply_codes(out, codes.withColumn("code", F.col("code").cast("int")), col)
     return out.drop("p_brand", "p_type")
 
 
@@ -179,7 +179,8 @@ def q_encode_auto(spark, sf):
 def q_encode_label(spark, sf):
     """code = index in the sorted distinct values (distributed rank + checked broadcast join)."""
     part = X.table(spark, sf, "part").select("p_partkey", "p_brand")
-    return PR.apply_codes(part, PR.fit_label_index(part, "p_brand"), "p_brand")
+    codes = PR.fit_label_index(part, "p_brand")
+    return PR.apply_codes(part, codes.withColumn("code", F.col("code").cast("int")), "p_brand")
 
 
 @query("encode_onehot", S("SELECT key, " + ", ".join(f"CAST(type = '{t}' AS INTEGER) AS type_{t}" for t in "HLM") + " FROM sensor"))
@@ -196,7 +197,7 @@ def q_encode_factorize(spark, sf):
     """Code by first appearance in order-key order."""
     o = X.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     codes = PR.fit_first_appearance(o, "o_orderpriority", "o_orderkey")
-    return PR.apply_codes(o, codes, "o_orderpriority")
+    return PR.apply_codes(o, codes.withColumn("code", F.col("code").cast("int")), "o_orderpriority")
 
 
 def _scale_sql(center: str, scale: str):

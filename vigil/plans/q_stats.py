@@ -225,6 +225,19 @@ def q_paired_ttest(spark, sf):
     return round_doubles(ST.paired_ttest(fold_scores(spark, sf)))
 
 
+@query("paired_ttest_verdict", X.with_sql(X.SCORED_MANY_SQL + _FOLD_SQL, """SELECT model_a, model_b, round(p, 6) AS p_value,
+  CASE WHEN mean_diff > 0 THEN model_a WHEN mean_diff < 0 THEN model_b END AS better_model, p < 0.05 AS significant FROM (
+  SELECT *, 1 - 2*(0.375*abs(t)/sqrt(1 + t*t/4)*(1 - t*t/(12*(1 + t*t/4)))) AS p FROM (  -- Student's t with 4 degrees, closed form
+  SELECT model_a, model_b, mean_diff, mean_diff/(sd_diff/sqrt(n)) AS t FROM (
+  SELECT a.model_name AS model_a, b.model_name AS model_b, count(*) AS n, avg(a.score - b.score) AS mean_diff,
+         stddev_samp(a.score - b.score) AS sd_diff
+  FROM fs a JOIN fs b ON a.fold = b.fold AND a.model_name < b.model_name GROUP BY ALL)))"""))
+def q_paired_ttest_verdict(spark, sf):
+    """C11: p-value, significance and better model of every pair of scorers (5 folds)."""
+    out = ST.paired_verdict(ST.paired_ttest(fold_scores(spark, sf)))
+    return round_doubles(out.select("model_a", "model_b", "p_value", "better_model", "significant"))
+
+
 # ---------------------------------------------------------------- L1-L6
 _L1_COLS = _ENG_COLS
 

@@ -76,17 +76,17 @@ def scan_any(spark: SparkSession, path: str, schema: T.StructType, fmt: str | No
 SENSOR_FIELDS = ["air_temp", "proc_temp", "speed", "torque", "wear"]
 
 
-def parse_readings(lines: DataFrame, col: str = "value", max_fields: int = 16) -> DataFrame:
+def parse_readings(lines: DataFrame, col: str = "value") -> DataFrame:
     """Comma-separated reading lines.  Five fields -> the named sensors;
-    other lengths -> feature_0..; a field that is not a number -> NULL and the
-    line is flagged in ``_corrupt``."""
+    other lengths -> all values, in order, in the array ``features`` (element i
+    is feature_i); a field that is not a number -> NULL and the line is kept in
+    ``_corrupt``."""
     parts = F.split(F.trim(F.col(col)), ",")
     n = F.size(parts)
     vals = F.transform(parts, lambda s: F.trim(s).try_cast("double"))
     named = {f: F.when(n == 5, vals[i]) for i, f in enumerate(SENSOR_FIELDS)}
-    generic = {f"feature_{i}": F.when(n != 5, vals[i]) for i in range(max_fields)}
-    bad = F.exists(vals, lambda v: v.isNull()) | (n > max_fields)
-    return lines.withColumns({**named, **generic, "n_fields": n, "_corrupt": F.when(bad, F.col(col))})
+    bad = F.exists(vals, lambda v: v.isNull())
+    return lines.withColumns({**named, "features": F.when(n != 5, vals), "n_fields": n, "_corrupt": F.when(bad, F.col(col))})
 
 
 def sink_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,

@@ -4,9 +4,9 @@ The scoring plan is the batch plan: ``score_plan`` is a pure DataFrame ->
 DataFrame function applied to a ``readStream`` frame exactly as to a batch
 frame.  Windows use event time with a watermark; per-machine alert
 suppression keeps the last emitted alert time in keyed state
-(``applyInPandasWithState``).  Every query writes to a table under the
-session's shared work folder (sink + checkpoint there), so a restarted or
-re-run query resumes from its checkpoint instead of recomputing.
+(``applyInPandasWithState``).  Every query writes a table and its checkpoint
+to one folder: a fresh one under the session's shared work folder, or the one
+the caller names; a run with the same named folder resumes from its checkpoint.
 """
 
 from __future__ import annotations
@@ -64,42 +64,54 @@ def stream_score(source: DataFrame, score_plan: Callable[[DataFrame], DataFrame]
 
 
 # ---------------------------------------------------------------- ST2
+def _kept(ts: list, emitted: list, gap) -> list[bool]:
+    """Greedy in time order: an alert is kept if no kept alert, earlier or later,
+    lies closer than ``gap``; ``emitted`` grows by the kept ones."""
+    out = []
+    for t in ts:
+        ok = all(abs(t - e) >= gap for e in emitted)
+        out.append(ok)
+        if ok:
+            emitted.append(t)
+    return out
+
+
 def _suppress(key, pdfs, state):
-    """Alerts of one machine in event-time order; emit when at least the cooldown
-    has passed since the last emitted alert (state carries that time)."""
-    last = state.get[0] if state.exists else None
+    """Alerts of one machine in event-time order.  The state holds the emitted
+    times that a row not older than the watermark can still be close to, so a
+    late alert is judged against its own neighbours; it expires once the
+    watermark is a cooldown past the last of them."""
+    gap = pd.Timedelta(minutes=COOLDOWN_MINUTES)
+    if state.hasTimedOut:
+        state.remove()
+        return
+    emitted = [pd.Timestamp(us, unit="us") for us in state.get[0]] if state.exists else []
     frames = [p for p in pdfs if len(p)]
     if not frames:
         return
     pdf = pd.concat(frames).sort_values(["ts", "key"])
-    gap = pd.Timedelta(minutes=COOLDOWN_MINUTES)
-    keep = []
-    for ts in pdf["ts"]:
-        ok = last is None or ts - last >= gap
-        keep.append(ok)
-        if ok:
-            last = ts
-    state.update((last,))
+    keep = _kept(list(pdf["ts"]), emitted, gap)
+    mark = pd.Timestamp(max(state.getCurrentWatermarkMs(), 0), unit="ms")
+    emitted = sorted(e for e in emitted if e + gap > mark)
+    state.update(([int(e.value // 1000) for e in emitted],))
+    if emitted:
+        state.setTimeoutTimestamp(max(int((emitted[-1] + gap).value // 1_000_000), state.getCurrentWatermarkMs() + 1))
     yield pdf[keep][["machine_id", "key", "ts", "value"]]
 
 
-def stream_alerts(alerts: DataFrame) -> DataFrame:
-    """ST2: per machine, suppress alerts within the cooldown of the last emitted one."""
-    return alerts.groupBy("machine_id").applyInPandasWithState(
+def stream_alerts(alerts: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """ST2: per machine, suppress alerts within the cooldown of an emitted one.
+    Rows older than the watermark are dropped; state expires by event time."""
+    return alerts.withWatermark("ts", watermark).groupBy("machine_id").applyInPandasWithState(
         _suppress, outputStructType="machine_id long, key long, ts timestamp, value double",
-        stateStructType="last timestamp", outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+        stateStructType="emitted array<long>", outputMode="append", timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 def suppress_batch(alerts: DataFrame) -> DataFrame:
     """Batch twin of ST2 (same fold per machine, for checks on bounded inputs)."""
     def fold(pdf):
         pdf = pdf.sort_values(["ts", "key"])
-        gap, last, keep = pd.Timedelta(minutes=COOLDOWN_MINUTES), None, []
-        for ts in pdf["ts"]:
-            ok = last is None or ts - last >= gap
-            keep.append(ok)
-            if ok:
-                last = ts
+        keep = _kept(list(pdf["ts"]), [], pd.Timedelta(minutes=COOLDOWN_MINUTES))
         return pdf[keep][["machine_id", "key", "ts", "value"]]
     return alerts.groupBy("machine_id").applyInPandas(fold, "machine_id long, key long, ts timestamp, value double")
 
