@@ -59,10 +59,10 @@ def ensure_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def align_to_model(df: DataFrame, trained: list[str], strict: bool = False, keep: list[str] | None = None) -> DataFrame:
-    """Select the trained feature list; absent -> 0.0 (lenient) or raise with missing / extra (strict)."""
+    """Select the trained feature list; absent -> 0.0 and extra ones left out (lenient), or raise on either (strict)."""
     missing = [x for x in trained if x not in df.columns]
-    if strict and missing:
-        extra = [x for x in df.columns if x not in trained and x not in (keep or [])]
+    extra = [x for x in df.columns if x not in trained and x not in (keep or [])]
+    if strict and (missing or extra):
         raise ValueError(f"feature mismatch: missing {missing}, extra {extra}")
     return df.select(*[c(k) for k in keep or []],
                      *[(c(x) if x in df.columns else F.lit(0.0)).alias(x) for x in trained])

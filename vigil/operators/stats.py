@@ -453,3 +453,19 @@ def gaussian_nb_predict(df: DataFrame, params: DataFrame, cols: list[str], key:
         lls.append(F.struct(ll.alias("ll"), F.lit(-r["cls"]).alias("neg_cls")))
     best = F.greatest(*lls) if len(lls) > 1 else lls[0]
     return df.select(key, (-best["neg_cls"]).alias("prediction"), best["ll"].alias("max_ll"))
+
+
+# ---------------------------------------------------------------- L20
+def prepare_for_model(df: DataFrame, cols: list[str], kind: str, keep: list[str]) -> DataFrame:
+    """Linear: C4 removals at 0.9, then robust scaling; neural: constant
+    columns removed, then robust scaling; tree, ensemble and any other kind: numeric columns as they are."""
+    from vigil.operators import prep as PR
+
+    if kind == "linear":
+        drop = {r["drop"] for r in corr_pairs(df, cols, 0.9).select("drop").collect()}
+    elif kind == "neural":
+        drop = {r["feature"] for r in detect_constant(df, cols).where("constant").collect()}
+    else:
+        return df.select(*[c(k) for k in keep], *[c(x).cast("double").alias(x) for x in cols])
+    left = [x for x in cols if x not in drop]
+    return PR.apply_scaler(df.select(*[c(k) for k in keep], *[c(x) for x in left]), PR.fit_scaler(df, left, "robust"))

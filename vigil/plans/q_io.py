@@ -14,6 +14,7 @@ from vigil.plans import sql_features as SF
 from vigil.plans.catalog import query, round_doubles
 from vigil.plans.q_eval import _MANY_CTE, metrics_many
 from vigil.plans.q_scoring import SR_SQL, scored_readings
+from vigil.functions.cache import keep as hold
 from vigil.session import work_dir
 from vigil.sources import files as IO
 from vigil.sources import fixtures as X
@@ -172,7 +173,7 @@ def q_sink_splits(spark, sf):
 def q_experiment_log(spark, sf):
     """Metric rows of two runs appended to the experiment table; one run read back."""
     root = work_dir(spark, "experiments")
-    m = metrics_many(spark, sf).select("model_name", "accuracy", "f1")
+    m = hold(metrics_many(spark, sf).select("model_name", "accuracy", "f1"))  # four rows, read by both runs
     IO.log_experiment(m.where(F.col("model_name").isin("rule_a", "rule_b")), root, "exp_ab")
     IO.log_experiment(m.where(F.col("model_name").isin("rule_c", "rule_d")), root, "exp_cd")
     return round_doubles(IO.load_experiments(spark, root, "exp_cd"))
@@ -187,10 +188,9 @@ def q_model_registry(spark, sf):
 
     root = work_dir(spark, "registry")
     m = metrics_many(spark, sf).select("model_name", "f1")
-    names = [r["model_name"] for r in m.select("model_name").orderBy("model_name").collect()]
-    for v, name in enumerate(names, start=1):
-        m.where(F.col("model_name") == name).withColumn("version", F.lit(v)).write.mode("append").parquet(root)
-    reg = spark.read.parquet(root)
+    version = F.row_number().over(Window.orderBy("model_name")).cast("int")  # one row per model
+    m.withColumn("version", version).write.mode("append").partitionBy("model_name").parquet(root)
+    reg = spark.read.schema("f1 double, version int, model_name string").parquet(root)
     out = reg.withColumn("position", F.row_number().over(Window.orderBy(F.desc("version")))).select(
         F.col("position").cast("int"), "model_name", F.col("version").cast("int"), "f1")
     return round_doubles(out)

@@ -18,6 +18,7 @@ from vigil.functions import features as FX
 from vigil.operators import evaluation as V
 from vigil.operators import ml as ML
 from vigil.operators import prep as PR
+from vigil.operators import profile as PF
 from vigil.operators import relational as RL
 from vigil.operators import scoring as R
 from vigil.operators import sequence as SQ
@@ -451,16 +452,20 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY failure ORDER BY """ + _H + """
 @query("preprocess_flow", _T1_SQL)
 def q_preprocess_flow(spark, sf):
     """Load -> quality report -> impute (auto) -> outlier report -> encode -> standard
-    scale (not the target) -> stratified split; the prepared rows with their split."""
+    scale (not the target) -> stratified split; both reports and the splits are written,
+    the splits read back."""
     s = X.sensor_nulls(spark, sf).select("key", "type", "air_temp", "proc_temp", "speed", "torque", "wear", "failure")
+    quality = PF.null_profile(s)
     params = PR.fit_impute(s.drop("key", "failure"), "auto")
     s = PR.apply_impute(s, params)
     nums = [c for c in ("air_temp", "proc_temp", "speed", "torque", "wear") if c in s.columns]
-    PR.count_outside(s, PR.fit_bounds(s, nums, "iqr"))  # report only: data unchanged
+    folder = work_dir(spark, "preprocess")
+    quality.write.parquet(f"{folder}/quality")
+    PR.count_outside(s, PR.fit_bounds(s, nums, "iqr")).write.parquet(f"{folder}/outliers")  # report only: data unchanged
     s = PR.onehot(s, "type", PR.fit_levels(s, "type"), drop_first=True).drop("type")
     s = PR.apply_scaler(s, PR.fit_scaler(s, nums, "standard"))
-    out = PR.split_stratified(s, "failure", "key", 0.2, 0.1)
-    return round_doubles(out)
+    PR.split_stratified(s, "failure", "key", 0.2, 0.1).write.partitionBy("split").parquet(f"{folder}/splits")
+    return round_doubles(spark.read.parquet(f"{folder}/splits"))
 
 
 # ---------------------------------------------------------------- selection loops
@@ -709,11 +714,12 @@ def q_model_persist(spark, sf):
 
 @query("score_batch")
 def q_score_batch(spark, sf):
-    """New readings -> same preprocessing -> fitted pipeline -> probability, confidence,
-    risk level and action per reading (fitted parameters reused, no chunking)."""
+    """Readings the model has not seen (the test split) -> levels and one-hot columns as fitted
+    on the training rows -> fitted pipeline -> probability, confidence, risk level and action."""
     d, model = _trained(spark, sf)
     s = X.sensor(spark, sf)
-    s = PR.onehot(s, "type", ["H", "L", "M"], drop_first=True)
+    rows = lambda part: s.join(d.where(F.col("split") == part).select("key"), "key", "left_semi")
+    s = PR.onehot(rows("test"), "type", PR.fit_levels(rows("train"), "type"), drop_first=True)
     aligned = RL.align_to_model(s, BASE, keep=["key"])
     pred = model.transform(aligned)
     out = pred.select("key", F.col("prediction").cast("int").alias("prediction"),

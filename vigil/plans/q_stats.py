@@ -401,13 +401,32 @@ def _l20_sql():
 def q_prepare_for_model(spark, sf):
     """L20 ('linear'): drop the C4 removals at 0.9, then robust-scale what is left
     (long form: key, feature, value)."""
-    e = eng_frame(spark, sf)
-    pairs = ST.corr_pairs(e, _ENG_COLS, 0.9)
-    drop = {r["drop"] for r in pairs.select("drop").collect()}
-    keep = [x for x in _ENG_COLS if x not in drop]
-    scaled = PR.apply_scaler(e.select("key", *keep), PR.fit_scaler(e, keep, "robust"))
-    st = f"stack({len(keep)}, " + ", ".join(f"'{x}', `{x}`" for x in keep) + ") as (feature, value)"
-    return round_doubles(scaled.selectExpr("key", st))
+    return _prepared_long(eng_frame(spark, sf), _ENG_COLS, "linear")
+
+
+def _prepared_long(e, cols, kind):
+    out = ST.prepare_for_model(e, cols, kind, ["key"])
+    left = [x for x in out.columns if x != "key"]
+    st = f"stack({len(left)}, " + ", ".join(f"'{x}', `{x}`" for x in left) + ") as (feature, value)"
+    return round_doubles(out.selectExpr("key", st))
+
+
+_L20_COLS = ["torque", "wear", "const"]
+
+
+@query("prepare_for_model_neural", S(_union([f"""SELECT key, '{x}' AS feature, round(({x} - (SELECT quantile_cont({x}, 0.5) FROM sensor))
+  / coalesce(nullif((SELECT quantile_cont({x}, 0.75) - quantile_cont({x}, 0.25) FROM sensor), 0), 1.0), 6) AS value FROM sensor"""
+                                              for x in ("torque", "wear")])))
+def q_prepare_for_model_neural(spark, sf):
+    """L20 ('neural'): constant columns removed, then robust scaling (long form)."""
+    return _prepared_long(X.sensor(spark, sf).withColumn("const", F.lit(1.0)), _L20_COLS, "neural")
+
+
+@query("prepare_for_model_tree", S(_union([f"SELECT key, '{x}' AS feature, round(CAST({v} AS DOUBLE), 6) AS value FROM sensor"
+                                           for x, v in (("torque", "torque"), ("wear", "wear"), ("const", "1.0"))])))
+def q_prepare_for_model_tree(spark, sf):
+    """L20 ('tree', 'ensemble' and other kinds): every column as a number (long form)."""
+    return _prepared_long(X.sensor(spark, sf).withColumn("const", F.lit(1.0)), _L20_COLS, "tree")
 
 
 # ---------------------------------------------------------------- G9, G10
