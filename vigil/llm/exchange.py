@@ -54,14 +54,14 @@ def cuts(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, low), [len(keys)]))
 
 
-def request(part: int, keys: np.ndarray, more: np.ndarray | None, bits: int, kind: int = 0) -> dict:
-    """Columns of the requests for ascending distinct ``keys``; ``more`` is one
-    value per key that travels along."""
+def request(part: int, keys: np.ndarray, more: np.ndarray, bits: int, kind: int = 0, short: bool = False) -> dict:
+    """Columns of the requests for ascending distinct ``keys`` (``short``: as 40
+    bits each); ``more`` is one value per key that travels along."""
     at = cuts(keys, bits)
     full = np.flatnonzero(np.diff(at))
-    cut = lambda x: [x[at[b]:at[b + 1]].tobytes() for b in full]
+    parts = [keys[at[b]:at[b + 1]] for b in full]
     return {PART: [part] * len(full), "bucket": (full + (kind << 24)).tolist(), "size": np.diff(at)[full].tolist(),
-            "keys": cut(keys), "more": cut(more) if more is not None else [None] * len(full)}
+            "keys": [narrow(k, bits) if short else k.tobytes() for k in parts], "more": [more[at[b]:at[b + 1]].tobytes() for b in full]}
 
 
 REQUEST_ARROW = pa.schema([(PART, pa.int64()), ("bucket", pa.int32()), ("size", pa.int64()), ("keys", pa.binary()), ("more", pa.binary())])
@@ -105,3 +105,29 @@ def answered(side: pa.Table, kind: int, keys: np.ndarray, bits: int) -> np.ndarr
             lo, hi = at[b], at[b + 1]
             hit[lo:hi] = np.unpackbits(np.frombuffer(blob, np.uint8), count=hi - lo).astype(bool)
     return keys[hit]
+
+
+def narrow(keys: np.ndarray, bits: int) -> bytes:
+    """40 bits of each key below the bucket's.  A bucket holds about a million
+    keys, so one key in a million shares its 40 bits with another; equal keys
+    stay equal and in order."""
+    return np.ascontiguousarray(((keys << np.uint64(bits)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def widen(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :5] = raw
+    return out.view(np.uint64).ravel()
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """A byte per count, and eight more for each of 255 or above."""
+    big = counts >= 255
+    return np.where(big, 255, counts).astype(np.uint8).tobytes() + counts[big].astype("<u8").tobytes()
+
+
+def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(data, "<u8", -1, n)
+    return out

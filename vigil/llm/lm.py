@@ -14,7 +14,8 @@ Posterior weights depend on the ratios of the three estimates alone; the
 histogram holds them in steps of a sixteenth of a power of two.
 
 Tokens are words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased, then one end per
-text; words are told apart by 64-bit hashes.
+text; words are told apart by 64-bit hashes, word pairs by 40 bits inside a
+bucket of about a million (one in a million is counted with another).
 
 Defined results: null and empty texts are one end token.  Without training
 rows N and V are 0 and every estimate is uniform.  Repeated rows count and
@@ -35,6 +36,7 @@ from vigil.llm import kernel as K
 END = np.uint64(0x0E5D0E5D0E5D0E5D)
 START = np.uint64(0x57A857A857A857A8)
 BUCKETS = 24
+BUCKET_BYTES = 8 << 20  # keys and counts that a bucket task holds
 TRAIN = "_vg_train"
 SCORES = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _UNI, _BI, _STATS, _MODEL = 0, 1, 2, 3
@@ -60,13 +62,16 @@ class _Tokens:
         ctx[np.cumsum(self.per) - self.per] = START
         with np.errstate(over="ignore"):
             pair = K.mix(ctx * np.uint64(K._M) + tok)
+        del ctx
         self.train = np.repeat(docs[TRAIN].to_numpy().astype(bool), self.per) if n else np.zeros(0, bool)
-        self.words, inv = np.unique(np.concatenate((tok, [START])), return_inverse=True)
+        self.words, _, inv = K.distinct(np.append(tok, START))
+        del tok
         self.start_id, self.tok = int(inv[-1]), inv[:-1]
-        self.ctx = np.empty(n, np.int64)
+        self.ctx = np.empty(n, np.int32)
         self.ctx[1:] = self.tok[:-1]
         self.ctx[np.cumsum(self.per) - self.per] = self.start_id
-        self.pairs, first, self.pair = np.unique(pair, return_index=True, return_inverse=True)
+        self.pairs, first, self.pair = K.distinct(pair)
+        del pair
         self.pair_tok, self.pair_ctx = self.tok[first], self.ctx[first]
         self.word_n = np.bincount(self.tok[self.train], minlength=len(self.words))
         begins = np.zeros(n, bool)
@@ -126,7 +131,8 @@ def _counts(side: pa.Table, t: _Tokens, bits: tuple[int, int]) -> tuple[np.ndarr
     for kind, b, blob in zip(side["kind"].to_pylist(), side["bucket"].to_pylist(), side["blob"].to_pylist()):
         if kind in (_UNI, _BI):
             b &= 0xFFFFFF
-            got[kind][at[kind][b]:at[kind][b + 1]] = np.frombuffer(blob, np.uint64 if kind == _UNI else np.uint32)
+            lo, hi = at[kind][b], at[kind][b + 1]
+            got[kind][lo:hi] = X.unpack_counts(blob, hi - lo)
     return got
 
 
@@ -142,13 +148,12 @@ def add_up(requests: DataFrame) -> DataFrame:
     def answer(t: pa.Table) -> pa.Table:
         bucket = t["bucket"].to_numpy()
         kind = int(bucket[0] >> 24)
-        keys = [np.frombuffer(x, np.uint64) for x in t["keys"].to_pylist()]
+        keys = [np.frombuffer(x, np.uint64) if kind == _UNI else X.widen(x) for x in t["keys"].to_pylist()]
         count = [np.frombuffer(x, np.uint32) for x in t["more"].to_pylist()]
-        every, inv = np.unique(np.concatenate(keys), return_inverse=True)
+        every, _, inv = K.distinct(np.concatenate(keys))
         total = np.bincount(inv, np.concatenate(count), len(every)).astype(np.uint64)
         at = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
-        back = total[inv].astype(np.uint64 if kind == _UNI else np.uint32)
-        out = X.replies(kind, t[X.PART], t["bucket"], [back[i:j].tobytes() for i, j in zip(at[:-1], at[1:])])
+        out = X.replies(kind, t[X.PART], t["bucket"], [X.pack_counts(total[inv[i:j]]) for i, j in zip(at[:-1], at[1:])])
         if kind == _UNI:
             own = total[every != START]
             out = pa.concat_tables([out, pa.table({X.PART: [-1], "kind": [_STATS], "bucket": [0], "a": [int(own.sum())],
@@ -158,20 +163,20 @@ def add_up(requests: DataFrame) -> DataFrame:
     return requests.groupBy("bucket").applyInArrow(answer, X.SIDE)
 
 
-def score(docs: DataFrame, train: Column, text_col: str = "text", part_bytes: int = 2 * X.PART_BYTES) -> DataFrame:
+def score(docs: DataFrame, train: Column, text_col: str = "text", part_bytes: int = X.PART_BYTES) -> DataFrame:
     """``docs`` without the text, with the columns of ``SCORES``; the model learns from the rows where ``train`` holds."""
     extra = T.StructType.fromDDL(SCORES)
     keep = [c for c in docs.columns if c != text_col and c not in extra.names]
     docs = docs.select(*[f"`{c}`" for c in keep], f"`{text_col}`", F.coalesce(train, F.lit(True)).alias(TRAIN))
     dealt, total = X.deal(docs, text_col, part_bytes)
     parts = max(1, -(-total // part_bytes))
-    bits = X.bits_for(total / 4), X.bits_for(2 * total)
+    bits = X.bits_for(total / 4, BUCKET_BYTES), X.bits_for(2 * total, BUCKET_BYTES)
 
     def ask(key, t):
         x = _Tokens(t, text_col)
         part = key[0].as_py()
-        cols = [X.request(part, k, n.astype(np.uint32), b, kind)
-                for kind, k, n, b in ((_UNI, x.words, x.word_n, bits[0]), (_BI, x.pairs, x.pair_n, bits[1]))]
+        cols = [X.request(part, k, n.astype(np.uint32), b, kind, short)
+                for kind, k, n, b, short in ((_UNI, x.words, x.word_n, bits[0], False), (_BI, x.pairs, x.pair_n, bits[1], True))]
         return pa.concat_tables([pa.table(c, schema=X.REQUEST_ARROW) for c in cols])
 
     group = dealt.groupBy(X.PART)
