@@ -33,11 +33,14 @@ from pyspark.sql import types as T
 
 from vigil.llm import exchange as X
 from vigil.llm import kernel as K
+from vigil.llm.tokenfile import pieces as doc_ranges
 from vigil.session import work_dir
 
 F1, F2, SIZE = "_vg_f1", "_vg_f2", "_vg_size"
 VERIFY_COST = 8  # rows of work that a list entry's check counts for
 LONGEST_LIGHT = 24
+STEP_BYTES = 1 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def _least(size, j):
@@ -71,21 +74,21 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 class _Sets:
-    """Ascending distinct shingle hashes of each text, with set fingerprints."""
+    """Ascending distinct shingle hashes of each text, with set fingerprints; a megabyte of text at a time."""
 
     def __init__(self, column, words: int):
         buf, off = K.text_bytes(column)
-        low = K.LOWER[buf]
-        s, e, per = K.words(low, off)
-        sh, runs = K.shingles(K.span_hashes(low, s, e), per, words)
-        at = np.concatenate(([0], np.cumsum(runs)))
-        self.sets = [np.unique(sh[i:k]) for i, k in zip(at[:-1], at[1:])]
+        self.sets = []
+        for lo, hi in doc_ranges(None, off, STEP_BYTES):
+            low = K.LOWER[buf[off[lo]:off[hi]]]
+            s, e, per = K.words(low, off[lo:hi + 1] - off[lo])
+            sh, runs = K.shingles(K.span_hashes(low, s, e), per, words)
+            at = np.concatenate(([0], np.cumsum(runs)))
+            self.sets += [np.unique(sh[i:k]) for i, k in zip(at[:-1], at[1:])]
         self.size = np.array([len(x) for x in self.sets], np.int64)
-        flat = np.concatenate(self.sets) if self.sets else np.zeros(0, np.uint64)
-        edge = np.concatenate(([0], np.cumsum(self.size)))
         with np.errstate(over="ignore"):
-            total = lambda y: (lambda c: c[edge[1:]] - c[edge[:-1]])(np.concatenate((np.zeros(1, np.uint64), np.cumsum(K.mix(y)))))
-            self.f1, self.f2 = _signed(total(flat)), _signed(total(flat ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+            prints = [(K.mix(x).sum(), K.mix(x ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()) for x in self.sets]
+        self.f1, self.f2 = (_signed(np.array([p[k] for p in prints], np.uint64)) for k in (0, 1))
 
     def leaders(self, side: pa.Table) -> list[int]:
         """First row of each class that this part leads."""
@@ -99,25 +102,13 @@ class _Sets:
         return out
 
 
-def _narrow(keys: np.ndarray, bits: int) -> bytes:
-    """40 bits of each key, below the bucket's: enough for a frequency, as equal
-    keys stay equal and a clash only makes a shingle look more frequent."""
-    return np.ascontiguousarray(((keys << np.uint64(bits)) >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def _widen(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
-    return out.view(np.uint64).ravel()
-
-
 def _frequencies(requests: DataFrame) -> DataFrame:
-    """Replies a byte per key: 0 for one class only, else 1 + floor(log2(classes))."""
+    """Replies a byte per key: 0 for one class only, else 1 + floor(log2(classes)).
+    Keys come in 40 bits; a clash only makes a shingle look more frequent."""
 
     def answer(t: pa.Table) -> pa.Table:
-        keys = [_widen(x) for x in t["keys"].to_pylist()]
-        every, inv = np.unique(np.concatenate(keys), return_inverse=True)
+        keys = [X.widen(x) for x in t["keys"].to_pylist()]
+        every, _, inv = K.distinct(np.concatenate(keys))
         n = np.bincount(inv, np.concatenate([np.frombuffer(x, np.uint8) for x in t["more"].to_pylist()]), len(every))
         level = np.where(n > 1, np.frexp(n)[1], 0).astype(np.uint8)[inv]
         at = np.concatenate(([0], np.cumsum([len(k) for k in keys])))
@@ -136,7 +127,7 @@ def _candidates(dealt: DataFrame, total: int, classes: DataFrame, text_col: str,
     """Rows for lists, subsets and sets of the classes."""
     lead = classes.select(F.col("lead").alias(X.PART), F.lit(0).alias("kind"), F.lit(0).alias("bucket"), F.col(F1).alias("a"),
                           F.col(F2).alias("b"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("binary").alias("blob"))
-    bits = X.bits_for(2 * total)
+    bits = X.bits_for(total, BUCKET_BYTES)
     near = _least(cut + 1, j)
 
     def ask(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -147,7 +138,7 @@ def _candidates(dealt: DataFrame, total: int, classes: DataFrame, text_col: str,
         full = np.flatnonzero(np.diff(at))
         n = np.minimum(n, 255).astype(np.uint8)
         return pa.table({X.PART: [key[0].as_py()] * len(full), "bucket": full, "size": np.diff(at)[full],
-                         "keys": [_narrow(keys[at[b]:at[b + 1]], bits) for b in full],
+                         "keys": [X.narrow(keys[at[b]:at[b + 1]], bits) for b in full],
                          "more": [n[at[b]:at[b + 1]].tobytes() for b in full]}).cast(X.REQUEST_ARROW)
 
     def emit(key, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -252,16 +243,19 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int], part_bytes: int):
+def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int], part_bytes: int, keys: list[str] | None = None):
     """(rows with part, class and size; links between classes)."""
-    dealt, total = X.deal(docs, text_col, part_bytes)
+    dealt, total = X.deal(docs, text_col, part_bytes, keys)
     keep = [f for f in dealt.schema.fields if f.name not in (text_col, F1, F2, SIZE)]
 
     def describe(batches):
         for b in batches:
-            x = _Sets(b.column(text_col), words)
-            cols = [b.column(f.name) for f in keep] + [pa.array(x.f1), pa.array(x.f2), pa.array(x.size)]
-            yield pa.RecordBatch.from_arrays(cols, [f.name for f in keep] + [F1, F2, SIZE])
+            _, off = K.text_bytes(b.column(text_col))
+            for lo, hi in doc_ranges(None, off, STEP_BYTES):
+                part = b.slice(lo, hi - lo)
+                x = _Sets(part.column(text_col), words)
+                cols = [part.column(f.name) for f in keep] + [pa.array(x.f1), pa.array(x.f2), pa.array(x.size)]
+                yield pa.RecordBatch.from_arrays(cols, [f.name for f in keep] + [F1, F2, SIZE])
 
     long = lambda n: T.StructField(n, T.LongType())
     rows = _saved(dealt.select(*[f"`{f.name}`" for f in keep], f"`{text_col}`")
@@ -318,8 +312,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     return out.select(*[f"`{c}`" for c in keep], F.col(SIZE).alias("n_shingles"), F.col("_vg_comp").alias("component_id"))
 
 
-def _components(docs, id_col, text_col, words, jaccard, part_bytes) -> DataFrame:
-    rows, edges = links(docs, text_col, words, jaccard, part_bytes)
+def _components(docs, id_col, text_col, words, jaccard, part_bytes, keys=None) -> DataFrame:
+    rows, edges = links(docs, text_col, words, jaccard, part_bytes, keys)
     root = components(edges)
     named = rows.filter(F.col(SIZE) > 0).groupBy(F1, F2).agg(F.min(id_col).alias("least"))
     named = named.join(root, F.col(F1) == F.col("v"), "left").withColumn("root", F.coalesce("root", F1))
@@ -334,7 +328,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """``docs`` with one row per component: the one with the smallest key, ties
     by part and set.  Texts without words all stay."""
     narrow = docs.select(f"`{id_col}`", f"`{text_col}`")
-    out = _components(narrow, id_col, text_col, words, jaccard, part_bytes)
+    out = _components(narrow, id_col, text_col, words, jaccard, part_bytes, [id_col])  # parts as below
     one = (out.filter(F.col(SIZE) > 0).groupBy("_vg_root")
            .agg(F.min(F.struct(F.col(f"`{id_col}`").isNull().alias("z"), F.col(f"`{id_col}`").alias("id"), X.PART, F1, F2)).alias("m"))
            .select("m.*"))
