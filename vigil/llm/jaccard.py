@@ -10,9 +10,9 @@ write, estimated from the short texts' word counts.
 
 Shingle frequencies over all classes come from packed requests; a shingle that
 one class alone has joins no list and no subset, so a class without near
-copies writes nothing.  In a list every class is first checked against the
-list's smallest class; only classes that remain in different components after
-that are paired, so a group of copies costs its size, not its square.
+copies writes nothing.  In a list every class is first checked against one
+pivot, in a few rounds with another pivot each; only classes that remain in
+different components after that are paired.
 
 Defined results: null texts and texts without words have an empty set, link
 with nothing and are their own component.  Rows with equal sets belong to one
@@ -41,6 +41,7 @@ VERIFY_COST = 8  # rows of work that a list entry's check counts for
 LONGEST_LIGHT = 24
 STEP_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
+PIVOT_ROUNDS = 4
 
 
 def _least(size, j):
@@ -243,6 +244,22 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def _apart(member: DataFrame) -> DataFrame:
+    """The entries of lists whose classes lie in more than one component."""
+    mixed = member.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
+    return member.join(mixed, "token")
+
+
+def _hook(comp: DataFrame, link: DataFrame) -> DataFrame:
+    """Components after the links, each hooked on the least it meets, and one step further up."""
+    label = lambda v, c: comp.select(F.col("cls").alias(v), F.col("c").alias(c))
+    ends = link.join(label("x", "cx"), "x").join(label("y", "cy"), "y").filter("cx != cy")
+    up = ends.groupBy(F.greatest("cx", "cy").alias("c")).agg(F.min(F.least("cx", "cy")).alias("u"))
+    over = up.select(F.col("c").alias("u"), F.col("u").alias("v"))
+    step = up.join(over, "u", "left").select("c", F.coalesce("v", "u").alias("to"))
+    return comp.join(step, "c", "left").select("cls", F.coalesce("to", "c").alias("c"))
+
+
 def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int], part_bytes: int, keys: list[str] | None = None):
     """(rows with part, class and size; links between classes)."""
     dealt, total = X.deal(docs, text_col, part_bytes, keys)
@@ -272,7 +289,8 @@ def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int],
     light = (subset.join(first, ["token", "pos"]).filter((F.col("cls") != F.col("m.cls")) & (j0 * (F.col("size") + F.col("m.size")) <= (j0 + j1) * F.col("pos")))
              .select(F.col("cls").alias("x"), F.col("m.cls").alias("y")).distinct())
 
-    # heavy: each class against the class it meets most often as the smallest of a list
+    # heavy: rounds of one pivot a list; each class is checked against the pivot it meets most often
+    # among those of other components.  The first pivots are the smallest sets, later ones random members.
     entry = found.filter(F.col("kind") == _LIST).select("token", "cls", "size", "pos")
     sets = found.filter(F.col("kind") == _SET).select(X.PART, "cls", "data")
     need = lambda s, t: F.ceil(F.lit(j0) * (s + t) / F.lit(j0 + j1))
@@ -281,20 +299,22 @@ def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int],
         return ((F.greatest(s, t) > cut) & (s * j1 >= t * j0) & (t * j1 >= s * j0)
                 & (F.least(s - p, t - q) >= need(s, t)))  # the shared shingle and all after it suffice
 
-    lowest = entry.groupBy("token").agg(F.min(F.struct("size", "cls", "pos")).alias("m"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    met = (entry.join(lowest, "token").filter(F.col("cls") != F.col("m.cls"))
-           .filter(possible(F.col("size"), F.col("m.size"), F.col("pos"), F.col("m.pos")))
-           .groupBy(F.col("cls").alias("x"), F.col("m.cls").alias("y")).agg(F.count(F.lit(1)).alias("n")))
-    top = met.groupBy("x").agg(F.max(F.struct("n", "y")).alias("b")).select("x", F.col("b.y").alias("y"))
-    tried = _saved(top, "tried")
-    star = _saved(_verified(tried, sets, jaccard), "star")
-
-    # the rest: pairs of a list that are still apart (two steps up the stars; a coarser split only adds pairs)
-    up = star.select(F.col("x").alias("y"), F.col("y").alias("z"))
-    parent = star.join(up, "y", "left").select(F.col("x").alias("cls"), F.coalesce("z", "y").alias("c"))
-    member = entry.join(parent, "cls", "left").withColumn("c", F.coalesce("c", "cls"))
-    mixed = member.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("token")
-    member = member.join(mixed, "token")
+    comp = entry.select("cls").distinct().withColumn("c", F.col("cls"))
+    tried = star = None
+    for turn in range(PIVOT_ROUNDS):
+        member = _apart(entry.join(comp, "cls"))
+        order = F.col("size") if turn == 0 else F.xxhash64("cls", F.lit(turn))
+        pivot = member.groupBy("token").agg(F.min(F.struct(order.alias("o"), "cls", "size", "pos", "c")).alias("m"))
+        met = (member.join(pivot, "token").filter(F.col("c") != F.col("m.c"))
+               .filter(possible(F.col("size"), F.col("m.size"), F.col("pos"), F.col("m.pos")))
+               .groupBy(F.col("cls").alias("x"), F.col("m.cls").alias("y")).agg(F.count(F.lit(1)).alias("n")))
+        top = _saved(met.groupBy("x").agg(F.max(F.struct("n", "y")).alias("b")).select("x", F.col("b.y").alias("y")), "tried")
+        link = _saved(_verified(top, sets, jaccard), "star")
+        tried, star = (top, link) if tried is None else (tried.unionByName(top), star.unionByName(link))
+        comp = _saved(_hook(comp, link), "hooked")
+
+    # the rest: pairs of a list that are still apart (components that hooking has not met yet only add pairs)
+    member = _apart(entry.join(comp, "cls"))
     a = member.select("token", F.col("cls").alias("x"), F.col("size").alias("s"), F.col("pos").alias("p"), F.col("c").alias("cx"))
     b = member.select("token", F.col("cls").alias("y"), F.col("size").alias("t"), F.col("pos").alias("q"), F.col("c").alias("cy"))
     apart = (a.join(b, "token").filter((F.col("cx") != F.col("cy")) & (F.col("x") < F.col("y")))
