@@ -99,10 +99,10 @@ def op6_benchmark_decontamination(spark, sf_dir):
 
 @query
 def op2_substring_dedup(spark, sf_dir):
-    """Sentences under non-first repeats of two-sentence runs, and what remains."""
+    """Sentences under non-first repeats of runs of two sentences or more, and what remains."""
     from vigil.llm import spans
 
-    return spans.strip(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return spans.strip(table(spark, sf_dir, "documents").select("doc_id", "text"), grow=True).drop("text")
 
 
 @query

@@ -8,6 +8,12 @@ under any other occurrence go.  A sentence ends with a word that ends in
 their words, A-Z lower-cased.  A removed sentence takes the white space behind
 it along.
 
+With ``grow``, runs of short sentences go on until they reach ``min_words``: the
+shortest run of ``run`` sentences or more from each sentence on and the shortest
+one up to each sentence are hashed, so every sentence of a repeated passage that
+is long enough lies under a run inside the passage.  A text too short for any
+run is hashed as a whole and meets equal texts only.
+
 Defined results: null and empty texts have no sentences; a null text stays
 null.  A null key sorts first.  Rows equal in key and text count as one text:
 they do not remove each other.  An empty table gives an empty result.
@@ -60,19 +66,31 @@ def _fold(hashes: np.ndarray, first: np.ndarray, ends: np.ndarray) -> np.ndarray
         return K.mix((total[ends] - total[first]) * back[first] + (ends - first).astype(np.uint64))
 
 
-def _runs(found, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first sentence in its text, hash) of every run that is long enough."""
-    hashes, first, words, _, per = found
+def _runs(found, run: int, min_words: int, grow: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash) of every run that is long enough; a place is the first
+    sentence in its text, and in the lower 32 bits the number of sentences."""
+    hashes, _, words, _, per = found
     text = np.repeat(np.arange(len(per)), per)
-    place = K.ragged(per)
-    at = np.flatnonzero(place <= np.repeat(per, per) - run)
-    size = np.add.reduce([words[at + k] for k in range(run)]) if len(at) else at
-    at = at[size >= min_words]
-    return text[at], place[at], _fold(hashes, at, at + run)
-
-
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, min_words: int = 12) -> DataFrame:
-    """(key, tie, gone): first sentences of the runs to remove, per text that has any."""
+    head, tail = np.repeat(np.cumsum(per) - per, per), np.repeat(np.cumsum(per), per)
+    total, at = np.concatenate(([0], np.cumsum(words))), np.arange(len(words))
+    stop = np.maximum(np.searchsorted(total, total[:-1] + min_words), at + run) if grow else at + run
+    use = stop <= tail
+    if not grow:
+        use[use] = total[stop[use]] - total[at[use]] >= min_words
+    first, ends = at[use], stop[use]
+    if grow:
+        begin = np.minimum(np.searchsorted(total, total[1:] - min_words, "right") - 1, at + 1 - run)
+        back = begin >= head
+        back[back] = stop[begin[back]] != at[back] + 1  # else the same run
+        alone = np.flatnonzero((per > 0) & (np.bincount(text[first], minlength=len(per)) == 0))
+        first = np.concatenate((first, begin[back], (np.cumsum(per) - per)[alone]))
+        ends = np.concatenate((ends, at[back] + 1, np.cumsum(per)[alone]))
+    return text[first], ((first - head[first]) << 32) + ends - first, _fold(hashes, first, ends)
+
+
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, min_words: int = 12,
+             grow: bool = False) -> DataFrame:
+    """(key, tie, gone): places of the runs to remove, per text that has any."""
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("tie"), F.col(f"`{text_col}`").alias("text"))
     kind = docs.schema[id_col].dataType
 
@@ -80,12 +98,12 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
         for b in batches:
             buf, off = K.text_bytes(b.column("text"))
             for lo, hi in doc_ranges(buf, off, STEP_BYTES):
-                text, place, h = _runs(sentences(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]), run, min_words)
+                text, place, h = _runs(sentences(buf[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]), run, min_words, grow)
                 rows = pa.array(text + lo)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("id").take(rows), b.column("tie").take(rows),
-                                                  pa.array(place, pa.int32())], ["h", "id", "tie", "i"])
+                                                  pa.array(place, pa.int64())], ["h", "id", "tie", "i"])
 
-    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("id", kind), T.StructField("tie", T.LongType()), T.StructField("i", T.IntegerType())])
+    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("id", kind), T.StructField("tie", T.LongType()), T.StructField("i", T.LongType())])
     found = narrow.mapInArrow(spans, schema)
     first = (found.groupBy("h").agg(F.min(F.struct("id", "tie", "i")).alias("m"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").drop("n"))
@@ -93,11 +111,12 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     return later.groupBy("id", "tie").agg(F.collect_set("i").alias("gone"))  # places in one text
 
 
-def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, min_words: int = 12) -> DataFrame:
+def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 2, min_words: int = 12,
+          grow: bool = False) -> DataFrame:
     """``docs`` with the remaining text, n_sentences, n_removed and kept_sha256."""
     extra = T.StructType.fromDDL("n_sentences long, n_removed long, kept_sha256 string")
     names = [c for c in docs.columns if c not in extra.names]
-    gone = removals(docs, id_col, text_col, run, min_words).withColumnsRenamed({"id": "_vg_id", "tie": "_vg_t", "gone": GONE})
+    gone = removals(docs, id_col, text_col, run, min_words, grow).withColumnsRenamed({"id": "_vg_id", "tie": "_vg_t", "gone": GONE})
     base = docs.select(*[f"`{c}`" for c in names]).withColumn(TIE, F.xxhash64(f"`{text_col}`"))
     both = base.join(gone, (F.col(TIE) == F.col("_vg_t")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_vg_id")), "left").drop(TIE, "_vg_t", "_vg_id")
 
@@ -111,16 +130,16 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run:
                 text, sha, removed = [], [], []
                 for k, places in enumerate(part.column(GONE).to_pylist()):
                     keep = np.ones(at[k + 1] - at[k], bool)
-                    drop = np.zeros(per[k] + run, bool)
+                    drop = np.zeros(per[k], bool)
                     for p in places or ():
-                        drop[p:p + run] = True
+                        drop[p >> 32:(p >> 32) + (p & 0xFFFFFFFF)] = True
                     edge = np.append(begin[head[k]:head[k] + per[k]], at[k + 1]) - at[k]
-                    for p in np.flatnonzero(drop[:per[k]]):
+                    for p in np.flatnonzero(drop):
                         keep[edge[p]:edge[p + 1]] = False
                     left = own[at[k]:at[k + 1]][keep].tobytes()
                     text.append(left.decode())
                     sha.append(hashlib.sha256(left).hexdigest())
-                    removed.append(int(drop[:per[k]].sum()))
+                    removed.append(int(drop.sum()))
                 mask = part.column(text_col).is_null()
                 kept = pa.array(text, pa.string(), mask=mask.to_numpy(zero_copy_only=False))
                 cols = [kept if c == text_col else part.column(c) for c in names]
