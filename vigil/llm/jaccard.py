@@ -41,6 +41,7 @@ VERIFY_COST = 8  # rows of work that a list entry's check counts for
 LONGEST_LIGHT = 24
 STEP_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
+GROUP_BYTES, GROUP_PAIRS = 8 << 20, 1 << 18  # of sets that come to a part, and of pairs, checked at once
 PIVOT_ROUNDS = 4
 
 
@@ -186,36 +187,40 @@ def _candidates(dealt: DataFrame, total: int, classes: DataFrame, text_col: str,
     return pair(lead.unionByName(levels)).applyInArrow(emit, ROWS)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, j) -> DataFrame:
-    """The pairs (x, y) that link.  Each x is sent once to every part that holds
-    one of its ys, and the pairs are checked there."""
+def _groups(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs and the sets they need, by the part of y and a salt of x.  A part
+    that many xs ask for falls into as many groups as their bytes and pairs need;
+    a set goes once to each group that needs it."""
     where = sets.select(F.col("cls").alias("y"), X.PART)
-    placed = pairs.select("x", "y").join(where, "y")
-    moved = placed.select("x", X.PART).distinct().join(sets.select(F.col("cls").alias("x"), "data"), "x")
-    right = placed.withColumn("data", F.lit(None).cast("binary")).unionByName(moved.withColumn("y", F.lit(None).cast("long")))
-    right = right.select(F.col(X.PART).alias("_vg_to"), "x", "y", "data")
-
-    def check(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        own = dict(zip(left["cls"].to_pylist(), left["data"].to_pylist()))
-        come, todo = {}, []
-        for x, y, data in zip(right["x"].to_pylist(), right["y"].to_pylist(), right["data"].to_pylist()):
-            if data is None:
-                todo.append((x, y))
-            else:
-                come[x] = np.frombuffer(data, np.uint64)
+    sizes = sets.select(F.col("cls").alias("x"), "size")
+    placed = _saved(pairs.select("x", "y").join(where, "y").join(sizes, "x"), "placed")
+    need = placed.groupBy(X.PART, "x").agg(F.max("size").alias("s"), F.count(F.lit(1)).alias("n"))
+    salts = need.groupBy(X.PART).agg(F.greatest(F.ceil(F.sum("s") * 8 / GROUP_BYTES), F.ceil(F.sum("n") / GROUP_PAIRS)).alias("k")).filter("k > 1")
+    salt = F.pmod(F.xxhash64("x"), F.coalesce("k", F.lit(1))).alias("salt")
+    dealt = placed.join(F.broadcast(salts), X.PART, "left").select(X.PART, salt, "x", "y")  # a row per part at most
+    asked = dealt.select(X.PART, "salt", "x").unionByName(dealt.select(X.PART, "salt", F.col("y").alias("x"))).distinct()
+    moved = asked.join(sets.select(F.col("cls").alias("x"), "data"), "x")
+    return dealt.withColumn("data", F.lit(None).cast("binary")).unionByName(moved.withColumn("y", F.lit(0).cast("long")))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, j) -> DataFrame:
+    """The pairs (x, y) that link, checked group by group."""
+
+    def check(t: pa.Table) -> pa.Table:
+        held, todo = t.filter(t["data"].is_valid()), t.filter(t["data"].is_null())
+        own = dict(zip(held["x"].to_pylist(), held["data"].to_pylist()))
         keep = []
-        todo.sort(key=lambda p: p[1])
         last, b = None, None
-        for x, y in todo:
+        for x, y in sorted(zip(todo["x"].to_pylist(), todo["y"].to_pylist()), key=lambda p: p[1]):
             if y != last:
                 last, b = y, np.frombuffer(own[y], np.uint64)
-            a = come[x]
+            a = np.frombuffer(own[x], np.uint64)
             both = int(K.member(b, a).sum())
             if j[1] * both >= j[0] * (len(a) + len(b) - both):
                 keep.append((x, y))
         return pa.table({"x": [p[0] for p in keep], "y": [p[1] for p in keep]}, schema=pa.schema([("x", pa.int64()), ("y", pa.int64())]))
 
-    return sets.groupBy(X.PART).cogroup(right.groupBy("_vg_to")).applyInArrow(check, "x long, y long")
+    return _groups(pairs, sets).groupBy(X.PART, "salt").applyInArrow(check, "x long, y long")
 
 
 def _saved(df: DataFrame, name: str) -> DataFrame:
@@ -292,7 +297,7 @@ def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int],
     # heavy: rounds of one pivot a list; each class is checked against the pivot it meets most often
     # among those of other components.  The first pivots are the smallest sets, later ones random members.
     entry = found.filter(F.col("kind") == _LIST).select("token", "cls", "size", "pos")
-    sets = found.filter(F.col("kind") == _SET).select(X.PART, "cls", "data")
+    sets = found.filter(F.col("kind") == _SET).select(X.PART, "cls", "size", "data")
     need = lambda s, t: F.ceil(F.lit(j0) * (s + t) / F.lit(j0 + j1))
 
     def possible(s, t, p, q):
