@@ -5,8 +5,8 @@ written as Parquet and reread as the next stage's ``docs``.  All but the last
 return the columns of ``documents``.  ``n_chars`` follows the text.
 
 1. quality_rules: documents that the rules' posterior rejects go.
-2. ngram_jaccard_join: one document of each component stays (4-word shingles,
-   similarity 0.85 or more), the one with the smallest doc_id.
+2. ngram_jaccard_join: one document of each component stays (5-word shingles,
+   similarity 0.8 or more), the one with the smallest doc_id.
 3. suffix_array_dedup: bytes under 400-byte strings that start elsewhere too go;
    a document of which less than a character remains goes with them.
 4. benchmark_decontamination: documents that hold a verified benchmark item go.
@@ -30,7 +30,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, words=5, jaccard=(80, 100))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
