@@ -103,7 +103,7 @@ def kendall_tau_b(df: DataFrame, x: str, y: str, block_cells: int = 200_000) ->
     disc = int(apart.agg(F.sum((F.col("n") * F.col("h")).cast("decimal(38,0)"))).first()[0] or 0)
 
     def inside(group: str, first: str):
-        many = ranged.groupBy(group).agg((F.min(first) < F.max(first)).alias("m")).filter("m").select(group)  # else no pair counts
+        many = ranged.groupBy(group).agg(((F.min(first) < F.max(first)) & (F.min("y") < F.max("y"))).alias("m")).filter("m").select(group)  # else no pair counts
 
         def count(pdf: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"d": [str(_discordant(pdf[first].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy()))]})
