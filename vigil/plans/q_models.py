@@ -31,7 +31,8 @@ from vigil.sources import fixtures as X
 BASE = ["air_temp", "proc_temp", "speed", "torque", "wear", "type_L", "type_M"]
 ENG = BASE + ["temp_difference", "mechanical_power", "wear_torque_interaction", "stress_index", "speed_torque_ratio"]
 FOLDS = 5
-TREES = 10  # small forests in the registered queries; the library functions default to 100
+TREES = 10  # small forests in the elimination and fold loops; the library functions default to 100
+FOREST = 100  # where one forest ranks the features
 
 
 def model_frame(spark, sf: str, extended: bool = False) -> DataFrame:
@@ -499,7 +500,7 @@ def q_select_rfecv(spark, sf):
 def q_select_importance(spark, sf):
     """Random-forest importances, top 5."""
     e = _eng(spark, sf)
-    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=TREES, max_depth=8).fit(e.where("split = 'train'")), ENG)
+    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=FOREST, max_depth=8).fit(e.where("split = 'train'")), ENG)
     e.unpersist()
     return round_doubles(spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(imp[:5])],
                                                "feature string, importance double, rank int"))
@@ -548,7 +549,7 @@ def _corr_keep(e, cols, t):
 
 
 def _importance_top(e, cols, k):
-    imp = ML.importances(M.pipeline("random_forest", cols, n_estimators=TREES, max_depth=6).fit(e), cols)
+    imp = ML.importances(M.pipeline("random_forest", cols, n_estimators=FOREST, max_depth=6).fit(e), cols)
     return [f for f, _ in imp[:k]]
 
 
@@ -687,7 +688,7 @@ def q_bootstrap_ci(spark, sf):
 def q_importance(spark, sf):
     """Random-forest importances of the engineered features, sorted, top 10."""
     e = _eng(spark, sf)
-    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=TREES, max_depth=8).fit(e.where("split = 'train'")), ENG)
+    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=FOREST, max_depth=8).fit(e.where("split = 'train'")), ENG)
     e.unpersist()
     return round_doubles(spark.createDataFrame([(f, v) for f, v in imp[:10]], "feature string, importance double"))
 
