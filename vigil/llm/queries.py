@@ -114,3 +114,14 @@ def op3_merge_dropout(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return segments.segment(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_cross_tokenizer_alignment(spark, sf_dir):
+    """Groups, links and corpus-wide link counts of two tokenizers over every document."""
+    import public_tokenizers as P
+
+    from vigil.llm import alignment
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.digest(docs, P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
