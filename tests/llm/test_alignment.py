@@ -94,3 +94,27 @@ def test_long_unaligned_group_in_small_blocks(monkeypatch):
 
 def test_empty_table(spark):
     assert X.digest(spark.createDataFrame([], "doc_id long, text string"), A, B).collect() == []
+
+
+def test_chunks_do_not_change_ids():
+    tok, sp = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    tok.encode_special_tokens = True
+    odd = ["\x1c!\x1c a\x1d", "!\x1c!", "a\u0085 b", " \u0085x", "x᠎y​z   q", "a\xa0 b\xa0\xa0c", "  \n word\n\nx \n y", "it's  we'll\n'll",
+           "\r\n\r\n x", " ", "  ", "a ", "a  ", "\n", "x　 y　", "１２ ab", "é x", "  a b"]
+    texts = [t for t in ODD + odd if t]
+    rnd = np.random.default_rng(4)
+    letters = list("ab1!' \n\t\x1c\u0085\xa0　é漢")
+    texts += ["".join(rnd.choice(letters, 40)) for _ in range(400)]
+    a, b = X.ByteLevel(A), X.Pieces(B)
+    for _ in range(2):  # the second time from memory
+        for side, want in ((a, [e.ids for e in tok.encode_batch([" " + t for t in texts], add_special_tokens=False)]), (b, sp.encode(texts))):
+            ids, per = side.encode(texts)
+            assert [v.tolist() for v in np.split(ids, np.cumsum(per)[:-1])] == want
+
+
+def test_memory_starts_anew():
+    a = X.ByteLevel(A)
+    a.known.most = 10
+    first = a.encode(["some words of a text", "more of it"])
+    again = a.encode(["some words of a text", "more of it"])
+    assert [x.tolist() for x in first] == [x.tolist() for x in again] and len(a.known.place) < 12

@@ -33,6 +33,8 @@ longer than a part is a part alone, its memory follows its length.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from functools import cache
 from itertools import chain
 from typing import NamedTuple
@@ -116,8 +118,50 @@ class Tokens:
         return self.flat[np.repeat(self.at[ids], size) + K.ragged(size)]
 
 
+#: white space of the pre-tokenizer's pattern (Unicode's White_Space)
+SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: a word with the one space before it; or the white space before such a word; or other white space with the word after it
+BYTE_LEVEL_CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?= [^{SPACE}])|[{SPACE}]+[^{SPACE}]*")
+PIECE_CHUNK = re.compile(" +[^ ]*")
+
+
+class Known:
+    """Ids of chunks met before, by the chunk itself.  Chunks are cut where the
+    tokenizer's own rules always end a token, so a text's ids are its chunks'
+    ids one after the other.  Beyond ``most`` characters it starts anew."""
+
+    def __init__(self, pattern: re.Pattern | None, encode, most: int = 8 << 20):
+        self.pattern, self.encode_new, self.most = pattern, encode, most
+        self.forget()
+
+    def forget(self):
+        self.place: dict[str, int] = {}
+        self.at, self.size, self.flat, self.chars = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), 0
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per text)."""
+        lists = [self.pattern.findall(x) for x in texts] if self.pattern else [[x] for x in texts]
+        if self.chars > self.most:
+            self.forget()
+        chunks = list(chain.from_iterable(lists))
+        new = list(set(chunks) - self.place.keys())
+        if new:
+            ids = self.encode_new(new)
+            size = np.array([len(x) for x in ids], np.int64)
+            self.at = np.concatenate((self.at, len(self.flat) + np.cumsum(size) - size))
+            self.size = np.concatenate((self.size, size))
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.int32)))
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.chars += sum(map(len, new))
+        mine = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        size = self.size[mine]
+        total = np.concatenate(([0], np.cumsum(size)))
+        per = np.diff(total[np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))])
+        return self.flat[np.repeat(self.at[mine], size) + K.ragged(size)].astype(np.int64), per
+
+
 class ByteLevel(Tokens):
-    """A: byte-level BPE file of the tokenizers library."""
+    """A: byte-level BPE file of the tokenizers library; ids of a space and the text."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -127,26 +171,35 @@ class ByteLevel(Tokens):
         letters = byte_letters()
         names = {i: x for x, i in self.own.get_vocab(with_added_tokens=True).items()}
         super().__init__([bytes(letters.get(c, 0) for c in names.get(i, "")) for i in range(max(names) + 1)])
+        rules = json.loads(self.own.to_str())
+        pre = rules["pre_tokenizer"] or {}
+        plain = not rules["normalizer"] and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        self.known = Known(BYTE_LEVEL_CHUNK if plain else None,
+                           lambda x: [e.ids for e in self.own.encode_batch_fast(x, add_special_tokens=False)])
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.own.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.known([" " + x for x in texts])
 
 
 class Pieces(Tokens):
-    """B: sentencepiece model."""
+    """B: sentencepiece model.  Where no piece has a space after another
+    character, and spaces are kept as they are, words are encoded apart."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.own = sentencepiece.SentencePieceProcessor(model_file=path)
-        spelled = []
-        for i in range(self.own.get_piece_size()):
-            piece = self.own.id_to_piece(i)
-            spelled.append(bytes([int(piece[3:-1], 16)]) if self.own.is_byte(i) else piece.replace("▁", " ").encode())
-        super().__init__(spelled)
+        names = [self.own.id_to_piece(i) for i in range(self.own.get_piece_size())]
+        super().__init__([bytes([int(x[3:-1], 16)]) if self.own.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(names)])
+        space = self.own.piece_to_id("▁")
+        apart = (names[space] == "▁" and not any("▁" in x.lstrip("▁") for x in names)
+                 and "".join(self.own.encode(" a  b ", out_type=str)) == "▁▁a▁▁b▁")
+        # the model puts the first space itself, so a lone space has nothing left to encode
+        self.known = Known(PIECE_CHUNK, lambda x: [e if t != " " else [space] for t, e in zip(x, self.own.encode([t[1:] for t in x], num_threads=1))]
+                           ) if apart else Known(None, lambda x: self.own.encode([t[1:] for t in x], num_threads=1))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.own.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self.known([" " + x for x in texts])
 
 
 @cache
@@ -158,10 +211,6 @@ def tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(path_a), Pieces(path_b)
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    return np.fromiter(chain.from_iterable(lists), np.int64), np.array([len(x) for x in lists], np.int64)
-
-
 def _same(spelled: np.ndarray, per: np.ndarray, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Documents whose ``per`` bytes in ``spelled`` are their bytes in ``raw``."""
     ok = per == np.diff(off)
@@ -193,7 +242,7 @@ def align_texts(texts: list[str | None], a: Tokens, b: Tokens) -> Aligned:
     raw = [b" " + x.encode() for x in full]
     off = np.concatenate(([0], np.cumsum([len(x) for x in raw], dtype=np.int64)))
     buf = np.frombuffer(b"".join(raw), np.uint8)
-    (ids_a, n_a), (ids_b, n_b) = _flat(a.encode(full)), _flat(b.encode(full))
+    (ids_a, n_a), (ids_b, n_b) = a.encode(full), b.encode(full)
     good = np.ones(len(doc), bool)
     for side, ids, n in ((a, ids_a, n_a), (b, ids_b, n_b)):
         size = np.concatenate(([0], np.cumsum(side.size[ids])))

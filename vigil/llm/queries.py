@@ -125,3 +125,22 @@ def op13_cross_tokenizer_alignment(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return alignment.digest(docs, P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    """Every vector on the eight largest components of the polarisation covariance."""
+    from vigil.llm import whitening
+
+    out = whitening.components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op12_quality_classifier(spark, sf_dir):
+    """Learns rules from four fifths of the labelled documents, scores all."""
+    from vigil.llm import ruleset
+
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held_out"))
+    return ruleset.judge(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"), ~F.col("held_out"), keep=["held_out"])
