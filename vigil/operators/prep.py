@@ -273,11 +273,27 @@ def scale_params_table(spark, params: dict[str, tuple[float, float]]) -> DataFra
 HASH_MOD = 998244353
 HASH_MUL = 2654435761
 HASH_SPACE = 4294967296
+HASH_MIX = 73244475
 
 
 def split_hash(key: Column, seed: int = 42) -> Column:
-    """h = ((key mod 998244353) * 2654435761 + seed) mod 2^32 (integer arithmetic)."""
-    return (F.pmod(key, F.lit(HASH_MOD)) * F.lit(HASH_MUL) + F.lit(seed)) % F.lit(HASH_SPACE)
+    """32-bit hash in integer arithmetic that DuckDB has too: h = ((key mod
+    998244353) * 2654435761 + seed) mod 2^32, then two rounds of ``h = (h xor h >>
+    16) * 73244475 mod 2^32`` and a last xor.  The rounds are one to one and not
+    linear, so orders under two seeds have nothing in common."""
+    h = (F.pmod(key, F.lit(HASH_MOD)) * F.lit(HASH_MUL) + F.lit(seed)) % F.lit(HASH_SPACE)
+    fold = lambda x: x.bitwiseXOR(F.shiftright(x, 16))
+    for _ in range(2):
+        h = (fold(h) * F.lit(HASH_MIX)) % F.lit(HASH_SPACE)
+    return fold(h)
+
+
+def split_hash_sql(key: str = "key", seed: int = 42) -> str:
+    """DuckDB twin of :func:`split_hash` for keys of 0 or more."""
+    h = f"(({key} % {HASH_MOD})*{HASH_MUL} + {seed}) % {HASH_SPACE}"
+    for _ in range(2):
+        h = f"list_transform([{h}], lambda h: (xor(h, h >> 16)*{HASH_MIX}) % {HASH_SPACE})[1]"
+    return f"list_transform([{h}], lambda h: xor(h, h >> 16))[1]"
 
 
 def class_rank(df: DataFrame, cls: str | None, key: str, seed: int = 42, bucket_bits: int = 16) -> DataFrame:

@@ -399,6 +399,70 @@ def select_mutual_info(df: DataFrame, cols: list[str], target: str, bins: int =
     return out
 
 
+# psi(1) .. psi(9), the digamma function of small whole numbers.
+DIGAMMA = [-0.5772156649015329, 0.42278433509846714, 0.9227843350984671, 1.2561176684318005, 1.5061176684318005,
+           1.7061176684318005, 1.872784335098467, 2.01564147795561, 2.14064147795561]
+
+
+def digamma(n: Column) -> Column:
+    """psi of a whole number: a table up to 9, the asymptotic series beyond (error under 1e-11)."""
+    x = n.cast("double")
+    series = F.log(x) - 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6) + 1 / (240 * x**8)
+    return F.when(n < 10, F.element_at(F.array(*[F.lit(v) for v in DIGAMMA]), F.greatest(n, F.lit(1)).cast("int"))).otherwise(series)
+
+
+def neighbour_mutual_info(df: DataFrame, cols: list[str], target: str, k: int = 3, block: int = 4096) -> DataFrame:
+    """Nearest-neighbour mutual information (nats) of numbers with classes.
+
+    For each row, r is the distance to the k-th nearest other row of its class
+    (of a class of fewer rows: to its last), and m the number of all rows nearer
+    than r, itself included.  Where r is 0, ties decide: k is the number of rows of
+    the class at the value and m that of all rows there.  The result is psi(N) +
+    mean psi(k) - mean psi(class size) - mean psi(m), 0 at least.  Classes of one
+    row are left out, and so are rows with a null or NaN.
+
+    Rows count by distinct (value, class).  These get exact positions on the
+    class's line and lie in blocks of ``block`` positions with a halo of k on each
+    side, so no window holds more than ``block + 2 k`` rows.  The counts inside r
+    are differences of distributed running counts."""
+    rows = df.select(c(target).alias("cls"), F.inline(F.array(*[F.struct(F.lit(x).alias("feature"), c(x).cast("double").alias("x")) for x in cols])))
+    rows = rows.where(F.col("cls").isNotNull() & F.col("x").isNotNull() & ~F.isnan("x"))
+    cells = rows.groupBy("feature", "cls", F.col("x") + F.lit(0.0)).agg(F.count(F.lit(1)).alias("n")).toDF("feature", "cls", "x", "n")
+    sizes = cells.groupBy("feature", "cls").agg(F.sum("n").alias("size")).where("size > 1")
+    cells = keep(cells.join(sizes, ["feature", "cls"]))
+
+    placed = grouped_prefix(cells.withColumn("_one", F.lit(1)), ["feature", "cls"], ["x"], ["_one"]).withColumnRenamed("_one_before", "pos")
+    block = max(block, 2 * k)
+    home = F.floor(F.col("pos") / block).cast("long")
+    near = F.sequence(F.greatest(F.floor((F.col("pos") - k) / block), F.lit(0)).cast("long"), F.floor((F.col("pos") + k) / block).cast("long"))
+    spread = placed.select("feature", "cls", "x", "n", "size", "pos", home.alias("home"), F.explode(near).alias("block"))
+    around = Window.partitionBy("feature", "cls", "block").orderBy("x").rowsBetween(-k, k)
+    spread = spread.withColumn("around", F.collect_list(F.struct("x", "n")).over(around)).where("home = block")
+    apart = F.sort_array(F.transform("around", lambda a: F.struct(F.abs(a["x"] - F.col("x")).alias("d"), a["n"].alias("n"))))
+    want = F.least(F.lit(k).cast("long"), F.col("size") - 1)  # besides the row itself
+    start = F.struct(F.lit(-1).cast("long").alias("seen"), F.lit(0.0).alias("r"))
+    step = lambda s, a: F.struct((s["seen"] + a["n"]).alias("seen"), F.when(s["seen"] < want, a["d"]).otherwise(s["r"]).alias("r"))
+    radius = spread.select("feature", "cls", "x", "n", "size", F.aggregate(apart, start, step)["r"].alias("r"), want.alias("k"))
+    radius = radius.withColumn("k", F.when(F.col("r") == 0, F.col("n")).otherwise(F.col("k")))
+
+    # the counts: data rows between the questions "rows below v" (before equal values) and "rows up to v" (after them)
+    data = cells.groupBy("feature", F.col("x").alias("v")).agg(F.sum("n").alias("n")).withColumn("side", F.lit(0))
+    still = F.col("r") == 0
+    ask = radius.select("*", F.inline(F.array(
+        F.struct(F.when(still, F.col("x")).otherwise(F.col("x") + F.col("r")).alias("v"), F.when(still, 1).otherwise(-1).alias("side"), F.lit(1).alias("sign")),
+        F.struct(F.when(still, F.col("x")).otherwise(F.col("x") - F.col("r")).alias("v"), F.when(still, -1).otherwise(1).alias("side"), F.lit(-1).alias("sign")))))
+    ask = ask.select("feature", "cls", "x", F.col("n").alias("w"), "size", "k", "v", "side", "sign", F.lit(0).cast("long").alias("n"))
+    both = ask.unionByName(data, allowMissingColumns=True)
+    counted = grouped_prefix(both, ["feature"], ["v", "side"], ["n"]).where("sign is not null")
+    inside = counted.groupBy("feature", "cls", "x", "w", "size", "k").agg(F.sum(F.col("sign") * F.col("n_before")).alias("m"))
+    total = F.sum("w")
+    mean = lambda e: F.sum(F.col("w") * digamma(e)) / total
+    value = digamma(total) + mean(F.col("k")) - mean(F.col("size")) - mean(F.col("m"))
+    found = inside.groupBy("feature").agg(F.greatest(value, F.lit(0.0)).alias("mutual_info"))
+    names = df.sparkSession.createDataFrame([(x,) for x in cols], "feature string")
+    return names.join(found, "feature", "left")
+
+
 def target_size(n_rows: int, n_features: int) -> int:
     """max(5, min(floor(sqrt n), n div 10, p div 2))."""
     return max(5, min(int(math.isqrt(n_rows)), n_rows // 10, n_features // 2))

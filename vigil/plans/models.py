@@ -129,11 +129,11 @@ def pipeline(name: str, cols: list[str], label: str = "label", rff: RandomFourie
 # Suites (T10): name -> (family, preset parameters).
 BASELINE_SUITE = {
     "logistic_regression": ("logistic", {"max_iter": 100}),
-    "random_forest": ("random_forest", {"n_estimators": 20, "max_depth": 8}),
+    "random_forest": ("random_forest", {"n_estimators": 100, "max_depth": 8}),
     "decision_tree": ("decision_tree", {"max_depth": 10}),
     "gradient_boosting": ("gbt", {"n_estimators": 20, "max_depth": 4}),
 }
 OPTIMIZED_SUITE = {
-    "random_forest_tuned": ("random_forest", {"n_estimators": 50, "max_depth": 12}),
+    "random_forest_tuned": ("random_forest", {"n_estimators": 100, "max_depth": 12}),
     "gradient_boosting_tuned": ("gbt", {"n_estimators": 40, "max_depth": 5, "learning_rate": 0.05}),
 }

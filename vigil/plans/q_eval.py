@@ -14,7 +14,7 @@ from vigil.plans.catalog import query, round_doubles
 from vigil.plans.q_stats import _ENG_COLS, _ENG_CTE, eng_frame
 from vigil.sources import fixtures as X
 
-_H = "(((key % 998244353)*2654435761 + 42) % 4294967296)"
+_H = PR.split_hash_sql()
 
 
 def SC(body: str, extra: str = "") -> str:

@@ -19,7 +19,7 @@ from vigil.session import work_dir
 from vigil.sources import files as IO
 from vigil.sources import fixtures as X
 
-_H = "(((key % 998244353)*2654435761 + 42) % 4294967296)"
+_H = PR.split_hash_sql()
 
 
 def raw_sensor(spark, sf):
@@ -196,7 +196,7 @@ def q_model_registry(spark, sf):
     return round_doubles(out)
 
 
-@query("sample_n", S(f"SELECT key, type, torque FROM sensor ORDER BY {_H}, key LIMIT 1000"))
+@query("sample_n", S(f"SELECT key, type, torque FROM sensor ORDER BY {PR.split_hash_sql(seed=7)}, key LIMIT 1000"))
 def q_sample_n(spark, sf):
     """Quick-run sample: the 1000 rows with the smallest key hash (top-n, the limit is the feature)."""
-    return IO.sample_n(X.sensor(spark, sf).select("key", "type", "torque"), "key", 1000)
+    return IO.sample_n(X.sensor(spark, sf).select("key", "type", "torque"), "key", 1000, seed=7)

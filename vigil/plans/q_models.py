@@ -1,11 +1,13 @@
 """Model fitting, search, selection loops and model-based queries (rows-only checks).
 
-Fits use ``pyspark.ml`` on the assembled sensor frame, sized for quick runs
-(few trees, shallow, 2-3 folds); the same functions take full presets.
+Single fits use ``pyspark.ml`` on the assembled sensor frame; searches, curves and
+selection loops over trees use ``operators.forest``, which grows them together.
 """
 
 from __future__ import annotations
 
+import statistics
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import VectorAssembler
@@ -15,7 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import features as FX
+from vigil.operators import boosting as BO
 from vigil.operators import evaluation as V
+from vigil.operators import forest as FO
+from vigil.operators import linear as LN
 from vigil.operators import ml as ML
 from vigil.operators import prep as PR
 from vigil.operators import profile as PF
@@ -31,11 +36,10 @@ from vigil.sources import fixtures as X
 BASE = ["air_temp", "proc_temp", "speed", "torque", "wear", "type_L", "type_M"]
 ENG = BASE + ["temp_difference", "mechanical_power", "wear_torque_interaction", "stress_index", "speed_torque_ratio"]
 FOLDS = 5
-TREES = 10  # small forests in the elimination and fold loops; the library functions default to 100
-FOREST = 100  # where one forest ranks the features
+FOREST = 100  # trees of every forest
 
 
-def model_frame(spark, sf: str, extended: bool = False) -> DataFrame:
+def model_frame(spark, sf: str, extended: bool = False, folds: int = FOLDS) -> DataFrame:
     """Sensor rows with one-hot type (drop-first), optional engineered columns,
     ``label`` and the deterministic ``split`` / ``fold`` columns; cached."""
     s = X.sensor(spark, sf)
@@ -46,11 +50,16 @@ def model_frame(spark, sf: str, extended: bool = False) -> DataFrame:
                 **FX.operational_cols(params["operational"]), **FX.interaction_cols()}
         s = s.withColumns({k: cols[k] for k in ENG if k not in BASE})
     s = s.withColumn("label", F.col("failure").cast("double"))
-    s = PR.split_and_fold(s, "failure", "key", 0.2, FOLDS)
+    s = PR.split_and_fold(s, "failure", "key", 0.2, folds)
     keep = ["key", "machine_id", "ts", "label", "split", "fold"] + (ENG if extended else BASE)
     return ML.persist(s.select(*keep))
 
 
+def train_bins(d: DataFrame, cols: list[str]) -> FO.Binned:
+    """The training rows of a model frame, binned for the forests."""
+    return FO.bin_table(d.where("split = 'train'"), cols, "key", "label")
+
+
 def _py(v):
     if v is None or isinstance(v, (str, bool)):
         return v
@@ -86,8 +95,8 @@ def q_model_logistic(spark, sf):
 
 @query("model_random_forest")
 def q_model_random_forest(spark, sf):
-    """Random forest (20 trees, depth 8); test metrics."""
-    return _fit_one(spark, sf, "random_forest", "random_forest", n_estimators=20, max_depth=8)
+    """Random forest (100 trees, depth 8); test metrics."""
+    return _fit_one(spark, sf, "random_forest", "random_forest", n_estimators=FOREST, max_depth=8)
 
 
 @query("model_decision_tree")
@@ -98,8 +107,16 @@ def q_model_decision_tree(spark, sf):
 
 @query("model_gbt")
 def q_model_gbt(spark, sf):
-    """Gradient-boosted trees (20 rounds, depth 4); test metrics."""
-    return _fit_one(spark, sf, "gradient_boosting", "gbt", n_estimators=20, max_depth=4)
+    """Newton boosting (100 rounds, depth 6, L2 1); test metrics."""
+    d = model_frame(spark, sf)
+    model = BO.fit(spark, train_bins(d, BASE), BO.Boost())
+    p = BO.predict(model, d.where("split = 'test'"), "key", ["label"])
+    m = ML.metrics_row(p.select("key", F.col("label").cast("int").alias("y"), (F.col("score") > 0.5).cast("int").alias("yhat"),
+                                F.col("score").alias("p")))
+    m["model_name"] = "gradient_boosting"
+    out = _metrics_df(spark, [m], _MC)
+    d.unpersist()
+    return out
 
 
 @query("model_mlp")
@@ -144,14 +161,19 @@ def _regress(spark, sf, name, family, **kw):
 
 @query("model_rf_regressor")
 def q_model_rf_regressor(spark, sf):
-    """Random-forest regression of tool wear on the other sensors; regression metrics."""
-    return _regress(spark, sf, "rf_regressor", "rf_regressor", n_estimators=20, max_depth=8)
+    """Random-forest regression (100 trees) of tool wear on the other sensors; regression metrics."""
+    return _regress(spark, sf, "rf_regressor", "rf_regressor", n_estimators=FOREST, max_depth=8)
 
 
 @query("model_gbt_regressor")
 def q_model_gbt_regressor(spark, sf):
-    """Gradient-boosted regression of tool wear; regression metrics."""
-    return _regress(spark, sf, "gbt_regressor", "gbt_regressor", n_estimators=20, max_depth=4)
+    """Newton boosting of tool wear (100 rounds at most, stopping when the held-out fold 0 gets no better for 10); regression metrics."""
+    d = model_frame(spark, sf)
+    feats = [c for c in BASE if c != "wear"]
+    bins = FO.bin_table(d.where("split = 'train'"), feats, "key", "wear", real=True)
+    model = BO.fit(spark, bins, BO.Boost(patience=10), valid_fold=0)
+    pred = BO.predict(model, d.where("split = 'test'"), "key", ["wear"]).select(F.col("wear").alias("y"), F.col("score").alias("yhat"))
+    return round_doubles(V.regression_metrics(pred).withColumn("model_name", F.lit("gbt_regressor")))
 
 
 @query("model_svr")
@@ -237,7 +259,7 @@ def q_train_model(spark, sf):
     """Small grid search -> refit -> CV on train -> metrics on train and test -> importances."""
     d = model_frame(spark, sf)
     tr = d.where("split = 'train'")
-    pipe = M.pipeline("random_forest", BASE, n_estimators=10, max_depth=6)
+    pipe = M.pipeline("random_forest", BASE, n_estimators=FOREST, max_depth=6)
     rf = pipe.getStages()[-1]
     grid = ParamGridBuilder().addGrid(rf.maxDepth, [4, 8]).build()
     cvm = ML.grid_search(pipe, grid, tr)
@@ -247,7 +269,7 @@ def q_train_model(spark, sf):
         m = ML.metrics_row(ML.scored_from(best.transform(part)))
         m.update(split=split, model_name="random_forest")
         rows.append(m)
-    cv = ML.cross_validate(lambda n: M.pipeline("random_forest", BASE, n_estimators=10,
+    cv = ML.cross_validate(lambda n: M.pipeline("random_forest", BASE, n_estimators=FOREST,
                                               max_depth=best.stages[-1].getOrDefault("maxDepth")), tr, FOLDS)
     for r in rows:
         r.update(cv_mean=cv["mean"], cv_std=cv["std"])
@@ -267,7 +289,7 @@ def q_train_many(spark, sf):
     suite = dict(M.BASELINE_SUITE)
     for name, (family, kw) in suite.items():
         try:
-            _, m = ML.fit_evaluate(M.pipeline(family, BASE, **dict(kw, **({"n_rows": 1000} if family == "logistic" else {}))), tr, te)
+            _, m = ML.fit_evaluate(M.pipeline(family, BASE, **dict(kw, **({"n_rows": n} if family == "logistic" else {}))), tr, te)
             m.update(model_name=name, status="ok", error=None)
         except Exception as e:  # noqa: BLE001
             m = {"model_name": name, "status": "failed", "error": type(e).__name__}
@@ -288,37 +310,29 @@ def q_train_many(spark, sf):
     return out
 
 
-def _rf_grid(pipe):
-    rf = pipe.getStages()[-1]
-    return ParamGridBuilder().addGrid(rf.numTrees, [5, 10]).addGrid(rf.maxDepth, [3, 6]).build()
+def _search(spark, sf, points: list[FO.Candidate]):
+    """Weighted F1 of every candidate over three folds, the best first."""
+    d = model_frame(spark, sf, folds=3)
+    scores = FO.search(spark, train_bins(d, BASE), BASE, points, 3)
+    name = lambda c: f"numTrees={c.trees}, maxDepth={c.depth}, minSplit={c.min_split}, minLeaf={c.min_leaf}, tried={c.mtry or 'sqrt'}"
+    rows = [{"param": name(c), "f1": sum(v) / 3, "f1_std": statistics.pstdev(v)} for c, v in zip(points, scores)]
+    rows.sort(key=lambda r: (-r["f1"], r["param"]))
+    d.unpersist()
+    return _metrics_df(spark, rows, ["param", "f1", "f1_std"])
 
 
 @query("grid_search")
 def q_grid_search(spark, sf):
-    """T4: all 4 combinations of numTrees x maxDepth scored by weighted F1 over the fold column."""
-    d = model_frame(spark, sf)
-    pipe = M.pipeline("random_forest", BASE)
-    grid = _rf_grid(pipe)
-    cvm = ML.grid_search(pipe, grid, d.where("split = 'train'"))
-    rows = [{"param": ", ".join(f"{p.name}={v}" for p, v in pm.items()), "f1": m} for pm, m in zip(grid, cvm.avgMetrics)]
-    out = _metrics_df(spark, rows, ["param", "f1"])
-    d.unpersist()
-    return out
+    """T4: all 24 combinations of numTrees x maxDepth x minLeaf scored by weighted F1 over three folds."""
+    return _search(spark, sf, [FO.Candidate(t, d, min_leaf=m) for t in (50, 100) for d in (3, 5, 8, 10) for m in (1, 2, 4)])
 
 
 @query("random_search")
 def q_random_search(spark, sf):
-    """T5: 50 seeded draws (at most all) of a grid of numTrees x maxDepth, scored as in T4."""
-    d = model_frame(spark, sf)
-    pipe = M.pipeline("random_forest", BASE)
-    rf = pipe.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(rf.numTrees, [5, 10]).addGrid(rf.maxDepth, [2, 3, 4, 5, 6]).build()
-    grid = ML.sample_grid(grid, 50, seed=42)
-    cvm = ML.grid_search(pipe, grid, d.where("split = 'train'"))
-    rows = [{"param": ", ".join(f"{p.name}={v}" for p, v in pm.items()), "f1": m} for pm, m in zip(grid, cvm.avgMetrics)]
-    out = _metrics_df(spark, rows, ["param", "f1"])
-    d.unpersist()
-    return out
+    """T5: 50 seeded draws from a space of 360 points, scored as in T4."""
+    space = [FO.Candidate(t, d, s, m, f) for t in (25, 50, 75, 100) for d in (3, 4, 6, 8, 10) for s in (2, 5, 10) for m in (1, 2, 4)
+             for f in (None, len(BASE))]
+    return _search(spark, sf, ML.sample_grid(space, 50, seed=42))
 
 
 @query("cross_validate")
@@ -334,44 +348,43 @@ def q_cross_validate(spark, sf):
     return round_doubles(out)
 
 
-def _train_and_held(make_pipe, df, label):
+def _train_and_held(cells: list[dict]) -> dict:
     """Mean and population std of the train and held-out accuracies over the folds."""
-    import numpy as np
-
-    size = ML.fold_sizes(df)
-    t_s, v_s = [], []
-    for f in range(FOLDS):
-        train = df.where(F.col("fold") != f)
-        model, m = ML.fit_evaluate(make_pipe(sum(size.values()) - size.get(f, 0)), train, df.where(F.col("fold") == f), auc=False)
-        t_s.append(ML.metrics_row(ML.scored_from(model.transform(train)), auc=False)["accuracy"])
-        v_s.append(m["accuracy"])
-    return {**label, "train_mean": float(np.mean(t_s)), "train_std": float(np.std(t_s)), "val_mean": float(np.mean(v_s)),
-            "val_std": float(np.std(v_s))}
+    t, v = ([FO.metrics(c[part])["accuracy"] for c in cells] for part in ("train", "held"))
+    return {"train_mean": statistics.fmean(t), "train_std": statistics.pstdev(t), "val_mean": statistics.fmean(v), "val_std": statistics.pstdev(v)}
 
 
 @query("learning_curve")
 def q_learning_curve(spark, sf):
-    """Ten nested hash samples of the training rows (10 to 100 %) x 5 folds: train and
-    validation accuracy, gap and over-fitting verdict (> .1 high, > .05 moderate)."""
+    """A tree of depth 6 on ten nested shares of the training rows (10 to 100 % of every
+    fold, exact) x 5 folds: train and validation accuracy, gap and over-fitting verdict (> .1
+    high, > .05 moderate).  The 50 trees grow together."""
     d = model_frame(spark, sf)
-    tr = d.where("split = 'train'").withColumn("_u", PR.split_hash(F.col("key"), 7) / 4294967296.0)
+    forests = [FO.Forest(tuple(BASE), skip_fold=f, share=tenth / 10, trees=1, depth=6, mtry=len(BASE), bootstrap=False)
+               for tenth in range(1, 11) for f in range(FOLDS)]
+    cells = FO.evaluate(spark, FO.grow(spark, train_bins(d, BASE), forests))
     rows = []
-    for tenth in range(1, 11):
-        r = _train_and_held(lambda n: M.pipeline("decision_tree", BASE, max_depth=6), tr.where(F.col("_u") < tenth / 10), {"size": tenth / 10})
+    for i in range(10):
+        mine = [{p: cells[i * FOLDS + f, p] for p in ("train", "held")} for f in range(FOLDS)]
+        r = _train_and_held(mine)
         gap = r["train_mean"] - r["val_mean"]
-        rows.append({**r, "gap": gap, "verdict": "high" if gap > 0.1 else "moderate" if gap > 0.05 else "good"})
-    out = _metrics_df(spark, rows, ["size", "train_mean", "train_std", "val_mean", "val_std", "gap", "verdict"])
+        rows.append({**r, "size": (i + 1) / 10, "n_rows": float(sum(m["train"].sum() for m in mine)) / FOLDS, "gap": gap,
+                     "verdict": "high" if gap > 0.1 else "moderate" if gap > 0.05 else "good"})
+    out = _metrics_df(spark, rows, ["size", "n_rows", "train_mean", "train_std", "val_mean", "val_std", "gap", "verdict"])
     d.unpersist()
     return out
 
 
 @query("validation_curve")
 def q_validation_curve(spark, sf):
-    """Tree depth 2, 4, 6, 8, 10 x 5 folds: mean train and validation accuracy."""
+    """Tree depth 2, 4, 6, 8, 10 x 5 folds: mean train and validation accuracy of views of one growth."""
     d = model_frame(spark, sf)
-    tr = d.where("split = 'train'")
-    rows = [_train_and_held(lambda n, k=depth: M.pipeline("decision_tree", BASE, max_depth=k), tr, {"param": f"maxDepth={depth}"})
-            for depth in (2, 4, 6, 8, 10)]
+    depths = (2, 4, 6, 8, 10)
+    grown = FO.grow(spark, train_bins(d, BASE), [FO.Forest(tuple(BASE), skip_fold=f, trees=1, depth=10, mtry=len(BASE), bootstrap=False)
+                                                 for f in range(FOLDS)])
+    cells = FO.evaluate(spark, grown, [FO.View(f, 1, k) for k in depths for f in range(FOLDS)])
+    rows = [{"param": f"maxDepth={k}", **_train_and_held([{p: cells[i * FOLDS + f, p] for p in ("train", "held")} for f in range(FOLDS)])}
+            for i, k in enumerate(depths)]
     out = _metrics_df(spark, rows, ["param", "train_mean", "val_mean", "val_std"])
     d.unpersist()
     return out
@@ -383,16 +396,16 @@ def q_run_experiment(spark, sf):
     features, importance selection, small search); test metrics of each."""
     rows = []
     d = model_frame(spark, sf)
-    _, m = ML.fit_evaluate(M.pipeline("random_forest", BASE, n_estimators=10, max_depth=6),
+    _, m = ML.fit_evaluate(M.pipeline("random_forest", BASE, n_estimators=FOREST, max_depth=6),
                            d.where("split = 'train'"), d.where("split = 'test'"))
     m.update(preset="baseline", features=",".join(BASE))
     rows.append(m)
     d.unpersist()
     e = model_frame(spark, sf, extended=True)
     tr = e.where("split = 'train'")
-    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=10, max_depth=6).fit(tr), ENG)
+    imp = ML.importances(M.pipeline("random_forest", ENG, n_estimators=FOREST, max_depth=6).fit(tr), ENG)
     chosen = [f for f, _ in imp[:6]]
-    pipe = M.pipeline("random_forest", chosen, n_estimators=10)
+    pipe = M.pipeline("random_forest", chosen, n_estimators=FOREST)
     cvm = ML.grid_search(pipe, ParamGridBuilder().addGrid(pipe.getStages()[-1].maxDepth, [4, 8]).build(), tr)
     m = ML.metrics_row(ML.scored_from(cvm.bestModel.transform(e.where("split = 'test'"))))
     m.update(preset="full", features=",".join(chosen))
@@ -432,7 +445,7 @@ def q_prepare_training(spark, sf):
                   F.count_if(F.col("split") == "test").alias("test_rows"))
 
 
-_H = "(((key % 998244353)*2654435761 + 42) % 4294967296)"
+_H = PR.split_hash_sql()
 _NUM4 = ["air_temp", "proc_temp", "speed", "torque"]
 _T1_SQL = X.with_sql(X.SENSOR_NULLS_SQL + """,
 imp AS (SELECT key,
@@ -478,7 +491,7 @@ def _eng(spark, sf):
 def q_select_rfe(spark, sf):
     """Recursive elimination with a random forest down to 5 features; rankings."""
     e = _eng(spark, sf)
-    rk = ML.rfe(e.where("split = 'train'"), ENG, 5, trees=TREES)
+    rk = FO.rfe(spark, train_bins(e, ENG), ENG, 5, trees=FOREST)
     e.unpersist()
     return spark.createDataFrame([(f, int(r)) for f, r in rk], "feature string, ranking int")
 
@@ -488,7 +501,7 @@ def q_select_rfecv(spark, sf):
     """Elimination one feature at a time inside each of 5 folds, every size scored by
     the positive class's F1 on the held-out fold; the best size refitted on the training rows."""
     e = _eng(spark, sf)
-    chosen, rows = ML.rfecv(e.where("split = 'train'"), ENG, FOLDS, trees=TREES)
+    chosen, rows = FO.rfecv(spark, train_bins(e, ENG), [ENG], FOLDS, trees=FOREST)[0]
     for r in rows:
         best = r["size"] == len(chosen)
         r.update(size=float(r["size"]), verdict="best" if best else "", features=",".join(sorted(chosen)) if best else "")
@@ -506,23 +519,53 @@ def q_select_importance(spark, sf):
                                                "feature string, importance double, rank int"))
 
 
+def _ranked(spark, sf, forest: FO.Forest):
+    e = _eng(spark, sf)
+    imp = FO.grow(spark, train_bins(e, ENG), [forest]).importances(0)
+    e.unpersist()
+    return round_doubles(spark.createDataFrame([(f, v, i + 1) for i, (f, v) in enumerate(imp[:5])], "feature string, importance double, rank int"))
+
+
+@query("select_importance_extra_trees")
+def q_select_importance_extra_trees(spark, sf):
+    """Importances of 100 extremely randomised trees, top 5."""
+    return _ranked(spark, sf, FO.Forest(tuple(ENG), trees=FOREST, depth=8, bootstrap=False, random_cuts=True))
+
+
+@query("select_importance_tree")
+def q_select_importance_tree(spark, sf):
+    """Importances of a single tree, top 5."""
+    return _ranked(spark, sf, FO.Forest(tuple(ENG), trees=1, depth=12, mtry=len(ENG), bootstrap=False))
+
+
+def lasso_search(tr, cols):
+    """Penalty, fit and a row per penalty of the path over the frame's folds."""
+    return LN.lasso_cv(LN.moments(tr, cols, "label", "fold"))
+
+
 @query("select_lasso")
 def q_select_lasso(spark, sf):
-    """L1-penalised regression on standardised features, penalty chosen by fold CV; non-zero coefficients."""
-    from pyspark.ml.evaluation import RegressionEvaluator
-
+    """L1-penalised regression on standardised features, the penalty chosen over a path of 100 by fold CV."""
     e = _eng(spark, sf)
-    tr = e.where("split = 'train'")
-    pipe = M.pipeline("lasso", ENG, alpha=0.01)
-    lr = pipe.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.05]).build()
-    cv = ML.cross_validator(pipe, grid, RegressionEvaluator(labelCol="label"), tr).fit(tr)
-    coef = cv.bestModel.stages[-1].coefficients.toArray()
+    _, fit, _ = lasso_search(e.where("split = 'train'"), ENG)
     e.unpersist()
-    return round_doubles(spark.createDataFrame([(f, float(v), bool(v != 0)) for f, v in zip(ENG, coef)],
+    return round_doubles(spark.createDataFrame([(f, v, v != 0) for f, v in fit.standardised.items()],
                                                "feature string, coefficient double, selected boolean"))
 
 
+@query("select_lasso_path")
+def q_select_lasso_path(spark, sf):
+    """The path itself: penalty, held-out error and number of features left."""
+    e = _eng(spark, sf)
+    mom = LN.moments(e.where("split = 'train'"), ENG, "label", "fold")
+    best, _, rows = LN.lasso_cv(mom)
+    left = [sum(v != 0 for v in fit.standardised.values()) for _, fit in LN.lasso_path(mom)]
+    e.unpersist()
+    return round_doubles(spark.createDataFrame([(i + 1, r["alpha"], r["mse"], r["mse_std"], n, r["alpha"] == best)
+                                                for i, (r, n) in enumerate(zip(rows, left))],
+                                               "step int, alpha double, mse double, mse_std double, n_features int, best boolean"))
+
+
 def _sequential(spark, sf, direction):
     d = model_frame(spark, sf)
     path = ML.sequential(d.where("split = 'train'"), ["air_temp", "proc_temp", "speed", "torque", "wear"], 3, FOLDS, direction)
@@ -553,11 +596,10 @@ def _importance_top(e, cols, k):
     return [f for f, _ in imp[:k]]
 
 
-def hybrid(tr, cols, size):
-    """Correlation 0.9 -> variance 0.01 -> importance (2 x size) -> RFECV over 5 folds."""
+def hybrid_start(tr, cols, rank):
+    """L12 up to its last stage: correlation 0.9 -> variance 0.01 -> importance (``rank`` of the remaining features)."""
     c1 = _corr_keep(tr, cols, 0.9)
-    c2 = [r["feature"] for r in ST.select_variance(tr, c1, 0.01).where("kept").collect()]
-    return ML.rfecv(tr, _importance_top(tr, c2, 2 * size), FOLDS, trees=TREES)[0]
+    return rank([r["feature"] for r in ST.select_variance(tr, c1, 0.01).where("kept").collect()])
 
 
 @query("select_hybrid")
@@ -565,7 +607,9 @@ def q_select_hybrid(spark, sf):
     """Correlation 0.9 -> variance 0.01 -> importance (2 x size) -> cross-validated elimination."""
     e = _eng(spark, sf)
     tr = e.where("split = 'train'")
-    chosen = hybrid(tr, ENG, ST.target_size(tr.count(), len(ENG)))
+    size = ST.target_size(tr.count(), len(ENG))
+    start = hybrid_start(tr, ENG, lambda cols: _importance_top(tr, cols, 2 * size))
+    chosen = FO.rfecv(spark, train_bins(e, ENG), [start], FOLDS, trees=FOREST)[0][0]
     e.unpersist()
     return spark.createDataFrame([(i + 1, f) for i, f in enumerate(chosen)], "position int, feature string")
 
@@ -621,15 +665,12 @@ def q_select_conservative(spark, sf):
     return out
 
 
-def evaluate_sets(tr, sets):
-    """5-fold F1 of the positive class (mean, population std) of a random forest per non-empty feature set."""
-    rows = []
-    for name, cols in sets.items():
-        if cols:
-            cv = ML.cross_validate(lambda n, c=cols: M.pipeline("random_forest", c, n_estimators=TREES, max_depth=6), tr, FOLDS, metric="f1_1")
-            rows.append({"feature_set": name, "method": name, "f1": cv["mean"], "f1_std": cv["std"], "size": float(len(cols)),
-                         "features": ",".join(cols)})
-    return rows
+def evaluate_sets(spark, bins, sets):
+    """5-fold F1 of the positive class (mean, population std) of a random forest per non-empty feature set, all grown together."""
+    full = {k: v for k, v in sets.items() if v}
+    scores = FO.fold_scores(spark, bins, list(full.values()), FOLDS, trees=FOREST)
+    return [{"feature_set": k, "method": k, "f1": statistics.fmean(s), "f1_std": statistics.pstdev(s), "size": float(len(v)),
+             "features": ",".join(v)} for (k, v), s in zip(full.items(), scores)]
 
 
 @query("evaluate_feature_sets")
@@ -639,40 +680,40 @@ def q_evaluate_feature_sets(spark, sf):
     sets = {"baseline": BASE, "temperature_focus": BASE + ["temp_difference", "mechanical_power"],
             "wear_focus": BASE + ["wear_torque_interaction", "stress_index"],
             "operational_focus": BASE + ["stress_index", "speed_torque_ratio"], "all": ENG, "empty": []}
-    rows = evaluate_sets(e.where("split = 'train'"), sets)
+    rows = evaluate_sets(spark, train_bins(e, ENG), sets)
     e.unpersist()
     return _metrics_df(spark, rows, ["feature_set", "size", "f1", "f1_std"])
 
 
-def lasso_features(tr, cols):
-    from pyspark.ml.evaluation import RegressionEvaluator
-
-    pipe = M.pipeline("lasso", cols, alpha=0.01)
-    grid = ParamGridBuilder().addGrid(pipe.getStages()[-1].regParam, [0.001, 0.01, 0.05]).build()
-    cv = ML.cross_validator(pipe, grid, RegressionEvaluator(labelCol="label"), tr).fit(tr)
-    return [f for f, v in zip(cols, cv.bestModel.stages[-1].coefficients.toArray()) if v != 0]
-
-
 @query("compare_selections")
 def q_compare_selections(spark, sf):
-    """The nine selection methods' feature sets, evaluated as in L16, saved and read back."""
+    """The nine selection methods' feature sets, evaluated as in L16, saved and read back.
+    The rankings grow together, then both eliminations, then all sets' folds."""
     e = _eng(spark, sf)
     tr = e.where("split = 'train'")
-    size = ST.target_size(tr.count(), len(ENG))
+    size, bins = ST.target_size(tr.count(), len(ENG)), train_bins(e, ENG)
     uni = ST.anova_f(ST.group_moments(tr, ENG, "label")).orderBy(F.desc_nulls_last("f_stat"), "feature").limit(size)
+    ranked: dict[tuple, list[str]] = {}
+    stage2 = hybrid_start(tr, ENG, lambda cols: cols)
+    narrow = _corr_keep(tr, ENG, 0.7)
+    asked = list(dict.fromkeys(map(tuple, (ENG, stage2, narrow))))
+    grown = FO.grow(spark, bins, [FO.Forest(cols, trees=FOREST) for cols in asked])
+    ranked = {cols: [f for f, _ in grown.importances(i)] for i, cols in enumerate(asked)}
+    (rfe, _), (mixed, _) = FO.rfecv(spark, bins, [ENG, ranked[tuple(stage2)][:2 * size]], FOLDS, trees=FOREST)
+    lasso = lasso_search(tr, ENG)[1].standardised
     sets = {
         "all_features": ENG,
         "correlation": _corr_keep(tr, ENG, 0.9),
         "variance": [r["feature"] for r in ST.select_variance(tr, ENG, 0.01).where("kept").collect()],
         "univariate": [r["feature"] for r in uni.collect()],
-        "importance": _importance_top(tr, ENG, size),
-        "rfe": ML.rfecv(tr, ENG, FOLDS, trees=TREES)[0],
-        "lasso": lasso_features(tr, ENG),
-        "hybrid": hybrid(tr, ENG, size),
-        "aggressive": _importance_top(tr, _corr_keep(tr, ENG, 0.7), size),
+        "importance": ranked[tuple(ENG)][:size],
+        "rfe": rfe,
+        "lasso": [f for f, w in lasso.items() if w != 0],
+        "hybrid": mixed,
+        "aggressive": ranked[tuple(narrow)][:size],
     }
     path = work_dir(spark, "selections")
-    _metrics_df(spark, evaluate_sets(tr, sets), ["method", "size", "f1", "f1_std", "features"]).coalesce(1).write.parquet(path)
+    _metrics_df(spark, evaluate_sets(spark, bins, sets), ["method", "size", "f1", "f1_std", "features"]).coalesce(1).write.parquet(path)
     e.unpersist()
     return spark.read.parquet(path)
 
@@ -695,7 +736,7 @@ def q_importance(spark, sf):
 
 def _trained(spark, sf):
     d = model_frame(spark, sf)
-    model = M.pipeline("random_forest", BASE, n_estimators=10, max_depth=6).fit(d.where("split = 'train'"))
+    model = M.pipeline("random_forest", BASE, n_estimators=FOREST, max_depth=6).fit(d.where("split = 'train'"))
     return d, model
 
 

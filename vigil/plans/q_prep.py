@@ -230,7 +230,7 @@ def q_scale_robust(spark, sf):
 
 # ============================================================== D
 
-_H = "(((key % 998244353)*2654435761 + 42) % 4294967296)"
+_H = PR.split_hash_sql()
 
 
 def _rank_sql(part: str):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import features as FX
 from vigil.operators import prep as PR
+from vigil.operators import linear as LN
 from vigil.operators import stats as ST
 from vigil.plans import sql_features as SF
 from vigil.plans.catalog import query, rnd, round_doubles, rsig_sql
@@ -13,7 +14,7 @@ from vigil.functions.numeric import round_sig
 from vigil.sources import fixtures as X
 
 SENS = ["air_temp", "proc_temp", "speed", "torque", "wear"]
-_H = "(((key % 998244353)*2654435761 + 42) % 4294967296)"
+_H = PR.split_hash_sql()
 
 
 def S(body: str, extra: str = "") -> str:
@@ -310,12 +311,44 @@ def _mi_sql(x):
     FROM sensor, (SELECT quantile_cont({x}, [{probs}]) AS q FROM sensor) WHERE {x} IS NOT NULL GROUP BY ALL))"""
 
 
-@query("select_mutual_info", S(_union([_mi_sql(x) for x in SENS])))
-def q_select_mutual_info(spark, sf):
+@query("select_mutual_info_bins", S(_union([_mi_sql(x) for x in SENS])))
+def q_select_mutual_info_bins(spark, sf):
     """Plug-in mutual information of decile-binned sensors with the target."""
     return round_doubles(ST.select_mutual_info(X.sensor(spark, sf), SENS, "failure"))
 
 
+def _psi_sql(n):
+    x = f"CAST({n} AS DOUBLE)"
+    p = lambda k: "*".join([x] * k)
+    series = f"ln({x}) - 1/(2*{x}) - 1/(12*{p(2)}) + 1/(120*{p(4)}) - 1/(252*{p(6)}) + 1/(240*{p(8)})"
+    return f"CASE WHEN {n} < 10 THEN [{', '.join(map(repr, ST.DIGAMMA))}][CAST(greatest({n}, 1) AS INTEGER)] ELSE {series} END"
+
+
+_L6_SQL = S(f"""SELECT feature, round(greatest({_psi_sql('sum(w)')} + sum(w*({_psi_sql('k')}))/sum(w) - sum(w*({_psi_sql('size')}))/sum(w)
+    - sum(w*({_psi_sql('m')}))/sum(w), 0.0), 6) AS mutual_info
+  FROM (SELECT feature, cls, x, w, size, k, CAST(sum(sign*before) AS BIGINT) AS m FROM cum WHERE sign IS NOT NULL GROUP BY ALL) GROUP BY feature""", """,
+long6 AS (""" + _union([f"SELECT '{x}' AS feature, failure AS cls, CAST({x} AS DOUBLE) AS x FROM sensor WHERE {x} IS NOT NULL" for x in SENS]) + """),
+cells AS (SELECT *, CAST(sum(n) OVER (PARTITION BY feature, cls) AS BIGINT) AS size FROM (
+  SELECT feature, cls, x, count(*) AS n FROM long6 GROUP BY ALL) QUALIFY size > 1),
+around AS (SELECT feature, cls, x, n, size, least(3, size - 1) AS k,
+  unnest(list({'x': x, 'n': n}) OVER (PARTITION BY feature, cls ORDER BY x ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) AS a FROM cells),
+reach AS (SELECT feature, cls, x, n, size, k, abs(a.x - x) AS d,
+  sum(a.n) OVER (PARTITION BY feature, cls, x ORDER BY abs(a.x - x)) AS upto FROM around),
+radius AS (SELECT feature, cls, x, n, size, CASE WHEN min(d) FILTER (WHERE upto > k) = 0 THEN n ELSE k END AS k,
+  min(d) FILTER (WHERE upto > k) AS r FROM reach GROUP BY feature, cls, x, n, size, reach.k),
+ask AS (SELECT feature, cls, x, n AS w, size, k, CASE WHEN r = 0 THEN x ELSE x + r END AS v, CASE WHEN r = 0 THEN 1 ELSE -1 END AS side, 1 AS sign FROM radius
+  UNION ALL SELECT feature, cls, x, n, size, k, CASE WHEN r = 0 THEN x ELSE x - r END, CASE WHEN r = 0 THEN -1 ELSE 1 END, -1 FROM radius),
+both6 AS (SELECT feature, cls, x, w, size, k, v, side, sign, 0 AS n FROM ask
+  UNION ALL SELECT feature, NULL, NULL, NULL, NULL, NULL, x, 0, NULL, sum(n) FROM cells GROUP BY feature, x),
+cum AS (SELECT *, sum(n) OVER (PARTITION BY feature ORDER BY v, side) AS before FROM both6)""")
+
+
+@query("select_mutual_info", _L6_SQL)
+def q_select_mutual_info(spark, sf):
+    """Nearest-neighbour mutual information (k = 3) of the sensors with the target."""
+    return round_doubles(ST.neighbour_mutual_info(X.sensor(spark, sf), SENS, "failure"))
+
+
 # ---------------------------------------------------------------- L15, L18-L20
 @query("target_size", S("""SELECT count(*) AS n_rows, 57 AS n_features,
   greatest(5, least(CAST(floor(sqrt(count(*))) AS BIGINT), count(*) // 10, 57 // 2)) AS target_size FROM sensor"""))
@@ -465,3 +498,25 @@ def q_model_linear(spark, sf):
                          standardization=False).fit(v)
     return round_doubles(spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept))],
                                                "slope double, intercept double"))
+
+
+@query("model_ridge", S("""SELECT round(((c + 1)*p - b*q)/d, 6) AS torque, round(((a + 1)*q - b*p)/d, 6) AS speed,
+  round(my - ((c + 1)*p - b*q)/d*m1 - ((a + 1)*q - b*p)/d*m2, 6) AS intercept
+  FROM (SELECT *, (a + 1)*(c + 1) - b*b AS d FROM (SELECT count(*)*var_pop(torque) AS a, count(*)*covar_pop(torque, speed) AS b,
+    count(*)*var_pop(speed) AS c, count(*)*covar_pop(torque, wear_torque_interaction) AS p,
+    count(*)*covar_pop(speed, wear_torque_interaction) AS q, avg(torque) AS m1, avg(speed) AS m2, avg(wear_torque_interaction) AS my FROM eng))""",
+                        _ENG_CTE))
+def q_model_ridge(spark, sf):
+    """Ridge (alpha 1) of the wear-torque product on torque and speed, from moments."""
+    fit = LN.ridge(LN.moments(eng_frame(spark, sf), ["torque", "speed"], "wear_torque_interaction", standardise=False), 1.0)
+    return round_doubles(spark.createDataFrame([(fit.coefficients["torque"], fit.coefficients["speed"], fit.intercept)],
+                                               "torque double, speed double, intercept double"))
+
+
+@query("model_lasso")
+def q_model_lasso(spark, sf):
+    """Lasso (alpha 1) of the wear-torque product on the other standardised columns, from moments."""
+    cols = [x for x in _ENG_COLS if x != "wear_torque_interaction"]
+    fit = LN.lasso(LN.moments(eng_frame(spark, sf), cols, "wear_torque_interaction"), 1.0)
+    return round_doubles(spark.createDataFrame([(x, w, fit.standardised[x], fit.intercept) for x, w in fit.coefficients.items()],
+                                               "feature string, coefficient double, standardised double, intercept double"))
