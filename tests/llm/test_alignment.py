@@ -86,10 +86,10 @@ def test_overlaps_cover_every_byte(spark):
 
 def test_long_unaligned_group_in_small_blocks(monkeypatch):
     a, b = X.tokenizers(A, B)
-    x = X.align_texts(["ab" * 3000 + "c d"], a, b)
-    whole = [v.tolist() for v in X.id_pairs(x, a, b, 1)]
+    x = X.align([" " + "ab" * 3000 + "c d"], a, b)
+    whole = [v.tolist() for v in X.id_pairs(x, a, b)]
     monkeypatch.setattr(X.products, "__defaults__", (7,))
-    assert [v.tolist() for v in X.id_pairs(x, a, b, 1)] == whole
+    assert [v.tolist() for v in X.id_pairs(x, a, b)] == whole
 
 
 def test_empty_table(spark):
@@ -105,16 +105,26 @@ def test_chunks_do_not_change_ids():
     rnd = np.random.default_rng(4)
     letters = list("ab1!' \n\t\x1c\u0085\xa0　é漢")
     texts += ["".join(rnd.choice(letters, 40)) for _ in range(400)]
-    a, b = X.ByteLevel(A), X.Pieces(B)
-    for _ in range(2):  # the second time from memory
-        for side, want in ((a, [e.ids for e in tok.encode_batch([" " + t for t in texts], add_special_tokens=False)]), (b, sp.encode(texts))):
-            ids, per = side.encode(texts)
-            assert [v.tolist() for v in np.split(ids, np.cumsum(per)[:-1])] == want
+    a, b = X.tokenizers(A, B)
+    assert a.apart and b.apart
+    for side, want in ((a, [e.ids for e in tok.encode_batch([" " + t for t in texts], add_special_tokens=False)]), (b, sp.encode(texts))):
+        for text, ids in zip(texts, want):
+            chunks = X.CHUNK.findall(" " + text)
+            assert "".join(chunks) == " " + text
+            assert sum(side.encode(chunks), []) == ids, text
+
+
+def test_whole_texts_as_chunks_give_the_same(spark):
+    a, b = X.tokenizers(A, B)
+    texts = [t for t in ODD] + ["a b  c\n\n d", "x ▁ y"]
+    one, two = X.Chunks(a, b), X.Chunks(a, b)
+    two.apart = False
+    for p, q in zip(one.documents(texts), two.documents(texts)):
+        assert [np.asarray(v).tolist() for v in p] == [np.asarray(v).tolist() for v in q]
 
 
 def test_memory_starts_anew():
-    a = X.ByteLevel(A)
-    a.known.most = 10
-    first = a.encode(["some words of a text", "more of it"])
-    again = a.encode(["some words of a text", "more of it"])
-    assert [x.tolist() for x in first] == [x.tolist() for x in again] and len(a.known.place) < 12
+    known = X.Chunks(*X.tokenizers(A, B), most=10)
+    first = known.documents(["some words of a text", "more of it"])[1]
+    known.documents(["other words"])
+    assert "some" not in known.place and known.documents(["some words of a text", "more of it"])[1] == first

@@ -13,7 +13,12 @@ itself.  Both sequences spell the same bytes.
   number of tokens as values.  Their product holds for each document and id pair
   the number of token pairs that share a group, without listing the token pairs.
 
-Both products run over a bounded number of terms at a time.  The matrices are
+* Both tokenizers end a token before a space that follows a visible character, so
+  a text is a row of chunks cut there, and each distinct chunk is encoded and
+  aligned once per worker: (documents by chunks) times (chunks by id pairs) gives
+  the links per document.  Tokenizers with other rules get whole texts as chunks.
+
+The products run over a bounded number of terms at a time.  The matrices are
 plain arrays (row bounds, columns, values), see :class:`Csr`.
 
 A task cuts its rows into parts of bounded text.  A part is one written row: its
@@ -47,8 +52,8 @@ from pyspark.sql import functions as F
 from vigil.llm import kernel as K
 from vigil.session import work_dir
 
-CHUNK_BYTES = 1 << 20
-PART_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 19
+PART_BYTES = 4 << 20
 TERMS = 1 << 21
 
 
@@ -118,50 +123,14 @@ class Tokens:
         return self.flat[np.repeat(self.at[ids], size) + K.ragged(size)]
 
 
-#: white space of the pre-tokenizer's pattern (Unicode's White_Space)
-SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: a word with the one space before it; or the white space before such a word; or other white space with the word after it
-BYTE_LEVEL_CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?= [^{SPACE}])|[{SPACE}]+[^{SPACE}]*")
-PIECE_CHUNK = re.compile(" +[^ ]*")
-
-
-class Known:
-    """Ids of chunks met before, by the chunk itself.  Chunks are cut where the
-    tokenizer's own rules always end a token, so a text's ids are its chunks'
-    ids one after the other.  Beyond ``most`` characters it starts anew."""
-
-    def __init__(self, pattern: re.Pattern | None, encode, most: int = 8 << 20):
-        self.pattern, self.encode_new, self.most = pattern, encode, most
-        self.forget()
-
-    def forget(self):
-        self.place: dict[str, int] = {}
-        self.at, self.size, self.flat, self.chars = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), 0
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ids per text)."""
-        lists = [self.pattern.findall(x) for x in texts] if self.pattern else [[x] for x in texts]
-        if self.chars > self.most:
-            self.forget()
-        chunks = list(chain.from_iterable(lists))
-        new = list(set(chunks) - self.place.keys())
-        if new:
-            ids = self.encode_new(new)
-            size = np.array([len(x) for x in ids], np.int64)
-            self.at = np.concatenate((self.at, len(self.flat) + np.cumsum(size) - size))
-            self.size = np.concatenate((self.size, size))
-            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.int32)))
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            self.chars += sum(map(len, new))
-        mine = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        size = self.size[mine]
-        total = np.concatenate(([0], np.cumsum(size)))
-        per = np.diff(total[np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))])
-        return self.flat[np.repeat(self.at[mine], size) + K.ragged(size)].astype(np.int64), per
+#: white space of the pre-tokenizer's pattern (Unicode's White_Space), without the space itself
+OTHER_SPACE = "\\t-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: from a space that follows a visible character (or begins the text) up to the next such space
+CHUNK = re.compile(f" [ {OTHER_SPACE}]*[^ {OTHER_SPACE}]*(?:[{OTHER_SPACE}][ {OTHER_SPACE}]*[^ {OTHER_SPACE}]*)*")
 
 
 class ByteLevel(Tokens):
-    """A: byte-level BPE file of the tokenizers library; ids of a space and the text."""
+    """A: byte-level BPE file of the tokenizers library."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -174,16 +143,15 @@ class ByteLevel(Tokens):
         rules = json.loads(self.own.to_str())
         pre = rules["pre_tokenizer"] or {}
         plain = not rules["normalizer"] and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        self.known = Known(BYTE_LEVEL_CHUNK if plain else None,
-                           lambda x: [e.ids for e in self.own.encode_batch_fast(x, add_special_tokens=False)])
+        self.apart = plain
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.known([" " + x for x in texts])
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Pieces(Tokens):
-    """B: sentencepiece model.  Where no piece has a space after another
-    character, and spaces are kept as they are, words are encoded apart."""
+    """B: sentencepiece model.  ``apart``: no piece has a space after another
+    character and spaces are kept as they are, so words can be encoded apart."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -192,14 +160,20 @@ class Pieces(Tokens):
         names = [self.own.id_to_piece(i) for i in range(self.own.get_piece_size())]
         super().__init__([bytes([int(x[3:-1], 16)]) if self.own.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(names)])
         space = self.own.piece_to_id("▁")
-        apart = (names[space] == "▁" and not any("▁" in x.lstrip("▁") for x in names)
-                 and "".join(self.own.encode(" a  b ", out_type=str)) == "▁▁a▁▁b▁")
-        # the model puts the first space itself, so a lone space has nothing left to encode
-        self.known = Known(PIECE_CHUNK, lambda x: [e if t != " " else [space] for t, e in zip(x, self.own.encode([t[1:] for t in x], num_threads=1))]
-                           ) if apart else Known(None, lambda x: self.own.encode([t[1:] for t in x], num_threads=1))
+        self.space = space
+        self.apart = (names[space] == "▁" and not any("▁" in x.lstrip("▁") for x in names)
+                      and "".join(self.own.encode(" a  b ", out_type=str)) == "▁▁a▁▁b▁")
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.known([" " + x for x in texts])
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Texts begin with the space that the model puts itself; of a lone one nothing is left to encode."""
+        found = self.own.encode([x[1:] for x in texts], num_threads=1)
+        return [e if x != " " or not self.apart else [self.space] for x, e in zip(texts, found)]
+
+
+@cache
+def known_chunks(path_a: str, path_b: str) -> Chunks:
+    """The worker's memory, which lives as long as the worker."""
+    return Chunks(*tokenizers(path_a, path_b))
 
 
 @cache
@@ -211,6 +185,10 @@ def tokenizers(path_a: str, path_b: str) -> tuple[ByteLevel, Pieces]:
     return ByteLevel(path_a), Pieces(path_b)
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(chain.from_iterable(lists), np.int64), np.array([len(x) for x in lists], np.int64)
+
+
 def _same(spelled: np.ndarray, per: np.ndarray, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Documents whose ``per`` bytes in ``spelled`` are their bytes in ``raw``."""
     ok = per == np.diff(off)
@@ -225,7 +203,7 @@ def _same(spelled: np.ndarray, per: np.ndarray, raw: np.ndarray, off: np.ndarray
 
 
 class Aligned(NamedTuple):
-    """Aligned documents of a chunk: ids, groups and documents of the tokens of both sides; links per overlap."""
+    """Aligned texts: ids, groups and text numbers of the tokens of both sides; links per overlap."""
     a: np.ndarray
     b: np.ndarray
     group_a: np.ndarray
@@ -233,16 +211,17 @@ class Aligned(NamedTuple):
     doc_a: np.ndarray
     doc_b: np.ndarray
     overlaps: tuple[np.ndarray, np.ndarray, np.ndarray]  # A token, B token, shared bytes
+    good: np.ndarray  # texts whose tokens spell them on both sides; the others have no tokens
 
 
-def align_texts(texts: list[str | None], a: Tokens, b: Tokens) -> Aligned:
-    """Tokens, overlaps and groups; token numbers run over the aligned documents in order."""
-    doc = np.flatnonzero([bool(x) for x in texts])
-    full = [texts[i] for i in doc]
-    raw = [b" " + x.encode() for x in full]
+def align(texts: list[str], a: Tokens, b: Tokens) -> Aligned:
+    """Tokens, overlaps and groups of texts with the space in front; token
+    numbers run over the texts in order."""
+    raw = [x.encode() for x in texts]
     off = np.concatenate(([0], np.cumsum([len(x) for x in raw], dtype=np.int64)))
     buf = np.frombuffer(b"".join(raw), np.uint8)
-    (ids_a, n_a), (ids_b, n_b) = a.encode(full), b.encode(full)
+    doc = np.arange(len(texts))
+    (ids_a, n_a), (ids_b, n_b) = _flat(a.encode(texts)), _flat(b.encode(texts))
     good = np.ones(len(doc), bool)
     for side, ids, n in ((a, ids_a, n_a), (b, ids_b, n_b)):
         size = np.concatenate(([0], np.cumsum(side.size[ids])))
@@ -261,12 +240,12 @@ def align_texts(texts: list[str | None], a: Tokens, b: Tokens) -> Aligned:
     group = np.cumsum(new) - 1
     group_a, group_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
     group_a[row], group_b[col] = group, group
-    return Aligned(ids_a, ids_b, group_a, group_b, doc_a, doc_b, (row, col, shared))
+    return Aligned(ids_a, ids_b, group_a, group_b, doc_a, doc_b, (row, col, shared), good)
 
 
-def id_pairs(x: Aligned, a: Tokens, b: Tokens, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, pair, links): token pairs that share a group, per document and
-    id pair (A id * B's size + B id), ascending."""
+def id_pairs(x: Aligned, a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, pair, links): token pairs that share a group, per text and id pair
+    (A id * B's size + B id), ascending."""
     groups = int(x.group_a[-1]) + 1 if len(x.group_a) else 0
     keys, _, row = K.distinct(x.doc_a * a.n + x.a)
     by_id = matrix(row, x.group_a, len(keys), max(1, groups))
@@ -285,8 +264,8 @@ def _digits(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size, size
 
 
-def digests(x: Aligned, docs: int) -> list[str]:
-    """sha256 of each document's groups written as ``a1,a2|b1;a3|b2,b3``; '' without tokens."""
+def written(x: Aligned, texts: int) -> list[bytes]:
+    """Each text's groups as ``a1,a2|b1;a3|b2,b3``."""
     groups = int(x.group_a[-1]) + 1 if len(x.group_a) else 0
     na, nb = np.bincount(x.group_a, minlength=groups), np.bincount(x.group_b, minlength=groups)
     begin = np.cumsum(na + nb) - na - nb
@@ -304,11 +283,65 @@ def digests(x: Aligned, docs: int) -> list[str]:
     put[ends - 1] = False
     out[put] = flat[np.repeat(first[ids], size[ids]) + K.ragged(size[ids])]
     out[ends - 1] = mark
-    per = np.bincount(x.doc_a, minlength=docs) + np.bincount(x.doc_b, minlength=docs)
+    per = np.bincount(x.doc_a, minlength=texts) + np.bincount(x.doc_b, minlength=texts)
     stop = np.concatenate(([0], ends))[np.cumsum(per)]
     start = np.concatenate(([0], stop[:-1]))
     data = out.tobytes()
-    return [hashlib.sha256(data[i:j - 1]).hexdigest() if j > i else "" for i, j in zip(start.tolist(), stop.tolist())]
+    return [data[i:j - 1] for i, j in zip(start.tolist(), stop.tolist())]
+
+
+class Chunks:
+    """What a worker knows of the chunks it has met: figures, groups as written,
+    and a row of id pairs each.  Starts anew beyond ``most`` characters."""
+
+    def __init__(self, a: Tokens, b: Tokens, most: int = 2 << 20):
+        self.a, self.b, self.most, self.apart = a, b, most, a.apart and b.apart
+        self.forget()
+
+    def forget(self):
+        self.place: dict[str, int] = {}
+        self.text: list[bytes] = []
+        self.figures, self.good = np.zeros((0, 3), np.int64), np.zeros(0, bool)
+        self.rows, self.chars = Csr(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)), 0
+
+    def learn(self, new: list[str]):
+        x, n = align(new, self.a, self.b), len(new)
+        chunk, pair, links = id_pairs(x, self.a, self.b)
+        first = np.concatenate(([True], x.group_a[1:] != x.group_a[:-1])) if len(x.group_a) else np.zeros(0, bool)
+        count = lambda v: np.bincount(v, minlength=n)
+        self.figures = np.concatenate((self.figures, np.stack((count(x.doc_a), count(x.doc_b), count(x.doc_a[first])), axis=1)))
+        self.good = np.concatenate((self.good, x.good))
+        self.text += written(x, n)
+        old = self.rows
+        self.rows = Csr(np.concatenate((old.ptr, len(old.cols) + np.cumsum(count(chunk)))), np.concatenate((old.cols, pair)),
+                        np.concatenate((old.vals, links)))
+        self.place.update(zip(new, range(len(self.place), len(self.place) + n)))
+        self.chars += sum(map(len, new))
+
+    def documents(self, texts: list[str | None]):
+        """(figures (documents, 3), sha256 of the groups, (document, pair, links))."""
+        lists = [(CHUNK.findall(" " + x) if self.apart else [" " + x]) if x else [] for x in texts]
+        if self.chars > self.most:
+            self.forget()
+        chunks = list(chain.from_iterable(lists))
+        new = list(set(chunks) - self.place.keys())
+        for lo in range(0, len(new), 20_000):
+            self.learn(new[lo:lo + 20_000])
+        n, per = len(texts), np.array([len(x) for x in lists], np.int64)
+        at = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        doc = np.repeat(np.arange(n), per)
+        good = np.bincount(doc[~self.good[at]], minlength=n) == 0
+        if not good.all():
+            at, doc, per = at[good[doc]], doc[good[doc]], np.where(good, per, 0)
+        total = np.concatenate((np.zeros((1, 3), np.int64), np.cumsum(self.figures[at], axis=0)))
+        ends = np.cumsum(per)
+        figures = total[ends] - total[ends - per]
+        words, sha = at.tolist(), []
+        for i, j in zip((ends - per).tolist(), ends.tolist()):
+            sha.append(hashlib.sha256(b";".join([self.text[k] for k in words[i:j]])).hexdigest() if j > i else "")
+        blocks = list(products(matrix(doc, at, n, max(1, len(self.place))), self.rows, self.a.n * self.b.n))
+        found = tuple(np.concatenate(v) for v in zip(*blocks)) if blocks else (np.zeros(0, np.int64),) * 3
+        return figures, sha, found
 
 
 # ---------------------------------------------------------------- jobs
@@ -329,16 +362,13 @@ class _Part:
         self.figures = {c: [] for c in FIGURES}
         self.held, self.pair, self.times = [], [], []
 
-    def add(self, ids: list, texts: list, a: Tokens, b: Tokens):
+    def add(self, ids: list, texts: list, known: Chunks):
         n = len(ids)
-        x = align_texts(texts, a, b)
-        doc, pair, links = id_pairs(x, a, b, n)
-        first = np.concatenate(([True], x.group_a[1:] != x.group_a[:-1])) if len(x.group_a) else np.zeros(0, bool)
-        for c, v in (("n_a", np.bincount(x.doc_a, minlength=n)), ("n_b", np.bincount(x.doc_b, minlength=n)),
-                     ("n_groups", np.bincount(x.doc_a[first], minlength=n)), ("n_links", _sums(doc, links, n))):
+        figures, sha, (doc, pair, links) = known.documents(texts)
+        for c, v in zip(FIGURES, (*figures.T, _sums(doc, links, n))):
             self.figures[c].append(v)
         self.ids += ids
-        self.sha += digests(x, n)
+        self.sha += sha
         self.held.append(np.bincount(doc, minlength=n))
         self.pair.append(pair)
         self.times.append(links)
@@ -381,10 +411,10 @@ def parts(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     def run(batches):
         from pyspark import TaskContext
 
-        a, b = tokenizers(path_a, path_b)
+        known = known_chunks(path_a, path_b)
         part, mine = TaskContext.get().partitionId() << 32, _Part()
         for ids, texts, size in _chunks(batches, chunk_bytes):
-            mine.add(ids, texts, a, b)
+            mine.add(ids, texts, known)
             mine.bytes += size + 64 * len(ids)
             if mine.bytes >= part_bytes:
                 yield mine.row(part)
@@ -445,7 +475,9 @@ def overlaps(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
     def run(batches):
         a, b = tokenizers(path_a, path_b)
         for ids, texts, _ in _chunks(batches, chunk_bytes):
-            x = align_texts(texts, a, b)
+            full = [i for i, t in enumerate(texts) if t]
+            ids = [ids[i] for i in full]
+            x = align([" " + texts[i] for i in full], a, b)
             row, col, shared = x.overlaps
             doc, n = x.doc_a[row], len(ids)
             first_a, first_b = np.searchsorted(x.doc_a, np.arange(n)), np.searchsorted(x.doc_b, np.arange(n))
