@@ -49,8 +49,9 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     the one before; lines: log(1 + lines with a word); equal_lines: share of
     lines equal to an earlier one; words_a_line; ended_lines: share of lines
     whose last character is one of ``.!?:;``."""
-    flat = F.translate("_vg_t", "\t\n\x0b\x0c\r", "     ")
-    lost = lambda chars: F.length("_vg_t") - F.length(F.translate("_vg_t", chars, ""))
+    flat = reduce(lambda t, ch: F.replace(t, F.lit(ch), F.lit(" ")), "\t\n\x0b\x0c\r", F.col("_vg_t"))
+    one = lambda ch: F.octet_length("_vg_t") - F.octet_length(F.replace("_vg_t", F.lit(ch), F.lit("")))
+    lost = lambda chars: reduce(lambda a, b: a + b, map(one, chars))
     base = docs.withColumn("_vg_t", F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).withColumns({
         "_vg_w": F.filter(F.split(flat, " "), lambda x: x != ""),
         "_vg_l": F.filter(F.split("_vg_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
