@@ -40,3 +40,20 @@ def test_many_pairs_of_one_part(spark, monkeypatch):
     assert rows.filter("data is null").count() == 60 * 59 // 2
     assert largest(rows, [X.PART])[1] > 800 and largest(rows, [X.PART, "salt"])[1] <= 240
     assert rows.filter("data is not null").groupBy(X.PART, "salt", "x").count().filter("count > 1").count() == 0
+
+
+def test_signatures_never_differ_more_than_the_sets():
+    import numpy as np
+
+    from vigil.llm import jaccard as J
+
+    rnd = np.random.default_rng(6)
+    for n in (1, 5, 80, 900, 5000):
+        base = rnd.integers(0, 1 << 63, n).astype(np.uint64)
+        for cut in (0, n // 10, n // 2, n):
+            other = np.concatenate([base[cut:], rnd.integers(0, 1 << 63, cut // 2).astype(np.uint64)])
+            a, b = (J.signature(np.unique(x)) for x in (base, other))
+            differ = sum(int(v).bit_count() for v in (a ^ b).view(np.uint64))
+            assert differ <= len(np.setxor1d(base, other)) and (cut or differ == 0)
+    unlike = (J.signature(rnd.integers(0, 1 << 63, 300).astype(np.uint64)) ^ J.signature(rnd.integers(0, 1 << 63, 300).astype(np.uint64)))
+    assert sum(int(v).bit_count() for v in unlike.view(np.uint64)) > 90

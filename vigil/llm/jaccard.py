@@ -71,6 +71,13 @@ def boundary(histogram: dict[int, int], j) -> int:
     return best[1]
 
 
+def signature(own: np.ndarray) -> np.ndarray:
+    """Parity bits of a set: each element flips one of ``64 * len(SIGNS)`` bits, so
+    two sets differ in at most as many bits as there are elements in only one of them."""
+    bits = np.bincount((K.mix(own) >> np.uint64(56)).astype(np.int64), minlength=256)[:64 * len(SIGNS)] & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.asarray(x, np.uint64).view(np.int64)
 
@@ -119,9 +126,11 @@ def _frequencies(requests: DataFrame) -> DataFrame:
     return requests.groupBy("bucket").applyInArrow(answer, X.SIDE)
 
 
-ROWS = f"kind int, {X.PART} long, token long, cls long, size long, pos int, data binary"
+#: longs of a set's parity signature
+SIGNS = [f"sign{k}" for k in range(4)]
+ROWS = f"kind int, {X.PART} long, token long, cls long, size long, pos int, data binary, " + ", ".join(f"{x} long" for x in SIGNS)
 _ROWS = pa.schema([("kind", pa.int32()), (X.PART, pa.int64()), ("token", pa.int64()), ("cls", pa.int64()), ("size", pa.int64()),
-                   ("pos", pa.int32()), ("data", pa.binary())])
+                   ("pos", pa.int32()), ("data", pa.binary()), *[(x, pa.int64()) for x in SIGNS]])
 _LIST, _SUBSET, _SET = 1, 2, 3
 
 
@@ -155,8 +164,8 @@ def _candidates(dealt: DataFrame, total: int, classes: DataFrame, text_col: str,
                 level[at[b]:at[b + 1]] = np.frombuffer(blob, np.uint8)
         out = {k: [] for k in _ROWS.names}
 
-        def add(kind, token, cls, size, pos, data=None):
-            for k, v in zip(_ROWS.names, (kind, part, token, cls, size, pos, data)):
+        def add(kind, token, cls, size, pos, data=None, sign=(None,) * len(SIGNS)):
+            for k, v in zip(_ROWS.names, (kind, part, token, cls, size, pos, data, *sign)):
                 out[k].append(v)
 
         for i in leaders:
@@ -179,7 +188,7 @@ def _candidates(dealt: DataFrame, total: int, classes: DataFrame, text_col: str,
                 for token, pos in zip(_signed(own[order[use]]).tolist(), use.tolist()):
                     add(_LIST, token, cls, size, pos)
                 if len(use):
-                    add(_SET, None, cls, size, None, own.tobytes())
+                    add(_SET, None, cls, size, None, own.tobytes(), signature(own).tolist())
         return pa.table(out, schema=_ROWS)
 
     pair = lambda side: dealt.groupBy(X.PART).cogroup(side.groupBy(X.PART))
@@ -319,11 +328,18 @@ def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int],
         comp = _saved(_hook(comp, link), "hooked")
 
     # the rest: pairs of a list that are still apart (components that hooking has not met yet only add pairs)
-    member = _apart(entry.join(comp, "cls"))
-    a = member.select("token", F.col("cls").alias("x"), F.col("size").alias("s"), F.col("pos").alias("p"), F.col("c").alias("cx"))
-    b = member.select("token", F.col("cls").alias("y"), F.col("size").alias("t"), F.col("pos").alias("q"), F.col("c").alias("cy"))
+    # and whose signatures differ in no more bits than linked sets have elements apart
+    signs = found.filter(F.col("kind") == _SET).select("cls", *SIGNS)
+    member = _apart(entry.join(comp, "cls")).join(signs, "cls")
+    a = member.select("token", F.col("cls").alias("x"), F.col("size").alias("s"), F.col("pos").alias("p"), F.col("c").alias("cx"),
+                      *[F.col(g).alias(f"a{g}") for g in SIGNS])
+    b = member.select("token", F.col("cls").alias("y"), F.col("size").alias("t"), F.col("pos").alias("q"), F.col("c").alias("cy"),
+                      *[F.col(g).alias(f"b{g}") for g in SIGNS])
+    differ = sum((F.bit_count(F.col(f"a{g}").bitwiseXOR(F.col(f"b{g}"))) for g in SIGNS[1:]),
+                 F.bit_count(F.col(f"a{SIGNS[0]}").bitwiseXOR(F.col(f"b{SIGNS[0]}"))))
     apart = (a.join(b, "token").filter((F.col("cx") != F.col("cy")) & (F.col("x") < F.col("y")))
-             .filter(possible(F.col("s"), F.col("t"), F.col("p"), F.col("q"))).select("x", "y").distinct())
+             .filter(possible(F.col("s"), F.col("t"), F.col("p"), F.col("q")))
+             .filter(differ <= F.col("s") + F.col("t") - 2 * need(F.col("s"), F.col("t"))).select("x", "y").distinct())
     done = tried.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     rest = _verified(_saved(apart.join(done, ["x", "y"], "left_anti"), "apart"), sets, jaccard)
     return rows, light.unionByName(star).unionByName(rest)
