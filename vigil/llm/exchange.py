@@ -75,12 +75,13 @@ def replies(kind: int, parts, buckets, blobs) -> pa.Table:
                      "n": [None] * k, "blob": blobs}, schema=SIDE_ARROW)
 
 
-def repeated(requests: DataFrame, kind: int) -> DataFrame:
+def repeated(requests: DataFrame, kind: int, short: bool = False) -> DataFrame:
     """Replies one bit per key: does it occur more than once over all parts?
-    ``more`` holds a byte per key, 1 where the part itself has it twice."""
+    ``more`` holds a byte per key, 1 where the part itself has it twice.
+    ``short``: keys come in 40 bits, of which a clash counts as a repeat."""
 
     def answer(t: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint64) for x in t["keys"].to_pylist()]
+        keys = [widen(x) if short else np.frombuffer(x, np.uint64) for x in t["keys"].to_pylist()]
         twice = [k[np.frombuffer(m, np.uint8) > 0] for k, m in zip(keys, t["more"].to_pylist())]
         every, n = sorted_unique(np.concatenate(keys))
         found = np.union1d(every[n > 1], np.concatenate(twice))

@@ -116,9 +116,9 @@ class _Part:
         return mask
 
 
-def _ask(part: int, hashes: np.ndarray, bits: int) -> pa.Table:
+def _ask(part: int, hashes: np.ndarray, bits: int, short: bool = False) -> pa.Table:
     keys, n = K.sorted_unique(hashes)
-    return pa.table(X.request(part, keys, (n > 1).astype(np.uint8), bits), schema=X.REQUEST_ARROW)
+    return pa.table(X.request(part, keys, (n > 1).astype(np.uint8), bits, short=short), schema=X.REQUEST_ARROW)
 
 
 def _plan(docs: DataFrame, text_col: str, width: int, part_bytes: int):
@@ -137,14 +137,14 @@ def _plan(docs: DataFrame, text_col: str, width: int, part_bytes: int):
     def ask_names(key, left: pa.Table, right: pa.Table) -> pa.Table:
         p = _Part(left, right, text_col, width)
         at, w, _ = p.samples()
-        return _ask(key[0].as_py(), K.window_hashes(p.buf, at, w), bits[0])
+        return _ask(key[0].as_py(), K.window_hashes(p.buf, at, w), bits[0], short=True)  # a clash only adds candidates
 
     def ask_heads(key, left: pa.Table, right: pa.Table) -> pa.Table:
         p = _Part(left, right, text_col, width)
         return _ask(key[0].as_py(), K.window_hashes(p.buf, p.candidates(right, bits[0]), width), bits[1])
 
     pair = lambda side: dealt.groupBy(X.PART).cogroup(side.groupBy(X.PART))
-    names = X.repeated(pair(copies).applyInArrow(ask_names, X.REQUEST), 1)
+    names = X.repeated(pair(copies).applyInArrow(ask_names, X.REQUEST), 1, short=True)
     side = copies.unionByName(names)
     heads = X.repeated(pair(side).applyInArrow(ask_heads, X.REQUEST), 2)
     return pair(side.unionByName(heads)), bits
