@@ -7,8 +7,9 @@ return the columns of ``documents``.  ``n_chars`` follows the text.
 1. quality_rules: documents that the rules' posterior rejects go.
 2. ngram_jaccard_join: one document of each component stays (5-word shingles,
    similarity 0.8 or more), the one with the smallest doc_id.
-3. suffix_array_dedup: bytes under 400-byte strings that start elsewhere too go;
-   a document of which less than a character remains goes with them.
+3. suffix_array_dedup: bytes under 290-byte strings that start elsewhere too go
+   (a passage of just over 50 words has 300 bytes or more); a document of which
+   less than a character remains goes with them.
 4. benchmark_decontamination: documents that hold a verified benchmark item go.
 5. merge_dropout: the remaining documents with their pieces.
 
@@ -25,6 +26,10 @@ from vigil.llm import decontaminate, jaccard, quality, segments, suffixes
 from vigil.session import work_dir
 
 
+#: repeated strings of so many bytes go: just under the shortest passage of over 50 words
+REPEAT_BYTES = 290
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs)
 
@@ -34,7 +39,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = suffixes.strip(docs).filter((F.octet_length("text") > 0) | F.col("text").isNull())
+    left = suffixes.strip(docs, width=REPEAT_BYTES).filter((F.octet_length("text") > 0) | F.col("text").isNull())
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
