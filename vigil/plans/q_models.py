@@ -107,9 +107,9 @@ def q_model_decision_tree(spark, sf):
 
 @query("model_gbt")
 def q_model_gbt(spark, sf):
-    """Newton boosting (100 rounds, depth 6, L2 1); test metrics."""
+    """Newton boosting (100 rounds, depth 4, L2 1); test metrics."""
     d = model_frame(spark, sf)
-    model = BO.fit(spark, train_bins(d, BASE), BO.Boost())
+    model = BO.fit(spark, train_bins(d, BASE), BO.Boost(depth=4))
     p = BO.predict(model, d.where("split = 'test'"), "key", ["label"])
     m = ML.metrics_row(p.select("key", F.col("label").cast("int").alias("y"), (F.col("score") > 0.5).cast("int").alias("yhat"),
                                 F.col("score").alias("p")))
@@ -171,7 +171,7 @@ def q_model_gbt_regressor(spark, sf):
     d = model_frame(spark, sf)
     feats = [c for c in BASE if c != "wear"]
     bins = FO.bin_table(d.where("split = 'train'"), feats, "key", "wear", real=True)
-    model = BO.fit(spark, bins, BO.Boost(patience=10), valid_fold=0)
+    model = BO.fit(spark, bins, BO.Boost(depth=4, patience=10), valid_fold=0)
     pred = BO.predict(model, d.where("split = 'test'"), "key", ["wear"]).select(F.col("wear").alias("y"), F.col("score").alias("yhat"))
     return round_doubles(V.regression_metrics(pred).withColumn("model_name", F.lit("gbt_regressor")))
 
@@ -330,8 +330,8 @@ def q_grid_search(spark, sf):
 @query("random_search")
 def q_random_search(spark, sf):
     """T5: 50 seeded draws from a space of 360 points, scored as in T4."""
-    space = [FO.Candidate(t, d, s, m, f) for t in (25, 50, 75, 100) for d in (3, 4, 6, 8, 10) for s in (2, 5, 10) for m in (1, 2, 4)
-             for f in (None, len(BASE))]
+    space = [FO.Candidate(t, d, s, m, f) for t in (25, 50, 75, 100) for d in (3, 4, 5, 6, 8) for s in (2, 5, 10) for m in (1, 2, 4)
+             for f in (None, 4)]
     return _search(spark, sf, ML.sample_grid(space, 50, seed=42))
 
 
