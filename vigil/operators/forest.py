@@ -264,18 +264,23 @@ def count_level(table: DataFrame, per_chunk, cols: int, cells: int, slots: int,
     chunks = chunks or _chunks
 
     def emit(held):
+        tree, node, feat, data = [], [], [], []
         for m, (nodes, feats, counts) in held.items():
-            keep = counts.reshape(-1, cells).any(axis=1)
-            node, feat = np.repeat(nodes, feats.shape[1])[keep], feats.ravel()[keep]
-            if not len(node):
-                continue
-            data = np.ascontiguousarray(counts.reshape(-1, cells)[keep].astype(kind))
-            step = cells * data.itemsize
-            blob = pa.Array.from_buffers(pa.binary(), len(node), [None, pa.py_buffer(np.arange(0, step * (len(node) + 1), step, dtype=np.int32)),
-                                                                  pa.py_buffer(data)])
-            slot = (uniform(3, np.int64(m), node, feat) * slots).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(np.full(len(node), m, np.int32)), pa.array(node.astype(np.int32)),
-                                              pa.array(feat.astype(np.int32)), blob], names=["slot", "tree", "node", "feat", "counts"])
+            flat = counts.reshape(-1, cells)
+            some = flat.any(axis=1)
+            data.append(flat[some].astype(kind))
+            tree.append(np.full(len(data[-1]), m, np.int32))
+            node.append(np.repeat(nodes, feats.shape[1])[some].astype(np.int32))
+            feat.append(feats.ravel()[some].astype(np.int32))
+        if not data or not sum(map(len, data)):
+            return
+        tree, node, feat, data = (np.concatenate(x) for x in (tree, node, feat, data))
+        step = cells * data.itemsize
+        blob = pa.Array.from_buffers(pa.binary(), len(node), [None, pa.py_buffer(np.arange(0, step * (len(node) + 1), step, dtype=np.int32)),
+                                                              pa.py_buffer(data)])
+        slot = (uniform(3, tree, node, feat) * slots).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(tree), pa.array(node), pa.array(feat), blob],
+                                         names=["slot", "tree", "node", "feat", "counts"])
 
     def run(batches):
         held, size = {}, 0
@@ -311,18 +316,18 @@ def merged(t: pa.Table, shape: tuple[int, int], kind, choose) -> pa.Table:
                      "cut": pa.array(cut, pa.int32()), "gain": pa.array(gain, pa.float64()), "low": rows(low), "high": rows(high)})
 
 
-def best_cuts(hist: DataFrame, slots: int, shape: tuple[int, int], kind, choose) -> list[dict]:
+def best_cuts(hist: DataFrame, slots: int, shape: tuple[int, int], kind, choose) -> pa.Table:
     """One row per (tree, node, feature) over all tasks; a slot of them per group."""
     found = hist.repartition(slots, "slot").groupBy("slot").applyInArrow(lambda t: merged(t, shape, kind, choose), BEST)
-    return found.toArrow().to_pylist()
+    return found.toArrow()
 
 
-def winners(rows: list[dict], channels: int) -> tuple:
+def winners(rows: pa.Table, channels: int) -> tuple:
     """Per (tree, node) in order: the row of the largest gain, of equal ones the
     lowest column and cut."""
-    f = lambda x, k: np.array([r[x] for r in rows], k)
-    tree, node, feat, cut, gain = f("tree", np.int64), f("node", np.int64), f("feat", np.int64), f("cut", np.int64), f("gain", float)
-    low, high = (np.frombuffer(b"".join(r[x] for r in rows), np.int64).reshape(-1, channels) for x in ("low", "high"))
+    tree, node, feat, cut = (rows[x].to_numpy().astype(np.int64) for x in ("tree", "node", "feat", "cut"))
+    gain = rows["gain"].to_numpy()
+    low, high = (np.frombuffer(b"".join(rows[x].to_pylist()), np.int64).reshape(-1, channels) for x in ("low", "high"))
     order = np.lexsort((cut, feat, -gain, node, tree))
     first = np.ones(len(order), bool)
     first[1:] = (np.diff(tree[order]) != 0) | (np.diff(node[order]) != 0)
