@@ -29,7 +29,7 @@ def test_stages_equal_brute_force(spark, sf):
     assert one.columns == docs.columns and one.count() == len({(c, k == "None") for k, _, c in components(rows)})
 
     left = stage["suffix_array_dedup"](spark, one, sf).cache()
-    want = sorted(n - gone for n, gone, *_ in suffix_rows([r.text for r in one.collect()], 400) if n > gone)
+    want = sorted(n - gone for n, gone, *_ in suffix_rows([r.text for r in one.collect()], corpus_pipeline.REPEAT_BYTES) if n > gone)
     got = sorted(len(r.text.encode()) for r in left.collect())
     assert left.columns == docs.columns and len(got) == len(want) and all(0 <= g - w <= 6 for g, w in zip(got, want))
     assert all(r.n_chars == len(r.text) for r in left.collect())
