@@ -150,3 +150,26 @@ def test_reading_lines_keep_every_field(spark):
     r = IO.parse_readings(spark.createDataFrame([(line,), ("1,2,3,4,5",), ("1,x",)], "value string")).collect()
     assert r[0]["features"] == [float(i) for i in range(20)] and r[0]["_corrupt"] is None
     assert r[1]["wear"] == 5.0 and r[1]["features"] is None and r[2]["_corrupt"] == "1,x"
+
+
+def test_seeds_give_independent_splits(spark):
+    from vigil.operators import prep as PR
+    from vigil.sources import files as IO
+
+    df = spark.range(5000).withColumnRenamed("id", "key").selectExpr("key", "int(key % 3 = 0) AS y")
+    test = {s: {r.key for r in PR.split_stratified(df, "y", "key", 0.2, 0.0, seed=s).where("split = 'test'").select("key").collect()} for s in (42, 43)}
+    assert {len(v) for v in test.values()} == {1000}
+    assert 130 < len(test[42] & test[43]) < 270  # a fifth of a fifth of the rows, twice
+    few = {r.key for r in IO.sample_n(df, "key", 1000, seed=7).collect()}
+    assert 130 < len(few & test[42]) < 270
+
+
+def test_split_hash_equals_its_sql_twin(spark):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from vigil.operators import prep as PR
+
+    keys = [0, 1, 41, 998244353, 10**15 + 7, 2**62]
+    got = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "key long").select(PR.split_hash(F.col("key"), 9)).collect()]
+    assert got == [duckdb.sql(f"SELECT {PR.split_hash_sql('key', 9)} FROM (SELECT {k} AS key)").fetchall()[0][0] for k in keys]
