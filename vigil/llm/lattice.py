@@ -89,6 +89,7 @@ class Lattice:
         self.start, self.end = start + self.owner, end + self.owner  # as nodes: a word has one node more than bytes
         self.first, self.last = off[:-1] + np.arange(n), off[1:] + np.arange(n)
         self.nodes = len(buf) + n
+        self.size, self.longest = size, vocabulary.longest
         self.cuts = np.searchsorted(where[order], np.arange(1, (int(size.max()) if n else 0) + 2))
 
     def forward(self, weight: np.ndarray) -> np.ndarray:
@@ -103,6 +104,33 @@ class Lattice:
                 alpha[end[head]] = np.add.reduceat(alpha[self.start[lo:hi]] * weight[lo:hi], head)
         return alpha
 
+    def scaled_forward(self, weight: np.ndarray, head: np.ndarray | None = None, every: int = 16) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`forward` for words of any length: (alphas, logarithms of the
+        factors taken out of each word's last ones).  Every few places the alphas that a
+        later edge can still start from are divided by their largest.  ``head``
+        gives the first alphas of a single word; only edges beyond them count."""
+        alpha = np.zeros((self.nodes, weight.shape[1]))
+        log = np.zeros((len(self.first), weight.shape[1]))
+        alpha[self.first] = 1.0
+        if head is not None:
+            alpha[:len(head)] = head
+        skip = 0 if head is None else len(head) - 1
+        for p in range(skip + 1, len(self.cuts)):
+            lo, hi = self.cuts[p - 1], self.cuts[p]
+            if hi > lo:
+                end = self.end[lo:hi]
+                new = np.flatnonzero(np.concatenate(([True], end[1:] != end[:-1])))
+                alpha[end[new]] = np.add.reduceat(alpha[self.start[lo:hi]] * weight[lo:hi], new)
+            if p % every == 0:
+                on = np.flatnonzero(self.size >= p)
+                near = self.first[on][:, None] + p - np.arange(min(self.longest, p + 1))
+                part = alpha[near]
+                top = part.max(axis=1)
+                top[top <= 0] = 1.0
+                alpha[near] = part / top[:, None, :]
+                log[on] += np.log(top)
+        return alpha, log
+
     def expected(self, weight: np.ndarray) -> np.ndarray:
         """Posterior probability of each edge under one model (forward and backward)."""
         alpha = self.forward(weight[:, None])[:, 0]
