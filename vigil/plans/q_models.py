@@ -20,6 +20,7 @@ from vigil.functions import features as FX
 from vigil.operators import boosting as BO
 from vigil.operators import evaluation as V
 from vigil.operators import forest as FO
+from vigil.operators import kernel as KN
 from vigil.operators import linear as LN
 from vigil.operators import ml as ML
 from vigil.operators import prep as PR
@@ -127,20 +128,18 @@ def q_model_mlp(spark, sf):
 
 @query("model_svm")
 def q_model_svm(spark, sf):
-    """RBF SVM via random Fourier features (20, gamma='scale') + LinearSVC; probability by a
+    """RBF SVM (squared hinge, 64 Nyström landmarks, gamma='scale'); probability by a
     logistic fit on the margin (Platt); test metrics."""
     from pyspark.ml.classification import LogisticRegression
 
     d = model_frame(spark, sf)
     tr, te = d.where("split = 'train'"), d.where("split = 'test'")
-    rff = M.rff_stage(tr, BASE, 20)
-    model = M.pipeline("svm", BASE, rff=rff, n_rows=tr.count(), max_iter=20).fit(tr)
-    margin = lambda df: VectorAssembler(inputCols=["margin"], outputCol="m").transform(
-        model.transform(df).withColumn("margin", vector_to_array("rawPrediction")[1]))
+    model = KN.fit(tr, BASE, "label")
+    margin = lambda df: VectorAssembler(inputCols=["margin"], outputCol="m").transform(KN.predict(df, model))
     platt = LogisticRegression(featuresCol="m", labelCol="label", predictionCol="platt_pred",
                                rawPredictionCol="platt_raw").fit(margin(tr))
     pred = platt.transform(margin(te))
-    scored = pred.select("key", F.col("label").cast("int").alias("y"), F.col("prediction").cast("int").alias("yhat"),
+    scored = pred.select("key", F.col("label").cast("int").alias("y"), (F.col("margin") > 0).cast("int").alias("yhat"),
                          vector_to_array("probability")[1].alias("p"))
     m = ML.metrics_row(scored)
     m["model_name"] = "svm_rbf"
@@ -178,8 +177,11 @@ def q_model_gbt_regressor(spark, sf):
 
 @query("model_svr")
 def q_model_svr(spark, sf):
-    """Robust (Huber) linear regression as the SVR stand-in; regression metrics."""
-    return _regress(spark, sf, "svr", "svr")
+    """RBF SVR (squared epsilon-insensitive loss, 64 Nyström landmarks) of tool wear; regression metrics."""
+    d = model_frame(spark, sf)
+    model = KN.fit(d.where("split = 'train'"), [c for c in BASE if c != "wear"], "wear", epsilon=0.1)
+    pred = KN.predict(d.where("split = 'test'"), model, "yhat").select(F.col("wear").alias("y"), "yhat")
+    return round_doubles(V.regression_metrics(pred).withColumn("model_name", F.lit("svr")))
 
 
 # ---------------------------------------------------------------- nearest neighbours
