@@ -74,3 +74,44 @@ def test_late_alerts_and_state_across_batches(spark, tmp_path):
         got = run()  # the same folder: each run resumes
     # 6 is late but 5 minutes before the emitted 5; 7 is late with no emitted neighbour; 8 is older than the watermark
     assert got == [1, 3, 5, 7]
+
+
+def test_alert_groups_hold_many_machines(spark, tmp_path):
+    """One group for all machines gives what a group for each gives, missing ids and long keys included."""
+    big = 2 ** 60 + 1
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(m, big + i, t0 + dt.timedelta(minutes=7 * i), 150.0) for i in range(40) for m in (1, 2, big, None)] + [(1, None, t0, 150.0)]
+    df = spark.createDataFrame(rows, "machine_id long, key long, ts timestamp, value double")
+    df.coalesce(1).write.parquet(str(tmp_path / "in" / "drop0"))
+    want = sorted((str(m), big + i) for i in range(0, 40, 5) for m in (1, 2, big, None))
+    shown = lambda d: sorted((str(r["machine_id"]), r["key"]) for r in d.collect())
+    assert shown(STR.suppress_batch(df, groups=1)) == want
+    src = STR.file_stream(spark, str(tmp_path / "in"), "*/*.parquet", df.schema)
+    assert shown(STR.run_available(STR.stream_alerts(src, groups=1), "groups", keep=str(tmp_path / "sink"))) == want
+
+
+def test_python_calls_of_alerts_do_not_grow_with_machines(spark):
+    calls = spark.sparkContext.accumulator(0)
+    fold = STR._fold
+
+    def counted(pdf, emitted):
+        calls.add(1)
+        return fold(pdf, emitted)
+
+    df = spark.range(5000).select(F.col("id").alias("machine_id"), F.col("id").alias("key"), F.lit(dt.datetime(2024, 1, 1)).alias("ts"),
+                                  F.lit(150.0).alias("value"))
+    STR._fold = counted
+    try:
+        assert STR.suppress_batch(df, groups=16).count() == 5000
+    finally:
+        STR._fold = fold
+    assert 0 < calls.value <= 16
+
+
+def test_events_of_several_files_land_in_whole_drops(spark, tmp_path):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(minutes=i), i % 3, "view", 150.0, "{}") for i in range(600)]
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string")
+    ev.repartition(5).write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(r["key"] for r in q_series.q_stream_alerts(spark, str(tmp_path)).collect())
+    assert got == [i for i in range(600) if i % 30 < 3]

@@ -87,16 +87,18 @@ SELECT machine_id, key, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text, value F
 def q_stream_alerts(spark, sf):
     """ST2: alerts (value >= 100) per machine, suppressed within 30 minutes of an emitted
     alert; keyed state in applyInPandasWithState, expiring by event time.  The events
-    land in four drops in time order, one micro-batch each, so state crosses batches."""
+    land in four drops in time order, one micro-batch each (the same stream resumes after
+    each drop, of any number of files), so state crosses batches."""
     ev = X.table(spark, sf, "events")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     cuts = ev.select(us.alias("us")).agg(F.percentile_approx("us", [0.25, 0.5, 0.75])).first()[0]
-    landing = work_dir(spark, "alerts_landing")
+    base = work_dir(spark, "stream_alerts")
+    landing = f"{base}/landing"
     for i, (lo, hi) in enumerate(zip([None, *cuts], [*cuts, None])):
         part = ev.where((us > lo) if lo is not None else F.lit(True)).where((us <= hi) if hi is not None else F.lit(True))
-        part.coalesce(1).write.parquet(f"{landing}/drop{i}")
-    src = readings_from(STR.file_stream(spark, landing, "*/*.parquet", ev.schema, max_files=1))
-    out = STR.run_available(STR.stream_alerts(src.where(F.col("value") >= ALERT_VALUE)), "stream_alerts")
+        part.write.parquet(f"{landing}/drop{i}")
+        src = readings_from(STR.file_stream(spark, landing, "*/*.parquet", ev.schema))
+        out = STR.run_available(STR.stream_alerts(src.where(F.col("value") >= ALERT_VALUE)), "stream_alerts", keep=base)
     return out.select("machine_id", "key", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts_text"), "value")
 
 
