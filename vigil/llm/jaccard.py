@@ -42,7 +42,8 @@ LONGEST_LIGHT = 24
 STEP_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 GROUP_BYTES, GROUP_PAIRS = 8 << 20, 1 << 18  # of sets that come to a part, and of pairs, checked at once
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
+CENTRAL_UNIT, CENTRAL_JITTER = 1000, 400  # of a level; how far later rounds stray from the most central pivots
 
 
 def _least(size, j):
@@ -78,6 +79,12 @@ def signature(own: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def centrality(levels: np.ndarray) -> int:
+    """Mean frequency level of a set's shingles, in units of 1 / CENTRAL_UNIT.  In a family of
+    copies that differ from a common text, the copy with the fewest changes has the highest."""
+    return int(levels.sum(dtype=np.int64)) * CENTRAL_UNIT // len(levels)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.asarray(x, np.uint64).view(np.int64)
 
@@ -128,9 +135,9 @@ def _frequencies(requests: DataFrame) -> DataFrame:
 
 #: longs of a set's parity signature
 SIGNS = [f"sign{k}" for k in range(4)]
-ROWS = f"kind int, {X.PART} long, token long, cls long, size long, pos int, data binary, " + ", ".join(f"{x} long" for x in SIGNS)
+ROWS = f"kind int, {X.PART} long, token long, cls long, size long, pos int, central int, data binary, " + ", ".join(f"{x} long" for x in SIGNS)
 _ROWS = pa.schema([("kind", pa.int32()), (X.PART, pa.int64()), ("token", pa.int64()), ("cls", pa.int64()), ("size", pa.int64()),
-                   ("pos", pa.int32()), ("data", pa.binary()), *[(x, pa.int64()) for x in SIGNS]])
+                   ("pos", pa.int32()), ("central", pa.int32()), ("data", pa.binary()), *[(x, pa.int64()) for x in SIGNS]])
 _LIST, _SUBSET, _SET = 1, 2, 3
 
 
@@ -164,8 +171,8 @@ def _candidates(dealt: DataFrame, total: int, classes: DataFrame, text_col: str,
                 level[at[b]:at[b + 1]] = np.frombuffer(blob, np.uint8)
         out = {k: [] for k in _ROWS.names}
 
-        def add(kind, token, cls, size, pos, data=None, sign=(None,) * len(SIGNS)):
-            for k, v in zip(_ROWS.names, (kind, part, token, cls, size, pos, data, *sign)):
+        def add(kind, token, cls, size, pos, central=None, data=None, sign=(None,) * len(SIGNS)):
+            for k, v in zip(_ROWS.names, (kind, part, token, cls, size, pos, central, data, *sign)):
                 out[k].append(v)
 
         for i in leaders:
@@ -188,7 +195,7 @@ def _candidates(dealt: DataFrame, total: int, classes: DataFrame, text_col: str,
                 for token, pos in zip(_signed(own[order[use]]).tolist(), use.tolist()):
                     add(_LIST, token, cls, size, pos)
                 if len(use):
-                    add(_SET, None, cls, size, None, own.tobytes(), signature(own).tolist())
+                    add(_SET, None, cls, size, None, centrality(lv), own.tobytes(), signature(own).tolist())
         return pa.table(out, schema=_ROWS)
 
     pair = lambda side: dealt.groupBy(X.PART).cogroup(side.groupBy(X.PART))
@@ -265,13 +272,15 @@ def _apart(member: DataFrame) -> DataFrame:
 
 
 def _hook(comp: DataFrame, link: DataFrame) -> DataFrame:
-    """Components after the links, each hooked on the least it meets, and one step further up."""
+    """Components after the links: each takes the least name at most two links away,
+    so that all that link with one pivot take one name."""
     label = lambda v, c: comp.select(F.col("cls").alias(v), F.col("c").alias(c))
     ends = link.join(label("x", "cx"), "x").join(label("y", "cy"), "y").filter("cx != cy")
-    up = ends.groupBy(F.greatest("cx", "cy").alias("c")).agg(F.min(F.least("cx", "cy")).alias("u"))
-    over = up.select(F.col("c").alias("u"), F.col("u").alias("v"))
-    step = up.join(over, "u", "left").select("c", F.coalesce("v", "u").alias("to"))
-    return comp.join(step, "c", "left").select("cls", F.coalesce("to", "c").alias("c"))
+    both = ends.select(F.explode(F.array(F.struct(F.col("cx").alias("c"), F.col("cy").alias("to")),
+                                         F.struct(F.col("cy").alias("c"), F.col("cx").alias("to")))).alias("e")).select("e.*").distinct()
+    near = both.groupBy(F.col("c").alias("to")).agg(F.least(F.min("to"), F.col("c")).alias("least"))
+    step = both.join(near, "to").groupBy("c").agg(F.min("least").alias("to"))
+    return comp.join(step, "c", "left").select("cls", F.coalesce("to", "c").alias("c"), "central")
 
 
 def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int], part_bytes: int, keys: list[str] | None = None):
@@ -304,7 +313,8 @@ def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int],
              .select(F.col("cls").alias("x"), F.col("m.cls").alias("y")).distinct())
 
     # heavy: rounds of one pivot a list; each class is checked against the pivot it meets most often
-    # among those of other components.  The first pivots are the smallest sets, later ones random members.
+    # among those of other components.  The first pivots are the most central sets, which link with most
+    # of their family, and later ones are drawn from the next in that order.
     entry = found.filter(F.col("kind") == _LIST).select("token", "cls", "size", "pos")
     sets = found.filter(F.col("kind") == _SET).select(X.PART, "cls", "size", "data")
     need = lambda s, t: F.ceil(F.lit(j0) * (s + t) / F.lit(j0 + j1))
@@ -313,11 +323,11 @@ def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int],
         return ((F.greatest(s, t) > cut) & (s * j1 >= t * j0) & (t * j1 >= s * j0)
                 & (F.least(s - p, t - q) >= need(s, t)))  # the shared shingle and all after it suffice
 
-    comp = entry.select("cls").distinct().withColumn("c", F.col("cls"))
+    comp = found.filter(F.col("kind") == _SET).select("cls", F.col("cls").alias("c"), "central")
     tried = star = None
     for turn in range(PIVOT_ROUNDS):
         member = _apart(entry.join(comp, "cls"))
-        order = F.col("size") if turn == 0 else F.xxhash64("cls", F.lit(turn))
+        order = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(turn * CENTRAL_JITTER + 1)) - F.col("central")
         pivot = member.groupBy("token").agg(F.min(F.struct(order.alias("o"), "cls", "size", "pos", "c")).alias("m"))
         met = (member.join(pivot, "token").filter(F.col("c") != F.col("m.c"))
                .filter(possible(F.col("size"), F.col("m.size"), F.col("pos"), F.col("m.pos")))
@@ -330,7 +340,7 @@ def links(docs: DataFrame, text_col: str, words: int, jaccard: tuple[int, int],
     # the rest: pairs of a list that are still apart (components that hooking has not met yet only add pairs)
     # and whose signatures differ in no more bits than linked sets have elements apart
     signs = found.filter(F.col("kind") == _SET).select("cls", *SIGNS)
-    member = _apart(entry.join(comp, "cls")).join(signs, "cls")
+    member = _apart(entry.join(comp.drop("central"), "cls")).join(signs, "cls")
     a = member.select("token", F.col("cls").alias("x"), F.col("size").alias("s"), F.col("pos").alias("p"), F.col("c").alias("cx"),
                       *[F.col(g).alias(f"a{g}") for g in SIGNS])
     b = member.select("token", F.col("cls").alias("y"), F.col("size").alias("t"), F.col("pos").alias("q"), F.col("c").alias("cy"),
