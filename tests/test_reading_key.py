@@ -48,3 +48,20 @@ def test_queries_over_large_order_keys(spark, tmp_path, name):
     out = catalog.QUERIES[name](spark, str(tmp_path))
     assert out.agg(F.count(F.lit(1))).first()[0] >= 1
     assert len(out.collect()) >= 1
+
+
+@pytest.mark.parametrize("name", ["alerts", "align_to_model", "anomaly_reconstruction", "binned_target", "concat_columns", "custom_features",
+                                  "encode_latent", "feat_all_sets", "feat_baseline", "feat_extended", "feat_failure_agg"])
+def test_only_the_key_depends_on_the_size_of_order_keys(spark, tmp_path, name):
+    from vigil.plans import catalog
+
+    catalog.load_all()
+    found = []
+    for first in (2_000, 890_000):  # apart by a multiple of 3, 20 and 1000: same types, gates and modes
+        rows = [(o, 5 + 7 * i, 3, i % 7, 50.0 if i % 2 else 20.0, 30000.0 + 90 * i, 0.1 if i % 2 else 0.05, 0.0 if i % 2 else 0.02, "NRA"[o % 3], "O",
+                 dt.datetime(1992, 1, 1) + dt.timedelta(days=i)) for i, o in enumerate(range(first, first + 60))]
+        at = tmp_path / str(first)
+        spark.createDataFrame(rows, LINE).coalesce(1).write.parquet(str(at / "lineitem.parquet"))
+        got = catalog.QUERIES[name](spark, str(at)).collect()  # with its key
+        found.append(sorted(repr([v for k, v in r.asDict().items() if k != "key"]) for r in got))
+    assert found[0] == found[1] and len(found[0]) >= 1
