@@ -39,6 +39,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import re
 from functools import cache
 from itertools import chain
@@ -54,6 +55,7 @@ from vigil.session import work_dir
 
 CHUNK_BYTES = 1 << 19
 PART_BYTES = 4 << 20
+PARTS_PER_TASK = 2
 TERMS = 1 << 21
 
 
@@ -354,6 +356,17 @@ PART_DDL = ("part long, ids array<long>, n_a array<long>, n_b array<long>, n_gro
             "sha array<string>, held binary, at binary, times binary, pairs array<long>, holders array<int>")
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Non-negative numbers in the fewest bytes of 1, 2, 4 or 8 that hold all of them, behind that number."""
+    size = next(s for s in (1, 2, 4, 8) if s == 8 or int(x.max(initial=0)) < 1 << 8 * s)
+    return bytes([size]) + x.astype(f"<u{size}").tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    """The numbers that :func:`_narrow` wrote."""
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 class _Part:
     """Documents gathered until they have enough text for a part."""
 
@@ -377,8 +390,8 @@ class _Part:
         pair, _, at = K.distinct(np.concatenate(self.pair))
         holders = np.bincount(at, minlength=len(pair))
         cols = {"part": [part], "ids": [self.ids], **{c: [np.concatenate(v)] for c, v in self.figures.items()}, "sha": [self.sha],
-                "held": [np.concatenate(self.held).astype("<i8").tobytes()], "at": [at.astype("<i4").tobytes()],
-                "times": [np.concatenate(self.times).astype("<i8").tobytes()], "pairs": [pair], "holders": [holders]}
+                "held": [_narrow(np.concatenate(self.held))], "at": [_narrow(at)],
+                "times": [_narrow(np.concatenate(self.times))], "pairs": [pair], "holders": [holders]}
         return pa.RecordBatch.from_pydict(cols, schema=PART)
 
 
@@ -453,16 +466,19 @@ def digest(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", te
         n, best = np.zeros(len(pos), np.int64), np.zeros(len(pos), bool)
         n[pos], best[pos] = right["n"].to_numpy(), right["best"].to_numpy(zero_copy_only=False)
         row = {c: left[c][0] for c in left.column_names}
-        held = np.frombuffer(row["held"].as_py(), "<i8")
-        at, times = np.frombuffer(row["at"].as_py(), "<i4"), np.frombuffer(row["times"].as_py(), "<i8")
+        held, at, times = (_wide(row[c].as_py()) for c in ("held", "at", "times"))
         doc = np.repeat(np.arange(len(held)), held)
         out = [row["ids"].values, *[row[c].values for c in FIGURES], pa.array(_sums(doc, times * best[at], len(held))),
                pa.array(_sums(doc, times * n[at], len(held))), row["sha"].values]
         return pa.Table.from_arrays(out, schema=schema)
 
     ddl = ", ".join(f"`{c}` long" for c in names[:-1]) + ", groups_sha256 string"
-    return (table.drop("pairs", "holders").groupBy("part").cogroup(told.groupBy("asker"))
-            .applyInArrow(finish, ddl))
+    # a task fetches and sorts whole parts, so their number per task must not grow with the table
+    deal = math.ceil(table.count() / PARTS_PER_TASK)
+    kept = table.drop("pairs", "holders")
+    if deal > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        kept, told = kept.repartition(deal, "part"), told.repartition(deal, "asker")
+    return kept.groupBy("part").cogroup(told.groupBy("asker")).applyInArrow(finish, ddl)
 
 
 def overlaps(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
