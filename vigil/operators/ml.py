@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.operators import evaluation as V
+from vigil.operators import forest as FO
+from vigil.operators import logistic as LG
 from vigil.plans import models as M
-from vigil.functions.cache import keep
+from vigil.functions.cache import fewer_tasks, keep
 
 
 def scored_from(pred: DataFrame, key: str = "key", label: str = "label") -> DataFrame:
@@ -159,13 +161,19 @@ def sequential(df: DataFrame, cols: list[str], n_select: int, k: int = 5, direct
     if direction not in ("forward", "backward"):
         raise ValueError(f"unknown direction {direction!r}")
     forward, chosen, path = direction == "forward", [], []
+    n, top = df.agg(F.count(F.lit(1)), F.max(F.col(label))).first()
+    together = metric in ("accuracy", "f1", "f1_1") and (top is None or top <= 1)  # two classes, scores of the confusion counts
+    few = fewer_tasks(df, n)
     while len(chosen) < (n_select if forward else len(cols) - n_select):
         rest = [c for c in cols if c not in chosen]
-        scored = []
-        for cand in rest:
-            feats = [*chosen, cand] if forward else [c for c in rest if c != cand]
-            s = cross_validate(lambda n, f=feats: M.pipeline("logistic", f, label, n_rows=n, max_iter=max_iter), df, k, label=label, metric=metric)
-            scored.append((-s["mean"], cand))
+        sets = [[*chosen, cand] if forward else [c for c in rest if c != cand] for cand in rest]
+        if together:
+            cells = LG.fold_cells(few, sets, k, label, max_iter=max_iter)
+            means = [float(np.mean([FO.metrics(c)[metric] for c in mine])) for mine in cells]
+        else:
+            means = [cross_validate(lambda n, f=feats: M.pipeline("logistic", f, label, n_rows=n, max_iter=max_iter), df, k, label=label,
+                                    metric=metric)["mean"] for feats in sets]
+        scored = [(-m, cand) for m, cand in zip(means, rest)]
         s, cand = min(scored)
         chosen.append(cand)
         path.append((cand, -s))
