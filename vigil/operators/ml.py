@@ -224,6 +224,25 @@ KNN_BROADCAST_BYTES = 64 << 20  # training vectors up to this size go to every t
 KNN_CELLS = 1 << 22  # query x training x dimension values in one distance buffer (32 MB)
 
 
+def _closest(q: np.ndarray, t: np.ndarray, k: int, barred: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(query, training) numbers, ascending, of all pairs that can be among a query's
+    ``k`` nearest or tie with them after rounding to 9 decimals.  Squared distances
+    come from one matrix product; what they can be off by is added to the k-th of a query."""
+    centre = t.mean(axis=0)  # far from the origin the product would lose digits
+    q, t = q - centre, t - centre
+    a, b = (q * q).sum(axis=1), (t * t).sum(axis=1)
+    d = a[:, None] + b - 2 * (q @ t.T)
+    if barred is not None:
+        d[barred] = np.inf
+    kth = np.partition(d, k - 1, axis=1)[:, k - 1]
+    off = 8 * (q.shape[1] + 8) * np.finfo(float).eps * (a + b.max(initial=0.0))
+    reach = (np.sqrt(np.maximum(kth, 0.0) + off) + 2e-9) ** 2 * (1 + 1e-12) + off
+    near = (d <= reach[:, None]) | np.isnan(d)
+    if barred is not None:
+        near &= ~barred
+    return np.nonzero(near)
+
+
 def knn(queries: DataFrame, train: DataFrame, qid: str, tid: str, vec: str, label: str, k: int = 5,
         exclude_self: bool = False, weights: str = "uniform", p: float = 2.0, task: str = "classify",
         block_rows: int = 50_000) -> DataFrame:
@@ -245,11 +264,23 @@ def knn(queries: DataFrame, train: DataFrame, qid: str, tid: str, vec: str, labe
     def topk(qids, qv, tids, tv, tl):
         out = []
         wide = max(k + 1, KNN_CELLS // dim)  # training rows at a time
-        for s in range(0, len(qids), max(1, KNN_CELLS // (dim * min(wide, max(len(tids), 1))))):
-            e = s + max(1, KNN_CELLS // (dim * min(wide, max(len(tids), 1))))
+        row = dim if p != 2.0 else 1  # numbers of a pair in the buffer
+        step = max(1, KNN_CELLS // (row * min(wide, max(len(tids), 1))))
+        for s in range(0, len(qids), step):
+            e = s + step
             qb, qi = qv[s:e], qids[s:e]
             best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0))] * len(qb)
             for t in range(0, len(tids), wide):
+                if p == 2.0 and len(tids[t:t + wide]) > 4 * k:
+                    cand_i, cand_t = _closest(qb, tv[t:t + wide], k, qi[:, None] == tids[None, t:t + wide] if exclude_self else None)
+                    dist = np.round(np.sqrt((np.abs(qb[cand_i] - tv[t + cand_t]) ** 2).sum(-1)), 9)
+                    bounds = np.searchsorted(cand_i, np.arange(len(qb) + 1))
+                    for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
+                        at = t + cand_t[lo:hi]
+                        d, ids, lab = (np.concatenate(x) for x in zip(best[i], (dist[lo:hi], tids[at], tl[at])))
+                        order = np.lexsort((ids, d))[:k]
+                        best[i] = d[order], ids[order], lab[order]
+                    continue
                 diff = np.abs(qb[:, None, :] - tv[None, t:t + wide, :])
                 d = np.round(np.sqrt((diff ** 2).sum(-1)) if p == 2.0 else (diff ** p).sum(-1) ** (1.0 / p), 9)
                 if exclude_self:
