@@ -36,8 +36,7 @@ def _pass(rows: DataFrame, p: int, centre, scale, weights: np.ndarray, skip: np.
         total = np.zeros((models, width))
         for b in batches:
             z, y, fold = _design(b, p, centre, scale)
-            ok = ~np.isnan(z).any(axis=1) & ~np.isnan(y)
-            z, y, fold = z[ok], y[ok, None], fold[ok, None]
+            y, fold = y[:, None], fold[:, None]
             margin, use = z @ weights.T, fold != skip
             prob = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
             loss = np.where(use, np.logaddexp(0, margin) - y * margin, 0.0).sum(axis=0)
@@ -56,11 +55,14 @@ def _pass(rows: DataFrame, p: int, centre, scale, weights: np.ndarray, skip: np.
 
 def fold_cells(df: DataFrame, sets: list[list[str]], folds: int, label: str = "label", fold: str = "fold", max_iter: int = 100) -> np.ndarray:
     """Confusion counts (set, fold, true class, predicted class) on each fold of the models of the other folds.
-    Rows with a null or NaN in any column are left out of the fits and predicted as class 0."""
+    A null, NaN or infinite value in a column is an error, as it is for the single fits."""
     cols = list(dict.fromkeys(f for s in sets for f in s))
     p = len(cols)
     rows = df.where(c(label).isNotNull()).select(*[c(x).cast("double").alias(f"x{i}") for i, x in enumerate(cols)], c(label).cast("double").alias("y"),
                                                  c(fold).cast("int").alias("fold"))
+    odd = rows.where(" or ".join(f"x{i} is null or isnan(x{i}) or abs(x{i}) = double('infinity')" for i in range(p))).limit(1).count() if p else 0
+    if odd:
+        raise ValueError(f"null, NaN or infinite value in {cols}")
     mom = moments(df, cols, label, fold)
     centre, scale = mom.centre[:p], mom.scale[:p]
     skip = np.tile(np.arange(folds), len(sets))
@@ -108,8 +110,7 @@ def fold_cells(df: DataFrame, sets: list[list[str]], folds: int, label: str = "l
             z, y, held = _design(b, p, centre, scale)
             for f in range(folds):
                 mine = held == f
-                seen = np.where(member[skip == f][:, None, 1:] & np.isnan(z[mine])[None, :, 1:], True, False).any(axis=2)
-                yes = (np.nan_to_num(z[mine]) @ weights[skip == f].T > 0) & ~seen.T
+                yes = z[mine] @ weights[skip == f].T > 0
                 cell = 2 * y[mine, None].astype(int) + yes
                 for k, m in enumerate(np.flatnonzero(skip == f)):
                     cells[m] += np.bincount(cell[:, k], minlength=4)
